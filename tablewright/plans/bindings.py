@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.operators.ordering import dense_index, step_window
+from tablewright.operators.sampling import hash_percent as split_bucket  # noqa: F401
 from tablewright.operators.series import fill_steps
 
 ITEM_SCHEMA = "array<struct<l_partkey:bigint,l_quantity:double,l_extendedprice:double>>"
@@ -102,12 +103,8 @@ class Tables:
         return moved.join(setpoint, "loop_id").select("loop_id", "t", "pv", "sp", "op")
 
 
-def split_bucket(key: Column) -> Column:
-    """0..99 from an integer key by multiplicative hashing; the same in SQL as SPLIT_SQL."""
-    return F.floor(((key % 2147483648) * F.lit(2654435761) % 4294967296) * 100 / 4294967296)
-
-
 def SPLIT_SQL(key: str) -> str:
+    """``split_bucket`` as SQL."""
     return f"CAST(floor((({key} % 2147483648) * 2654435761 % 4294967296) * 100 / 4294967296) AS BIGINT)"
 
 

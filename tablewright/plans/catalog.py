@@ -4,7 +4,7 @@ import importlib
 
 from tablewright.plans.registry import ORACLES, QUERIES
 
-MODULES = ["scans", "projections", "relational"]
+MODULES = ["scans", "projections", "relational", "cleaning", "metrics", "timeseries", "process", "learning", "operations"]
 
 
 def _load() -> None:
