@@ -281,6 +281,10 @@ def group_representative(df: DataFrame, label: str, vec: str, how: str = "mean")
 # -- ensembles -------------------------------------------------------------
 
 
+def _times(w: float):
+    return lambda x: x * F.lit(w)
+
+
 def ensemble_inverse_loss(models: Mapping[str, object], valid: DataFrame, rows: DataFrame, label: str):
     """(rows with averaged probabilities and prediction, {model: weight}): weight = 1 / log loss.
 
@@ -304,11 +308,10 @@ def ensemble_inverse_loss(models: Mapping[str, object], valid: DataFrame, rows:
     total = sum(weights.values())
     weights = {n: w / total for n, w in weights.items()}
     scored = add_probabilities(rows)
-    names = list(models)
-    avg = F.transform(f"p_{names[0]}", lambda x: x * F.lit(weights[names[0]]))
-    for n in names[1:]:
-        w = F.lit(weights[n])
-        avg = F.zip_with(avg, f"p_{n}", lambda a, b, w=w: a + b * w)
-    scored = scored.withColumn("probability", avg).drop(*[f"p_{n}" for n in names])
+    weighted = [F.transform(f"p_{n}", _times(w)) for n, w in weights.items()]
+    avg = weighted[0]
+    for more in weighted[1:]:
+        avg = F.zip_with(avg, more, lambda a, b: a + b)
+    scored = scored.withColumn("probability", avg).drop(*[f"p_{n}" for n in models])
     best = F.array_position("probability", F.array_max("probability")) - 1
     return scored.withColumn("prediction", best.cast("double")), weights

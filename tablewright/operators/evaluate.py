@@ -193,10 +193,14 @@ def residual_runs_test(df: DataFrame, keys: Sequence[str], t: str, resid: str) -
     )
 
 
-@F.pandas_udf("double")
-def two_sided_normal_p(z: pd.Series) -> pd.Series:
+def two_sided_normal_p(z: Column) -> Column:
     """P(|Z| > |z|); meant for a column of test statistics, one row per series."""
-    return z.map(lambda v: math.erfc(abs(v) / math.sqrt(2)) if pd.notna(v) else None)
+
+    @F.pandas_udf("double")
+    def tail(v: pd.Series) -> pd.Series:
+        return v.map(lambda x: math.erfc(abs(x) / math.sqrt(2)) if pd.notna(x) else None).astype(float)
+
+    return tail(z)
 
 
 def residual_table(df: DataFrame, actual: str, predicted: str, out: str = "residual") -> DataFrame:

@@ -12,12 +12,21 @@ from tablewright.operators.drift import bin_counts, psi_from_counts, reference_e
 
 
 def file_stream(spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None) -> DataFrame:
+    """Stream of parquet files: those of a folder, or one file picked out of its folder."""
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if is_file(spark, path):
+        folder, _, name = path.rstrip("/").rpartition("/")
+        return reader.option("pathGlobFilter", name).parquet(folder)
     return reader.parquet(path)
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isFile()
+
+
 def stream_psi_drift(
     ref: DataFrame, incoming: DataFrame, cols: Sequence[str], out: str, checkpoint: str, bins: int = 10
 ) -> DataFrame:
