@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.operators.ordering import exact_quantiles
+from tablewright.operators.skew import CHUNK, deal_hot_keys
 
 
 def stack_columns(stats: DataFrame, labels: Sequence[Sequence], fields: Sequence[Sequence[str]],
@@ -60,21 +61,23 @@ def nested_quantity(df: DataFrame, key: str, items: str, schema: str, product: s
 
 
 def collect_items(
-    df: DataFrame, key: str, item_id: str, fields: Sequence[str], out: str = "items", chunk: int = 10_000
+    df: DataFrame, key: str, item_id: str, fields: Sequence[str], out: str = "items", chunk: int = CHUNK
 ) -> DataFrame:
     """(key, part, items): the rows of a key as sorted arrays of structs.
 
-    Keys with up to ``chunk`` rows are one array (part 0). A larger key is dealt
-    by ``item_id`` to as many parts as its row count asks for, so no array grows
-    with the data.
+    Keys with up to ``chunk`` rows are one array (part 0); a larger key is dealt
+    over several parts, so no array grows with the data.
     """
-    sizes = df.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / chunk).alias("_parts"))
-    return (
-        df.select(key, item_id, *[f for f in fields if f != item_id])
-        .join(sizes, key)
-        .groupBy(key, F.pmod(F.col(item_id), F.col("_parts")).alias("part"))
-        .agg(F.array_sort(F.collect_list(F.struct(*fields))).alias(out))
-    )
+    dealt = deal_hot_keys(df, [key], [item_id], chunk)
+    return dealt.groupBy(key, "part").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias(out))
+
+
+def flatten_lists(
+    df: DataFrame, keys: Sequence[str], lists: str, item_id: str, out: str, chunk: int = CHUNK
+) -> DataFrame:
+    """(keys, part, out): the arrays of a group as one sorted array; large groups in parts."""
+    dealt = deal_hot_keys(df, keys, [item_id], chunk)
+    return dealt.groupBy(*keys, "part").agg(F.array_sort(F.flatten(F.collect_list(lists))).alias(out))
 
 
 def top_products(quantities: DataFrame, key: str, product: str, k: int) -> DataFrame:

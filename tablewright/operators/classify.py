@@ -10,11 +10,13 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.operators.evaluate import auc_roc
-from tablewright.session import pin
+from tablewright.operators.skew import spread_out
+from tablewright.session import pin, small_table
 
 MAX_CLASSES = 1_000
 
@@ -57,7 +59,8 @@ def sgd_logistic(
         *[F.stddev_pop(x).alias(f"s_{x}") for x in xs],
     ).first()
     z = [F.lit(1.0), *[(F.col(x) - base[f"m_{x}"]) / (base[f"s_{x}"] or 1.0) for x in xs]]
-    rows = train.select(F.col(label).cast("double").alias("y"), *[c.alias(f"z{i}") for i, c in enumerate(z)])
+    rows = spread_out(train.select(F.col(label).cast("double").alias("y"), *[c.alias(f"z{i}") for i, c in enumerate(z)]))
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)  # read once per epoch
     w = {r: np.zeros(len(z)) for r in rates}
     log, best = [], (math.inf, None, None)
     for epoch in range(epochs):
@@ -75,7 +78,8 @@ def sgd_logistic(
             if row[f"l{i}"] < best[0]:
                 best = (row[f"l{i}"], r, w[r].copy())
             w[r] = w[r] - r * np.array([row[f"g{i}_{j}"] for j in range(len(z))])
-    table = train.sparkSession.createDataFrame(log, "rate double, epoch int, log_loss double")
+    table = small_table(train.sparkSession, log, "rate double, epoch int, log_loss double")
+    rows.unpersist()
     scale = {x: (base[f"m_{x}"], base[f"s_{x}"] or 1.0) for x in xs}
     return table, {"rate": best[1], "weights": best[2], "scale": scale}
 
@@ -182,12 +186,13 @@ def bayes_min_risk(
 def adaboost(train: DataFrame, rows: DataFrame, features: str, label: str, rounds: int, depth: int = 1, seed: int = 7):
     """(rows with margin and prediction, [(round, error, alpha)]).
 
-    Each round fits a shallow tree under the current weights; the weights are a
-    column expression of the earlier trees' predictions and are pinned per round.
+    Each round fits a shallow tree under the current weights. The weights are an
+    expression over the earlier trees, evaluated while the rows are read; every
+    tenth round they are written out, so the plan stays short.
     """
     from pyspark.ml.classification import DecisionTreeClassifier
 
-    work = pin(train.withColumn("_w", F.lit(1.0)))
+    work = train.withColumn("_w", F.lit(1.0))
     out = rows.withColumn("margin", F.lit(0.0))
     log = []
     for r in range(rounds):
@@ -209,7 +214,9 @@ def adaboost(train: DataFrame, rows: DataFrame, features: str, label: str, round
         if err < 1e-9:
             break
         moved = scored.withColumn("_w", F.col("_w") * F.exp(F.lit(alpha) * (2 * wrong - 1)))
-        work = pin(moved.drop("_p", "_raw", "_prob"))
+        work = moved.drop("_p", "_raw", "_prob")
+        if r % 10 == 9:
+            work = pin(work)
     return out.withColumn("prediction", (F.col("margin") >= 0).cast("double")), log
 
 

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.operators.joins import nearest_assign
+from tablewright.operators.skew import spread_out
+from tablewright.session import small_table
 
 
 def as_vector(df: DataFrame, vec: str) -> DataFrame:
@@ -20,7 +22,7 @@ def as_vector(df: DataFrame, vec: str) -> DataFrame:
 
 
 def kmeans_fit(df: DataFrame, k: int, seed: int = 7):
-    return KMeans(k=k, seed=seed, maxIter=20).fit(df)
+    return KMeans(k=k, seed=seed, maxIter=20).fit(spread_out(df))
 
 
 def kmeans_clusters(df: DataFrame, k: int, seed: int = 7) -> DataFrame:
@@ -28,7 +30,7 @@ def kmeans_clusters(df: DataFrame, k: int, seed: int = 7) -> DataFrame:
     model = kmeans_fit(df, k, seed)
     sizes = model.transform(df).groupBy(F.col("prediction").alias("cluster")).agg(F.count(F.lit(1)).alias("size"))
     rows = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
-    centres = df.sparkSession.createDataFrame(rows, "cluster int, centre array<double>")
+    centres = small_table(df.sparkSession, rows, "cluster int, centre array<double>")
     return centres.join(sizes, "cluster", "left").select(
         "cluster", F.coalesce("size", F.lit(0)).alias("size"), "centre"
     )
@@ -41,7 +43,7 @@ def kmeans_evaluate(df: DataFrame, ks: Sequence[int], seed: int = 7) -> DataFram
         model = kmeans_fit(df, k, seed)
         sil = ClusteringEvaluator().evaluate(model.transform(df)) if k > 1 else float("nan")
         rows.append((k, float(model.summary.trainingCost), float(sil)))
-    return df.sparkSession.createDataFrame(rows, "k int, cost double, silhouette double")
+    return small_table(df.sparkSession, rows, "k int, cost double, silhouette double")
 
 
 def kmeans_two_stage(df: DataFrame, vec: str, k: int, rounds: int = 12, seed: int = 7) -> DataFrame:
@@ -81,14 +83,14 @@ def kmeans_two_stage(df: DataFrame, vec: str, k: int, rounds: int = 12, seed: in
 
 def gmm_clusters(df: DataFrame, k: int, seed: int = 7):
     """((component, weight, mean, size) table, rows with assignment)."""
-    model = GaussianMixture(k=k, seed=seed, maxIter=30).fit(df)
+    model = GaussianMixture(k=k, seed=seed, maxIter=30).fit(spread_out(df))
     pred = model.transform(df)
     sizes = pred.groupBy(F.col("prediction").alias("component")).agg(F.count(F.lit(1)).alias("size"))
     rows = [
         (i, float(w), [float(x) for x in g.mean], float(np.linalg.det(g.cov.toArray())))
         for i, (w, g) in enumerate(zip(model.weights, _gaussians(model)))
     ]
-    table = df.sparkSession.createDataFrame(rows, "component int, weight double, mean array<double>, cov_det double")
+    table = small_table(df.sparkSession, rows, "component int, weight double, mean array<double>, cov_det double")
     return table.join(sizes, "component", "left").na.fill(0, ["size"]), pred
 
 
@@ -139,7 +141,7 @@ def facility_location(
         F.sum(w).alias("demand"), F.sum(F.col(w) * F.col("_best.d")).alias("cost"), F.count(F.lit(1)).alias("n")
     )
     rows = [(i, a, b) for i, (a, b) in enumerate(places)]
-    spots = df.sparkSession.createDataFrame(rows, "facility int, cx double, cy double")
+    spots = small_table(df.sparkSession, rows, "facility int, cx double, cy double")
     return spots.join(final, "facility", "left")
 
 

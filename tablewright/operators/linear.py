@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions.distributions import t_quantile, t_two_sided_p
+from tablewright.session import small_table
 
 
 def moments(df: DataFrame, xs: Sequence[str], y: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -112,8 +113,8 @@ def ols_inference(df: DataFrame, xs: Sequence[str], y: str, level: float = 0.95)
     for name, b, s in zip(["intercept", *xs], coef, se):
         t = b / s if s > 0 else float("nan")
         rows.append((name, float(b), float(s), float(t), t_two_sided_p(t, dof), float(b - q * s), float(b + q * s)))
-    return df.sparkSession.createDataFrame(
-        rows, "term string, coef double, std_err double, t double, p double, ci_low double, ci_high double"
+    return small_table(
+        df.sparkSession, rows, "term string, coef double, std_err double, t double, p double, ci_low double, ci_high double"
     )
 
 
@@ -202,8 +203,8 @@ def ridge_lasso(df: DataFrame, xs: Sequence[str], y: str, alphas: Sequence[float
             mse = r["syy"] - 2 * b @ cxy + b @ corr @ b
             for term, v in zip(xs, b / sd):
                 rows.append((name, float(alpha), term, float(v), float(math.sqrt(max(mse, 0)))))
-    return df.sparkSession.createDataFrame(
-        rows, "penalty string, alpha double, term string, coef double, rmse double"
+    return small_table(
+        df.sparkSession, rows, "penalty string, alpha double, term string, coef double, rmse double"
     )
 
 
@@ -226,7 +227,7 @@ def tls_regression(df: DataFrame, xs: Sequence[str], y: str) -> DataFrame:
     beta = -v[:p] / v[p] * sd[p] / sd[:p]
     intercept = r["my"] - beta @ np.asarray(r["mx"])
     rows = [("intercept", float(intercept)), *[(x, float(b)) for x, b in zip(xs, beta)]]
-    return df.sparkSession.createDataFrame(rows, "term string, coef double")
+    return small_table(df.sparkSession, rows, "term string, coef double")
 
 
 def kernel_regression(

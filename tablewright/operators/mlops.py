@@ -15,6 +15,7 @@ from tablewright.operators.evaluate import auc_roc
 from tablewright.operators.project import case_bucket, flag_known
 from tablewright.operators.quality import impute_group_stat, mode_scalar
 from tablewright.operators.trees import class_probability
+from tablewright.session import small_table
 
 
 def tabular_prep(
@@ -71,8 +72,8 @@ def champion_challenger(ref: DataFrame, new: DataFrame, production: str, candida
         stamp = datetime.datetime.now(datetime.timezone.utc).strftime("%Y%m%d_%H%M%S_%f")
         challenger.write().save(f"{candidates}/model_{stamp}")
         challenger.write().overwrite().save(production)
-    return spark.createDataFrame(
-        [(float(current), float(score), int(promoted))], "champion_auc double, challenger_auc double, promoted int"
+    return small_table(
+        spark, [(float(current), float(score), int(promoted))], "champion_auc double, challenger_auc double, promoted int"
     )
 
 
@@ -99,4 +100,4 @@ def config_profile(
                 spark.conf.unset(k) if v is None else spark.conf.set(k, v)
         total = sum(x[2] for x in times)
         out += [(name, s, int(n), float(t), float(t / total)) for s, n, t in times]
-    return spark.createDataFrame(out, "config string, stage string, rows long, seconds double, share double")
+    return small_table(spark, out, "config string, stage string, rows long, seconds double, share double")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.operators.ordering import dense_index
-from tablewright.session import pin
+from tablewright.session import pin, small_table
 
 MAX_PIVOTS = 256
 MAX_CHUNKS = 20_000
@@ -92,7 +92,7 @@ def knn(
     n = refs.count()
     empty = "_qid long, _rid long, dist double"
     if n == 0:
-        found = queries.sparkSession.createDataFrame([], empty)
+        found = small_table(queries.sparkSession, [], empty)
         return _ranked(found, qid, rid, k)
 
     m = max(1, min(MAX_PIVOTS, math.ceil(math.sqrt(n) / 4)))

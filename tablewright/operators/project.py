@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewright.session import small_table
+
 
 def select_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*cols)
@@ -63,7 +65,7 @@ def type_class(data_type: T.DataType) -> str:
 def types_split(df: DataFrame) -> DataFrame:
     """(column_name, type_class) from the schema alone; reads no rows."""
     rows = [(f.name, type_class(f.dataType)) for f in df.schema.fields]
-    return df.sparkSession.createDataFrame(rows, "column_name string, type_class string")
+    return small_table(df.sparkSession, rows, "column_name string, type_class string")
 
 
 def clean_currency(df: DataFrame, col: str, out: str | None = None) -> DataFrame:

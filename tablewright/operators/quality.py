@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 
 from tablewright.operators.aggs import is_missing, long_values, stack_columns
 from tablewright.operators.ordering import exact_quantiles
-from tablewright.session import pin
+from tablewright.session import pin, small_table
 
 
 def schema_validate(df: DataFrame, expected: StructType) -> DataFrame:
@@ -30,8 +30,8 @@ def schema_validate(df: DataFrame, expected: StructType) -> DataFrame:
         else:
             status = "ok" if w == h else "type mismatch"
         rows.append((name, w or "", h or "", status))
-    return df.sparkSession.createDataFrame(
-        rows, "column_name string, expected_type string, actual_type string, status string"
+    return small_table(
+        df.sparkSession, rows, "column_name string, expected_type string, actual_type string, status string"
     )
 
 

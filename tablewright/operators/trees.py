@@ -26,9 +26,13 @@ from pyspark.sql import functions as F
 from tablewright.operators.classify import binary_metrics, multiclass_accuracy, with_auc
 from tablewright.operators.evaluate import regression_metrics
 from tablewright.operators.sampling import class_weights
+from tablewright.operators.skew import spread_out
+from tablewright.session import small_table
 
 
 def assembled(df: DataFrame, xs: Sequence[str], *keep: str) -> DataFrame:
+    """Kept columns and a feature vector, spread over the cores if the input is one small file."""
+    df = spread_out(df.select(*keep, *[x for x in xs if x not in keep]))
     return VectorAssembler(inputCols=list(xs), outputCol="features").transform(df).select(*keep, "features")
 
 
@@ -60,7 +64,7 @@ def logit_inference(train: DataFrame, xs: Sequence[str]) -> DataFrame:
     model = LogisticRegression(maxIter=50, standardization=False).fit(assembled(scaled, xs, "label"))
     ranked = sorted(zip(xs, model.coefficients), key=lambda c: -abs(c[1]))
     rows = [(i + 1, n, float(c)) for i, (n, c) in enumerate(ranked)]
-    return train.sparkSession.createDataFrame(rows, "position int, feature string, coef double")
+    return small_table(train.sparkSession, rows, "position int, feature string, coef double")
 
 
 def decision_tree(train, test, impurity="gini", depth=5, min_leaf=1, seed=7) -> DataFrame:
@@ -138,7 +142,7 @@ def grid_search_cv(train: DataFrame, folds: int = 3, seed: int = 7) -> DataFrame
     rows = [
         (p[est.maxDepth], p[est.maxBins], float(m), int(m == best)) for p, m in zip(grid, cv.avgMetrics)
     ]
-    return train.sparkSession.createDataFrame(rows, "depth int, bins int, auc double, best int")
+    return small_table(train.sparkSession, rows, "depth int, bins int, auc double, best int")
 
 
 def cross_val_scores(df: DataFrame, estimator, folds: int, fold: str = "fold") -> DataFrame:

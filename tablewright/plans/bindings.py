@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tablewright.operators.ordering import dense_index, step_window
 from tablewright.operators.sampling import hash_percent as split_bucket  # noqa: F401
 from tablewright.operators.series import fill_steps
+from tablewright.operators.skew import deal_hot_keys
 
 ITEM_SCHEMA = "array<struct<l_partkey:bigint,l_quantity:double,l_extendedprice:double>>"
 
@@ -50,13 +51,14 @@ class Tables:
     def order_items(self) -> DataFrame:
         """Orders as the JSON feed has them: one array of items per order.
 
-        An order of ordinary size is one row; lines 64..127 of a very long order
-        make its second row, and so on, so no order has to fit in one value.
+        An order of ordinary size is one row (page 0); a very long one is several
+        rows, so no order has to fit in one value.
         """
-        item = F.struct("l_partkey", "l_quantity", "l_extendedprice")
-        return (
-            self.lineitem.groupBy("l_orderkey", F.floor(F.col("l_linenumber") / 64).alias("page"))
-            .agg(F.to_json(F.array_sort(F.collect_list(item))).alias("items"))
+        fields = ["l_partkey", "l_quantity", "l_extendedprice"]
+        lines = self.lineitem.select("l_orderkey", "l_linenumber", *fields)
+        dealt = deal_hot_keys(lines, ["l_orderkey"], ["l_linenumber", *fields], out="page")
+        return dealt.groupBy("l_orderkey", "page").agg(
+            F.to_json(F.array_sort(F.collect_list(F.struct(*fields)))).alias("items")
         )
 
     @property

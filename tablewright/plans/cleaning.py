@@ -10,6 +10,7 @@ from tablewright.operators import sampling as S
 from tablewright.plans.bindings import DIRTY_ORDERS, DIRTY_PARTS, SPLIT_SQL, split_bucket
 from tablewright.plans.registry import query
 from tablewright.plans.relational import rounded
+from tablewright.session import small_table
 
 _DUCK_TYPES = """CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
   WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE column_type END"""
@@ -391,8 +392,10 @@ def select_by_importance(t):
 
     importance = feature_importance(line_table(t), FEATURES, "label")
     kept = set(X.select_by_importance(importance))
-    return t.spark.createDataFrame(
-        [(k, float(v), int(k in kept)) for k, v in importance.items()], "feature string, importance double, kept int"
+    return small_table(
+        t.spark,
+        [(k, float(v), int(k in kept)) for k, v in importance.items()],
+        "feature string, importance double, kept int",
     )
 
 

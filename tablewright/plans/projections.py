@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tablewright.functions import arrays as A
+from tablewright.operators import aggs as G
 from tablewright.operators import project as P
 from tablewright.operators import series as S
 from tablewright.plans.bindings import DAILY, DIRTY_ORDERS, DIRTY_PARTS, ITEM_SCHEMA
@@ -223,7 +224,7 @@ def split_part(t):
 
 
 _PER_ORDER = """
-SELECT l_orderkey, l_linenumber // 64 AS page, count(*) AS n_items, sum(l_quantity) AS quantity,
+SELECT l_orderkey, CAST(0 AS BIGINT) AS page, count(*) AS n_items, sum(l_quantity) AS quantity,
   round(sum(l_extendedprice), 2) AS price FROM lineitem GROUP BY ALL
 """
 
@@ -247,7 +248,7 @@ def json_parse(t):
 @query(
     "array_transform_struct",
     """
-    SELECT l_orderkey, l_linenumber // 64 AS page,
+    SELECT l_orderkey, CAST(0 AS BIGINT) AS page,
       string_agg(l_partkey || ':' || CAST(l_quantity AS INTEGER), ','
         ORDER BY l_partkey, l_quantity, l_extendedprice) AS kept
     FROM lineitem GROUP BY ALL
@@ -264,7 +265,7 @@ def array_transform_struct(t):
 @query(
     "array_flatten",
     """
-    SELECT o_custkey, year(o_orderdate) AS order_year, count(*) AS n_items,
+    SELECT o_custkey, year(o_orderdate) AS order_year, CAST(0 AS BIGINT) AS part, count(*) AS n_items,
       string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY l_partkey) AS parts
     FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL
     """,
@@ -273,13 +274,14 @@ def array_flatten(t):
     per_order = t.order_items.select(
         "l_orderkey", F.col("page"), F.from_json("items", ITEM_SCHEMA)["l_partkey"].alias("parts")
     )
-    joined = t.orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"))
-    lists = joined.groupBy("o_custkey", F.year("o_orderdate").alias("order_year")).agg(
-        F.array_sort(F.flatten(F.collect_list("parts"))).alias("parts")
+    joined = t.orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey")).select(
+        "o_custkey", F.year("o_orderdate").alias("order_year"), "o_orderkey", "parts"
     )
+    lists = G.flatten_lists(joined, ["o_custkey", "order_year"], "parts", "o_orderkey", "parts")
     return lists.select(
         "o_custkey",
         F.col("order_year").cast("long").alias("order_year"),
+        "part",
         F.size("parts").cast("long").alias("n_items"),
         F.array_join("parts", ",").alias("parts"),
     )
@@ -302,7 +304,7 @@ def array_explode(t):
     "array_slice",
     """
     SELECT l_orderkey, string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY rn) AS first_three FROM (
-      SELECT l_orderkey, l_partkey, row_number() OVER (PARTITION BY l_orderkey, l_linenumber // 64
+      SELECT l_orderkey, l_partkey, row_number() OVER (PARTITION BY l_orderkey
         ORDER BY l_partkey, l_quantity, l_extendedprice) AS rn FROM lineitem)
     WHERE rn <= 3 GROUP BY l_orderkey
     """,

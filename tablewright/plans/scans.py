@@ -85,7 +85,7 @@ def scan_loop_files(t):
         F.col("pv").alias("PV_meas"), F.col("t").alias("timestep"),
     )
     for name, part in (("a", even), ("b", odd)):
-        part.write.partitionBy("loop_id").option("header", True).csv(f"{root}/{name}")
+        part.hint("rebalance", "loop_id").write.partitionBy("loop_id").option("header", True).csv(f"{root}/{name}")
     back = R.read_loop_files(t.spark, root, r"loop_id=(\d+)")
     return back.select(
         "loop_id", "t", *[F.round(c, 4).alias(c) for c in ("pv", "sp", "op")]

@@ -6,6 +6,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def get_session(app: str = "tablewright", master: str | None = None, **conf) -> SparkSession:
@@ -58,3 +60,14 @@ def pin(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
     return df.checkpoint(eager=True)
+
+
+def small_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A handful of driver-side rows as literals, without a Python worker."""
+    schema = T._parse_datatype_string(ddl)
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, schema.fields)]) for r in rows
+    ]
+    if not structs:
+        return spark.createDataFrame([], schema)
+    return spark.range(1).select(F.inline(F.array(*structs)))
