@@ -15,29 +15,41 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.operators.evaluate import auc_roc
-from tablewright.operators.skew import spread_out
+from tablewright.operators.skew import held, spread_out
 from tablewright.session import pin, small_table
 
 MAX_CLASSES = 1_000
 
 
-def binary_metrics(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """(n, accuracy, precision, recall, f1) of 0/1 columns in one aggregate."""
+def binary_metrics(
+    pred: DataFrame, label: str = "label", prediction: str = "prediction", count: str | None = None
+) -> DataFrame:
+    """(n, accuracy, precision, recall, f1) of 0/1 columns in one aggregate.
+
+    ``count`` names a column with the number of rows that each row stands for.
+    """
     y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
-    tp = F.count_if((y == 1) & (p == 1))
+    times = F.lit(1) if count is None else F.col(count)
+
+    def rows(test: Column) -> Column:
+        return F.coalesce(F.sum(F.when(test, times)), F.lit(0))
+
+    tp = rows((y == 1) & (p == 1))
     s = pred.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg((y == p).cast("double")).alias("accuracy"),
-        F.coalesce(F.try_divide(tp, F.count_if(p == 1)), F.lit(0.0)).alias("precision"),
-        F.coalesce(F.try_divide(tp, F.count_if(y == 1)), F.lit(0.0)).alias("recall"),
+        F.coalesce(F.sum(times), F.lit(0)).alias("n"),
+        F.try_divide(rows(y == p), F.sum(times)).alias("accuracy"),
+        F.coalesce(F.try_divide(tp, rows(p == 1)), F.lit(0.0)).alias("precision"),
+        F.coalesce(F.try_divide(tp, rows(y == 1)), F.lit(0.0)).alias("recall"),
     )
     both = F.col("precision") + F.col("recall")
     return s.withColumn("f1", F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"), both), F.lit(0.0)))
 
 
 def with_auc(pred: DataFrame, score: str, label: str = "label") -> DataFrame:
-    area = auc_roc(pred.select(label, score), score, F.col(label) == 1).select("auc").scalar()
-    return binary_metrics(pred, label).withColumn("auc", area)
+    """Both from one pass over the predictions, which is reduced to counts per distinct score."""
+    counts = pin(pred.groupBy(label, "prediction", score).agg(F.count(F.lit(1)).alias("rows")))
+    area = auc_roc(counts, score, F.col(label) == 1, count="rows").select("auc").scalar()
+    return binary_metrics(counts, label, count="rows").withColumn("auc", area)
 
 
 def multiclass_accuracy(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -196,13 +208,14 @@ def adaboost(train: DataFrame, rows: DataFrame, features: str, label: str, round
     out = rows.withColumn("margin", F.lit(0.0))
     log = []
     for r in range(rounds):
-        model = DecisionTreeClassifier(
-            featuresCol=features, labelCol=label, weightCol="_w", maxDepth=depth, seed=seed,
-            predictionCol="_p", rawPredictionCol="_raw", probabilityCol="_prob",
-        ).fit(work)
-        scored = model.transform(work)
         wrong = (F.col("_p") != F.col(label)).cast("double")
-        err = scored.agg(F.sum(F.col("_w") * wrong) / F.sum("_w")).first()[0]
+        with held(work) as data:
+            model = DecisionTreeClassifier(
+                featuresCol=features, labelCol=label, weightCol="_w", maxDepth=depth, seed=seed,
+                predictionCol="_p", rawPredictionCol="_raw", probabilityCol="_prob",
+            ).fit(data)
+            err = model.transform(data).agg(F.sum(F.col("_w") * wrong) / F.sum("_w")).first()[0]
+        scored = model.transform(work)
         if err >= 0.5:
             break
         alpha = 0.5 * math.log((1 - err + 1e-12) / (err + 1e-12))

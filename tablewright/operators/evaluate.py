@@ -87,10 +87,18 @@ def classification_report(df: DataFrame, label: str, prediction: str) -> DataFra
     return per.select("class", "precision", "recall", "f1", "support").unionByName(summary)
 
 
-def score_counts(df: DataFrame, score: str, positive: Column, keys: Sequence[str] = ()) -> DataFrame:
-    """Positives and negatives per distinct score, and running totals from the highest score down."""
+def score_counts(
+    df: DataFrame, score: str, positive: Column, keys: Sequence[str] = (), count: str | None = None
+) -> DataFrame:
+    """Positives and negatives per distinct score, and running totals from the highest score down.
+
+    ``count`` names a column with the number of rows that each row stands for.
+    """
+    times = F.lit(1).cast("long") if count is None else F.col(count)
+    zero = F.lit(0).cast("long")
     grouped = df.groupBy(*keys, F.col(score).alias("score")).agg(
-        F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg")
+        F.sum(F.when(positive, times).otherwise(zero)).alias("pos"),
+        F.sum(F.when(positive, zero).otherwise(times)).alias("neg"),
     )
     down = grouped.withColumn("_down", -F.col("score"))
     return running_totals(down, list(keys), ["_down"], {"tp": "pos", "fp": "neg"}).drop("_down")
@@ -107,9 +115,11 @@ def roc_points(df: DataFrame, score: str, positive: Column, keys: Sequence[str]
     )
 
 
-def auc_roc(df: DataFrame, score: str, positive: Column, keys: Sequence[str] = ()) -> DataFrame:
+def auc_roc(
+    df: DataFrame, score: str, positive: Column, keys: Sequence[str] = (), count: str | None = None
+) -> DataFrame:
     """Area under the curve; equal scores count half (rank-sum form)."""
-    run = score_counts(df, score, positive, keys)
+    run = score_counts(df, score, positive, keys, count)
     # Positives above each negative, plus half of those at the same score.
     above = F.col("tp") - F.col("pos")
     wins = F.sum(F.col("neg") * (above + F.col("pos") / 2.0))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tablewright.operators.evaluate import auc_roc
 from tablewright.operators.project import case_bucket, flag_known
 from tablewright.operators.quality import impute_group_stat, mode_scalar
+from tablewright.operators.skew import held
 from tablewright.operators.trees import class_probability
 from tablewright.session import small_table
 
@@ -62,11 +63,13 @@ def champion_challenger(ref: DataFrame, new: DataFrame, production: str, candida
     """(champion_auc, challenger_auc, promoted): fit on new rows, compare on the reference,
     keep a time-stamped copy and replace production only if better."""
     spark = ref.sparkSession
-    challenger = LogisticRegression(maxIter=50).fit(new)
-    score = _auc(challenger, ref)
+    with held(new) as data:
+        challenger = LogisticRegression(maxIter=50).fit(data)
     current = -1.0
-    if path_exists(spark, production):
-        current = _auc(LogisticRegressionModel.load(production), ref)
+    with held(ref) as data:
+        score = _auc(challenger, data)
+        if path_exists(spark, production):
+            current = _auc(LogisticRegressionModel.load(production), data)
     promoted = score > current
     if promoted:
         stamp = datetime.datetime.now(datetime.timezone.utc).strftime("%Y%m%d_%H%M%S_%f")

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.operators.ordering import dense_index
+from tablewright.session import pin
 
 
 def hash_percent(key: Column) -> Column:
@@ -41,8 +42,8 @@ def kfold_assign(df: DataFrame, key: str, k: int, label: str | None = None, out:
 
 def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """n / (number of classes * class size) beside each row."""
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.agg(F.count(F.lit(1))).scalar()
+    sizes = pin(df.groupBy(label).agg(F.count(F.lit(1)).alias("_n")))  # one row per class
+    total = sizes.agg(F.sum("_n")).scalar()
     classes = sizes.agg(F.count(F.lit(1))).scalar()
     return df.join(sizes.withColumn(out, total / (classes * F.col("_n"))).drop("_n"), label)
 

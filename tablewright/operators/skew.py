@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from tablewright.operators.joins import small_enough
 from tablewright.session import pin
@@ -33,6 +37,24 @@ def deal_hot_keys(
 
 def spread_out(df: DataFrame) -> DataFrame:
     """Deal a table that arrives in fewer partitions than there are cores, as one small
-    file does, before a fit that reads it many times. Larger tables are left alone."""
+    file does, before a fit that reads it many times. Larger tables are left alone.
+
+    Rows are placed by a hash of all plain columns: repeatable, and without the sort
+    that a round-robin needs to be so.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (VectorUDT, MapType))]
+    return df.repartition(cores, F.xxhash64(*plain))
+
+
+@contextmanager
+def held(*tables: DataFrame):
+    """Keep tables in memory (or on local disk) while a fit reads them several times."""
+    kept = [t.persist(StorageLevel.MEMORY_AND_DISK) for t in tables]
+    try:
+        yield kept[0] if len(kept) == 1 else kept
+    finally:
+        for t in kept:
+            t.unpersist()

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tablewright.operators.classify import binary_metrics, multiclass_accuracy, with_auc
 from tablewright.operators.evaluate import regression_metrics
 from tablewright.operators.sampling import class_weights
-from tablewright.operators.skew import spread_out
+from tablewright.operators.skew import held, spread_out
 from tablewright.session import small_table
 
 
@@ -43,7 +43,8 @@ def class_probability(pred: DataFrame, column: str = "probability", out: str = "
 
 def fit_score(estimator, train: DataFrame, test: DataFrame) -> DataFrame:
     """Accuracy, precision, recall, F1 and AUC on the hold-out as one row."""
-    pred = estimator.fit(train).transform(test)
+    with held(train) as data:
+        pred = estimator.fit(data).transform(test)
     raw = "probability" if "probability" in pred.columns else "rawPrediction"
     return with_auc(class_probability(pred, raw).select("label", "prediction", "score"), "score")
 
@@ -98,14 +99,20 @@ def gradient_boosting(train, test, rounds=10, depth=3, seed=7) -> DataFrame:
 def gradient_boosting_multi(train, test, rounds=5, depth=3, seed=7) -> DataFrame:
     """One boosted model per class against the rest."""
     est = OneVsRest(classifier=GBTClassifier(maxIter=rounds, maxDepth=depth, seed=seed), parallelism=4)
-    return multiclass_accuracy(est.fit(train).transform(test))
+    with held(train) as data:
+        model = est.fit(data)
+    return multiclass_accuracy(model.transform(test))
 
 
 def gbt_multi_target(train: DataFrame, test: DataFrame, targets: Sequence[str], rounds=8, depth=3, seed=7) -> DataFrame:
     """(target, n, mae, mse, rmse, r2, adj_r2): one boosted regressor per target."""
     out = None
-    for y in targets:
-        model = GBTRegressor(labelCol=y, predictionCol="_p", maxIter=rounds, maxDepth=depth, seed=seed).fit(train)
+    with held(train) as data:
+        models = {
+            y: GBTRegressor(labelCol=y, predictionCol="_p", maxIter=rounds, maxDepth=depth, seed=seed).fit(data)
+            for y in targets
+        }
+    for y, model in models.items():
         row = regression_metrics(model.transform(test), y, "_p").select(F.lit(y).alias("target"), "*")
         out = row if out is None else out.unionByName(row)
     return out
@@ -134,10 +141,12 @@ def grid_search_cv(train: DataFrame, folds: int = 3, seed: int = 7) -> DataFrame
     """(depth, bins, auc, best) of a decision-tree grid, points fitted side by side."""
     est = DecisionTreeClassifier(seed=seed)
     grid = ParamGridBuilder().addGrid(est.maxDepth, [2, 5]).addGrid(est.maxBins, [8, 32]).build()
-    cv = CrossValidator(
+    search = CrossValidator(
         estimator=est, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(), numFolds=folds,
         seed=seed, parallelism=4,
-    ).fit(train)
+    )
+    with held(train) as data:
+        cv = search.fit(data)
     best = max(cv.avgMetrics)
     rows = [
         (p[est.maxDepth], p[est.maxBins], float(m), int(m == best)) for p, m in zip(grid, cv.avgMetrics)
@@ -148,8 +157,10 @@ def grid_search_cv(train: DataFrame, folds: int = 3, seed: int = 7) -> DataFrame
 def cross_val_scores(df: DataFrame, estimator, folds: int, fold: str = "fold") -> DataFrame:
     """(fold, n, accuracy, precision, recall, f1) for given fold numbers."""
     out = None
-    for k in range(folds):
-        pred = estimator.fit(df.filter(F.col(fold) != k)).transform(df.filter(F.col(fold) == k))
+    with held(df) as data:
+        models = [estimator.fit(data.filter(F.col(fold) != k)) for k in range(folds)]
+    for k, model in enumerate(models):
+        pred = model.transform(df.filter(F.col(fold) == k))
         row = binary_metrics(pred).select(F.lit(k).alias("fold"), "*")
         out = row if out is None else out.unionByName(row)
     return out
@@ -158,8 +169,10 @@ def cross_val_scores(df: DataFrame, estimator, folds: int, fold: str = "fold") -
 def compare_models(models: Mapping[str, object], train: DataFrame, test: DataFrame) -> DataFrame:
     """(model, n, accuracy, precision, recall, f1, best): best by accuracy, ties by name."""
     out = None
-    for name, est in models.items():
-        row = binary_metrics(est.fit(train).transform(test)).select(F.lit(name).alias("model"), "*")
+    with held(train) as data:
+        fitted = {name: est.fit(data) for name, est in models.items()}
+    for name, model in fitted.items():
+        row = binary_metrics(model.transform(test)).select(F.lit(name).alias("model"), "*")
         out = row if out is None else out.unionByName(row)
     best = out.agg(F.min_by("model", F.struct(-F.col("accuracy"), F.col("model")))).scalar()
     return out.withColumn("best", (F.col("model") == best).cast("int"))

@@ -13,6 +13,7 @@ from tablewright.operators import trees as M
 from tablewright.operators.aggs import describe_numeric
 from tablewright.operators.joins import nearest_assign
 from tablewright.operators.sampling import hash_percent, kfold_assign
+from tablewright.operators.skew import held
 from tablewright.plans.bindings import SPLIT_SQL
 from tablewright.plans.registry import query
 from tablewright.plans.relational import rounded
@@ -327,11 +328,12 @@ def group_representative_rank1(t):
 
 
 def _three_models(train):
-    return {
-        "lr": LogisticRegression(maxIter=15).fit(train),
-        "rf": RandomForestClassifier(numTrees=8, maxDepth=4, seed=7).fit(train),
-        "nb": NaiveBayes(modelType="gaussian").fit(train),
-    }
+    with held(train) as data:
+        return {
+            "lr": LogisticRegression(maxIter=15).fit(data),
+            "rf": RandomForestClassifier(numTrees=8, maxDepth=4, seed=7).fit(data),
+            "nb": NaiveBayes(modelType="gaussian").fit(data),
+        }
 
 
 @query("ensemble_inverse_loss")
