@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tablewright.operators.aggs import histogram
 from tablewright.operators.features import levels_of
 from tablewright.operators.ordering import running_totals, step_window
+from tablewright.operators.skew import attach
 
 
 def confusion_matrix(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -178,7 +179,7 @@ def residual_runs_test(df: DataFrame, keys: Sequence[str], t: str, resid: str) -
     Up to 50 values the distance to the expected count is cut by one half.
     """
     means = df.groupBy(*keys).agg(F.avg(resid).alias("_mean"))
-    side = df.join(means, list(keys)).withColumn("_up", (F.col(resid) >= F.col("_mean")).cast("int"))
+    side = attach(df, means, keys).withColumn("_up", (F.col(resid) >= F.col("_mean")).cast("int"))
     marked = step_window(
         side, keys, t, lambda w: {"_turn": (F.col("_up") != F.lag("_up").over(w)).cast("int")}, before=1
     )

@@ -10,8 +10,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.operators.joins import small_enough
 from tablewright.operators.ordering import dense_index
+from tablewright.operators.skew import attach
+from tablewright.session import pin
 
 MAX_LEVELS = 1_000
 
@@ -33,9 +34,9 @@ def label_index(df: DataFrame, col: str, out: str) -> DataFrame:
 def encode_label(train: DataFrame, rows: DataFrame, col: str, out: str) -> DataFrame:
     """Frequency index fitted on ``train``; values not seen there get the next index."""
     index = label_index(train, col, out)
-    side = F.broadcast(index) if small_enough(index) else index
+    index = pin(index)
     unseen = index.agg(F.count(F.lit(1))).scalar()
-    return rows.join(side, col, "left").withColumn(out, F.coalesce(out, unseen))
+    return attach(rows, index, [col], "left").withColumn(out, F.coalesce(out, unseen))
 
 
 def encode_ordinal(value: Column, order: Sequence) -> Column:

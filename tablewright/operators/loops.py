@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tablewright.operators.ordering import step_window
 from tablewright.operators.project import keyword_flag
+from tablewright.operators.skew import attach
 from tablewright.operators.timeseries import lagged, welch_psd
 
 KEY = ["loop_id"]
@@ -67,7 +68,7 @@ def loop_pv_op_lag(df: DataFrame, max_lag: int) -> DataFrame:
         F.avg("pv").alias("_mp"), F.stddev_pop("pv").alias("_dp"),
         F.avg("op").alias("_mo"), F.stddev_pop("op").alias("_do"),
     )
-    std = df.join(stats, "loop_id").select(
+    std = attach(df, stats, KEY).select(
         "loop_id", "t",
         ((F.col("pv") - F.col("_mp")) / (F.col("_dp") + 1e-9)).alias("_p"),
         ((F.col("op") - F.col("_mo")) / (F.col("_do") + 1e-9)).alias("_o"),

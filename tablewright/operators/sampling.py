@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.operators.ordering import dense_index
+from tablewright.operators.skew import attach
 from tablewright.session import pin
 
 
@@ -25,7 +26,7 @@ def split_stratified(df: DataFrame, key: str, label: str, frac: float = 0.8, out
     ranked = dense_index(hashed, [label], ["_h", key], "_i")
     sizes = df.groupBy(label).agg(F.floor(F.count(F.lit(1)) * F.lit(frac)).alias("_cut"))
     return (
-        ranked.join(sizes, label)
+        attach(ranked, sizes, [label])
         .withColumn(out, F.when(F.col("_i") < F.col("_cut"), "train").otherwise("test"))
         .drop("_h", "_i", "_cut")
     )
@@ -45,7 +46,7 @@ def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     sizes = pin(df.groupBy(label).agg(F.count(F.lit(1)).alias("_n")))  # one row per class
     total = sizes.agg(F.sum("_n")).scalar()
     classes = sizes.agg(F.count(F.lit(1))).scalar()
-    return df.join(sizes.withColumn(out, total / (classes * F.col("_n"))).drop("_n"), label)
+    return attach(df, sizes.withColumn(out, total / (classes * F.col("_n"))).drop("_n"), [label])
 
 
 def imbalance_ratio(df: DataFrame, label: str) -> DataFrame:

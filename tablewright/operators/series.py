@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.operators.ordering import block_scan, step_window
+from tablewright.operators.skew import attach
 
 
 def fill_steps(df: DataFrame, keys: Sequence[str], t: str, chunk: int = 10_000) -> DataFrame:
@@ -89,7 +90,7 @@ def time_split(df: DataFrame, keys, t: str, frac: float = 0.8, out: str = "part"
     span = df.groupBy(*keys).agg(F.min(t).alias("_lo"), F.count(F.lit(1)).alias("_n"))
     head = F.col(t) - F.col("_lo") < F.floor(F.col("_n") * F.lit(frac))
     return (
-        df.join(span, list(keys))
+        attach(df, span, keys)
         .withColumn(out, F.when(head, "train").otherwise("test"))
         .drop("_lo", "_n")
     )
@@ -115,4 +116,4 @@ def series_stats(df: DataFrame, keys, value: str, **more: Column) -> DataFrame:
     stats = df.groupBy(*keys).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), *[
         c.alias(k) for k, c in more.items()
     ])
-    return df.join(stats, list(keys))
+    return attach(df, stats, keys)

@@ -35,6 +35,18 @@ def deal_hot_keys(
     return df.join(side, list(keys), "left").withColumn(out, part).drop("_parts")
 
 
+def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Rows with the statistics of their key, where ``stats`` has one row per key.
+
+    The statistics are written once and counted. Few enough are broadcast, so the
+    rows stay where they are and a hot key does no harm; otherwise both sides are
+    shuffled, and adaptive execution splits a hot key's partition.
+    """
+    fixed = pin(stats)
+    side = F.broadcast(fixed) if small_enough(fixed) else fixed
+    return df.join(side, list(keys), how)
+
+
 def spread_out(df: DataFrame) -> DataFrame:
     """Deal a table that arrives in fewer partitions than there are cores, as one small
     file does, before a fit that reads it many times. Larger tables are left alone.
@@ -43,7 +55,10 @@ def spread_out(df: DataFrame) -> DataFrame:
     that a round-robin needs to be so.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    execution = df._jdf.queryExecution()
+    if "Exchange" in execution.executedPlan().toString():
+        return df  # already placed by a shuffle; counting its partitions would run it
+    if execution.toRdd().getNumPartitions() >= cores:
         return df
     plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (VectorUDT, MapType))]
     return df.repartition(cores, F.xxhash64(*plain))

@@ -21,6 +21,8 @@ from tablewright.operators.evaluate import mape, regression_metrics
 from tablewright.operators.linear import fit_groups, moments, solve_row
 from tablewright.operators.ordering import block_scan, step_window
 from tablewright.operators.series import fourier_terms, lag_diff, rolling_mean_std
+from tablewright.operators.skew import attach
+from tablewright.session import pin
 
 # Published asymptotic critical values, constant case, at 1, 5 and 10 percent.
 ADF_CRITICAL = {"1%": -3.43035, "5%": -2.86154, "10%": -2.56677}
@@ -35,7 +37,7 @@ def _schema(df: DataFrame, keys: Sequence[str], extra: str) -> T.StructType:
 
 def centred(df: DataFrame, keys, value: str, out: str = "_d") -> DataFrame:
     means = df.groupBy(*keys).agg(F.avg(value).alias("_mean"))
-    return df.join(means, list(keys)).withColumn(out, F.col(value) - F.col("_mean")).drop("_mean")
+    return attach(df, means, keys).withColumn(out, F.col(value) - F.col("_mean")).drop("_mean")
 
 
 def lagged(df: DataFrame, keys, t: str, column: str, lags: Sequence[int], prefix: str) -> DataFrame:
@@ -156,7 +158,7 @@ def welch_psd(df: DataFrame, keys, t: str, value: str, nperseg: int, window: str
     span = df.groupBy(*keys).agg(F.min(t).alias("_lo"), F.count(F.lit(1)).alias("_n"))
     size = F.least(F.col("_n"), F.lit(nperseg)).cast("long")
     step = F.col("_size") - F.floor(F.col("_size") / 2)
-    rows = df.join(span, list(keys)).withColumn("_size", size).withColumn("_step", step)
+    rows = attach(df, span, keys).withColumn("_size", size).withColumn("_step", step)
     at = F.col(t) - F.col("_lo")
     last = F.floor((F.col("_n") - F.col("_size")) / F.col("_step"))
     first = F.greatest(F.lit(0), F.ceil((at - F.col("_size") + 1) / F.col("_step")))
@@ -197,12 +199,14 @@ def welch_psd(df: DataFrame, keys, t: str, value: str, nperseg: int, window: str
 
 def trend_season(df: DataFrame, keys, t: str, value: str, period: int):
     """Line per series (keys, slope, intercept, first, last) and seasonal index (keys, pos, season)."""
-    lines = df.groupBy(*keys).agg(
-        F.regr_slope(value, t).alias("slope"),
-        F.regr_intercept(value, t).alias("intercept"),
-        F.max(t).alias("_last"),
+    lines = pin(
+        df.groupBy(*keys).agg(
+            F.regr_slope(value, t).alias("slope"),
+            F.regr_intercept(value, t).alias("intercept"),
+            F.max(t).alias("_last"),
+        )
     )
-    rest = df.join(lines, list(keys)).withColumn(
+    rest = attach(df, lines, keys).withColumn(
         "_rest", F.col(value) - (F.col("intercept") + F.col("slope") * F.col(t))
     )
     season = rest.groupBy(*keys, (F.col(t) % period).alias("pos")).agg(F.avg("_rest").alias("season"))
@@ -213,9 +217,7 @@ def decompose_additive(df: DataFrame, keys, t: str, value: str, period: int) ->
     """Rows with trend, season and fitted value: a straight line plus mean detrended value per position."""
     lines, season = trend_season(df, keys, t, value, period)
     return (
-        df.join(lines.drop("_last"), list(keys))
-        .withColumn("pos", F.col(t) % period)
-        .join(season, [*keys, "pos"])
+        attach(attach(df, lines.drop("_last"), keys).withColumn("pos", F.col(t) % period), season, [*keys, "pos"])
         .withColumn("trend", F.col("intercept") + F.col("slope") * F.col(t))
         .withColumn("fitted", F.col("trend") + F.col("season"))
         .drop("pos", "slope", "intercept")
@@ -242,7 +244,7 @@ def decompose_moving_average(df: DataFrame, keys, t: str, value: str, period: in
     centre = raw.groupBy(*keys).agg(F.avg("_raw").alias("_centre"))
     season = raw.join(centre, list(keys)).select(*keys, "pos", (F.col("_raw") - F.col("_centre")).alias("season"))
     return (
-        rows.join(season, [*keys, "pos"], "left")
+        attach(rows, season, [*keys, "pos"], "left")
         .withColumn("remainder", F.col(value) - F.col("trend") - F.col("season"))
         .drop("pos")
     )
@@ -345,7 +347,7 @@ def forecast_holt_winters(
 def tail_steps(df: DataFrame, keys, t: str, columns: Sequence[str], n: int) -> DataFrame:
     """(keys, last, tail): the last n steps of each series as one sorted array."""
     ends = df.groupBy(*keys).agg(F.max(t).alias("last"))
-    recent = df.join(ends, list(keys)).filter(F.col(t) > F.col("last") - n)
+    recent = attach(df, ends, keys).filter(F.col(t) > F.col("last") - n)
     return recent.groupBy(*keys, "last").agg(
         F.array_sort(F.collect_list(F.struct(t, *columns))).alias("tail")
     )
@@ -390,7 +392,7 @@ def long_ar_residuals(rows: DataFrame, keys, t: str, z: str, order: int, out: st
     fitted = F.col("_c")[0]
     for i, nme in enumerate(names, 1):
         fitted = fitted + F.col("_c")[i] * F.col(nme)
-    return lags.join(fits, list(keys)).withColumn(out, F.col(z) - fitted).drop("_c", *names)
+    return attach(lags, fits, keys).withColumn(out, F.col(z) - fitted).drop("_c", *names)
 
 
 def arma_moments(df: DataFrame, keys, t: str, value: str, d: int, pmax: int, qmax: int, season: int, order: int):
@@ -515,7 +517,7 @@ def forecast_fourier(df: DataFrame, keys, t: str, value: str, period: float, k:
     """(keys, t, forecast): line plus k seasonal waves by least squares, per series."""
     ends = df.groupBy(*keys).agg(F.min(t).alias("_lo"), F.max(t).alias("_hi"))
     terms = ["_rel", *[f"{f}_{j}" for j in range(1, k + 1) for f in ("sin", "cos")]]
-    rows = fourier_terms(df.join(ends, list(keys)), t, period, k).withColumn("_rel", F.col(t) - F.col("_lo"))
+    rows = fourier_terms(attach(df, ends, keys), t, period, k).withColumn("_rel", F.col(t) - F.col("_lo"))
     fits = fit_groups(rows, terms, value, keys).select(*keys, "coef")
     future = ends.withColumn(t, F.explode(F.sequence(F.col("_hi") + 1, F.col("_hi") + h)))
     wide = fourier_terms(future, t, period, k).withColumn("_rel", F.col(t) - F.col("_lo")).join(fits, list(keys))
@@ -534,7 +536,8 @@ def rolling_origin_backtest(df: DataFrame, keys, t: str, value: str, p: int, ori
     """
     d = centred(df, keys, value)
     means = df.groupBy(*keys).agg(F.avg(value).alias("_mu"), F.max(t).alias("_last"))
-    rows = lagged(d, keys, t, "_d", range(1, p + 1), "_l").join(means, list(keys))
+    rows = lagged(d, keys, t, "_d", range(1, p + 1), "_l")
+    rows = attach(rows, means, keys)
     xs = [f"_l{j}" for j in range(1, p + 1)]
     rows = rows.dropna(subset=xs).withColumn(
         "_seg", F.greatest(F.lit(0), F.col(t) - (F.col("_last") - origins)).cast("int")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tablewright.operators.ordering import dense_index, step_window
 from tablewright.operators.sampling import hash_percent as split_bucket  # noqa: F401
 from tablewright.operators.series import fill_steps
-from tablewright.operators.skew import deal_hot_keys
+from tablewright.operators.skew import attach, deal_hot_keys
 
 ITEM_SCHEMA = "array<struct<l_partkey:bigint,l_quantity:double,l_extendedprice:double>>"
 
@@ -102,7 +102,7 @@ class Tables:
             lambda w: {"op": F.avg("pv").over(w.rowsBetween(-2, 0))},
             before=2,
         )
-        return moved.join(setpoint, "loop_id").select("loop_id", "t", "pv", "sp", "op")
+        return attach(moved, setpoint, ["loop_id"]).select("loop_id", "t", "pv", "sp", "op")
 
 
 def SPLIT_SQL(key: str) -> str:

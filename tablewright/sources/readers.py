@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tablewright.operators.skew import attach
+
 
 def read_csv(
     spark: SparkSession,
@@ -68,7 +70,7 @@ def read_loop_files(spark: SparkSession, path: str, id_pattern: str) -> DataFram
     def cell(word: str, kind: str) -> Column:
         return F.try_element_at("cells", F.nullif(F.col(f"_{word}").cast("int"), F.lit(0))).try_cast(kind)
 
-    return cells.join(places, "file").select(
+    return attach(cells, places, ["file"]).select(
         F.regexp_extract("file", id_pattern, 1).cast("long").alias("loop_id"),
         cell("time", "long").alias("t"),
         *[cell(w, "double").alias(w) for w in ("pv", "sp", "op")],
