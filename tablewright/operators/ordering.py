@@ -137,13 +137,15 @@ def step_window(
 
     Each key is cut into blocks of ``block`` steps. The ``before`` steps ahead of
     a block and the ``after`` steps behind it are copied into it, so frames that
-    reach no further are exact, and a task holds one block at most.
+    reach no further are exact. Rows are placed by key and block: input that is
+    already placed by key alone would otherwise keep a long key in one task.
     """
     block = max(block, before + after + 1)
     own = F.floor(F.col(t) / F.lit(block))
     low = F.floor((F.col(t) - F.lit(after)) / F.lit(block))
     high = F.floor((F.col(t) + F.lit(before)) / F.lit(block))
     spread = df.withColumn("_own", own).withColumn("_block", F.explode(F.sequence(low, high)))
+    spread = spread.repartition(*keys, "_block")
     w = Window.partitionBy(*keys, "_block").orderBy(t)
     cols = build(w)
     kept = [c for c in df.columns if c not in cols]
@@ -168,7 +170,7 @@ def block_scan(
     Blocks are reduced to one row each, the reduced rows are scanned per key, and
     the result enters every block as its starting value.
     """
-    tagged = df.withColumn("_block", F.floor(F.col(t) / F.lit(block)))
+    tagged = df.withColumn("_block", F.floor(F.col(t) / F.lit(block))).repartition(*keys, "_block")
     x = F.col(column)
     seen = F.when(x.isNotNull(), F.col(t))
     per_key = Window.partitionBy(*keys).orderBy("_block")

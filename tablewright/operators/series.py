@@ -24,6 +24,7 @@ def fill_steps(df: DataFrame, keys: Sequence[str], t: str, chunk: int = 10_000)
     lo, hi = F.col("_lo"), F.col("_hi")
     span = df.groupBy(*keys).agg(F.min(t).alias("_lo"), F.max(t).alias("_hi"))
     starts = span.withColumn("_from", F.explode(F.sequence(lo, hi, F.lit(chunk).cast("long"))))
+    starts = starts.repartition(*keys, "_from")
     steps = starts.select(
         *keys, F.explode(F.sequence("_from", F.least(hi, F.col("_from") + (chunk - 1)))).alias(t)
     )

@@ -233,10 +233,10 @@ def compare_forecasts(t):
 
 @query("arx_fit")
 def arx_fit(t):
-    """Each loop's pv on its own last value, the last op and the last sp-side demand."""
+    """Each loop's pv on its last value, the last op and, as demand, the last distance from sp."""
     from tablewright.operators.loops import KEY
 
-    rows = TS.lagged(t.loops.withColumn("demand", F.col("t") % 7 * 1.0), KEY, "t", "pv", [1], "pv_")
+    rows = TS.lagged(t.loops.withColumn("demand", F.abs(F.col("sp") - F.col("pv"))), KEY, "t", "pv", [1], "pv_")
     rows = TS.lagged(rows, KEY, "t", "op", [1], "op_")
     rows = TS.lagged(rows, KEY, "t", "demand", [1], "demand_")
     fits = fit_groups(rows, ["pv_1", "op_1", "demand_1"], "pv", KEY)
