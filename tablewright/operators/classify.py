@@ -278,7 +278,10 @@ def group_representative(df: DataFrame, label: str, vec: str, how: str = "mean")
         near = df.join(means, label).groupBy(label).agg(
             F.min_by(vec, F.struct(squared_distance(F.col(vec), F.col("mean")), F.col(vec))).alias("v")
         )
-        return {r[label]: [float(x) for x in r["v"]] for r in near.limit(MAX_CLASSES).collect()}
+        rows = near.limit(MAX_CLASSES + 1).collect()
+        if len(rows) > MAX_CLASSES:
+            raise ValueError("too many classes")
+        return {r[label]: [float(x) for x in r["v"]] for r in rows}
     doubles = F.transform(vec, lambda x: x.cast("double"))
     dim = df.agg(F.max(F.size(vec))).first()[0]
     rows = df.select(label, doubles.alias("v"))

@@ -13,14 +13,17 @@ from tablewright.operators.aggs import histogram
 from tablewright.operators.features import levels_of
 from tablewright.operators.ordering import running_totals, step_window
 from tablewright.operators.skew import attach
+from tablewright.session import pin
 
 
 def confusion_matrix(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """(label, prediction, n) on the full grid of the classes seen on either side."""
-    counts = df.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(
-        F.count(F.lit(1)).alias("n")
+    counts = pin(
+        df.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(
+            F.count(F.lit(1)).alias("n")
+        )
     )
-    seen = df.select(F.explode(F.array(label, prediction)).alias("c"))
+    seen = counts.select(F.explode(F.array("label", "prediction")).alias("c"))
     classes = levels_of(seen, "c")
     cells = F.array(*[F.lit(c) for c in classes])
     grid = df.sparkSession.range(1).select(F.explode(cells).alias("label")).select(

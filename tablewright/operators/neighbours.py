@@ -26,6 +26,7 @@ MAX_PIVOTS = 256
 MAX_CHUNKS = 20_000
 CHUNK_ROWS = 4_096
 QUERY_BATCH = 4_096
+DECIMALS = 12  # distances equal to this many decimals are ties, whatever the order of summation
 
 
 def distances(x: np.ndarray, y: np.ndarray, metric: str) -> np.ndarray:
@@ -46,7 +47,7 @@ def _top(x, y, ids, k, metric):
     if metric == "manhattan" or x.shape[1] <= 8:
         d = distances(x, y, metric)
         kth = np.partition(d, min(k, d.shape[1]) - 1, axis=1)[:, min(k, d.shape[1]) - 1]
-        r, c = np.nonzero(d <= kth[:, None])
+        r, c = np.nonzero(d <= kth[:, None] + 1e-12 * (1 + kth[:, None]))
         dist = d[r, c]
     else:
         # A matrix product finds candidates with a margin for its rounding; these
@@ -57,6 +58,7 @@ def _top(x, y, ids, k, metric):
         slack = 1e-9 * (nx[:, None] + ny.max() + 1.0)
         r, c = np.nonzero(d2 <= kth[:, None] + slack)
         dist = np.sqrt(((x[r] - y[c]) ** 2).sum(axis=1))
+    dist = np.round(dist, DECIMALS)
     order = np.lexsort((ids[c], dist, r))
     r, c, dist = r[order], c[order], dist[order]
     first = np.searchsorted(r, r, side="left")

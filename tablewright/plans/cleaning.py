@@ -199,7 +199,18 @@ def _order_features(t):
     )
 
 
-@query("impute_knn")
+@query(
+    "impute_knn",
+    f"""
+    WITH {DIRTY_ORDERS}, st AS (SELECT l_orderkey, sum(l_quantity) AS q, avg(l_discount) AS d FROM lineitem GROUP BY 1),
+    r AS (SELECT o_orderkey, o_totalprice, coalesce(q, 0) / 50 AS f1, coalesce(d, 0) * 10 AS f2, o_custkey / 1000 AS f3
+      FROM dirty_orders LEFT JOIN st ON l_orderkey = o_orderkey),
+    n AS (SELECT a.o_orderkey, arg_min(b.o_totalprice, {{'d': round(sqrt((a.f1 - b.f1) * (a.f1 - b.f1) + (a.f2 - b.f2) * (a.f2 - b.f2)
+        + (a.f3 - b.f3) * (a.f3 - b.f3)), 12), 'i': b.o_orderkey}}, 5) AS near
+      FROM r a, r b WHERE a.o_totalprice IS NULL AND b.o_totalprice IS NOT NULL GROUP BY 1)
+    SELECT o_orderkey, round(coalesce(o_totalprice, list_avg(near)), 4) AS o_totalprice FROM r LEFT JOIN n USING (o_orderkey)
+    """,
+)
 def impute_knn(t):
     filled = Q.impute_knn(_order_features(t), "o_orderkey", "o_totalprice", ["f1", "f2", "f3"], 5)
     return rounded(filled.select("o_orderkey", "o_totalprice"))

@@ -116,7 +116,17 @@ def champion_challenger(t):
     return rounded(rounds[0].unionByName(rounds[1]).unionByName(rounds[2]))
 
 
-@query("config_profile")
+@query(
+    "config_profile",
+    f"""
+    WITH {DIRTY_ORDERS}, s AS (
+      SELECT 'clean' AS stage, count(*) AS rows FROM dirty_orders
+        WHERE o_orderstatus IS NOT NULL AND o_totalprice IS NOT NULL AND o_orderpriority IS NOT NULL
+      UNION ALL SELECT 'summary', count(DISTINCT o_custkey) FROM orders
+      UNION ALL SELECT 'anomaly', count(*) FROM events WHERE value > (SELECT avg(value) + 3 * stddev_samp(value) FROM events))
+    SELECT config, stage, rows FROM s, (VALUES ('few partitions'), ('more partitions')) c(config)
+    """,
+)
 def config_profile(t):
     stages = {
         "clean": lambda: t.dirty_orders.dropna(),

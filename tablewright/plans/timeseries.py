@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tablewright.operators import timeseries as TS
 from tablewright.operators.linear import fit_groups
 from tablewright.operators.series import lag_features, time_split
-from tablewright.plans.bindings import DAILY, MONTHLY
+from tablewright.plans.bindings import DAILY, LOOPS, MONTHLY
 from tablewright.plans.registry import query
 from tablewright.plans.relational import rounded
 
@@ -70,9 +70,27 @@ def kpss_test(t):
     return rounded(TS.kpss_test(t.monthly, K, "t", "value", 4))
 
 
-@query("stationarity_report")
+@query(
+    "stationarity_report",
+    f"""
+    WITH {MONTHLY}, d AS (SELECT series_id, t, value, value - lag(value) OVER w AS dy, lag(value) OVER w AS x,
+      value - avg(value) OVER (PARTITION BY series_id) AS d FROM monthly WINDOW w AS (PARTITION BY series_id ORDER BY t)),
+    f AS (SELECT series_id, count(*) AS n, regr_slope(dy, x) AS b, regr_sxx(dy, x) AS sxx,
+      regr_syy(dy, x) - regr_sxy(dy, x) * regr_sxy(dy, x) / regr_sxx(dy, x) AS sse FROM d WHERE x IS NOT NULL GROUP BY 1),
+    a AS (SELECT series_id, b / sqrt(sse / (n - 2) / sxx) AS adf FROM f),
+    c AS (SELECT *, sum(d) OVER (PARTITION BY series_id ORDER BY t) AS s,
+      CASE WHEN count(*) OVER r = 12 THEN avg(value) OVER r END AS rm, CASE WHEN count(*) OVER r = 12 THEN stddev_samp(value) OVER r END AS rs
+      FROM d WINDOW r AS (PARTITION BY series_id ORDER BY t ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)),
+    k AS (SELECT series_id, (sum(s * s) / (count(*)::DOUBLE * count(*))) / (sum(d * d) / count(*)) AS kpss,
+      stddev_samp(rm) AS mean_spread, stddev_samp(rs) AS std_spread FROM c GROUP BY 1)
+    SELECT series_id, round(adf, 4) AS adf, CAST(adf < -2.86154 AS INTEGER) AS adf_stationary, round(kpss, 4) AS kpss,
+      CAST(kpss < 0.463 AS INTEGER) AS kpss_stationary, round(mean_spread, 4) AS mean_spread, round(std_spread, 4) AS std_spread,
+      CASE WHEN adf < -2.86154 AND kpss < 0.463 THEN 'stationary' WHEN adf >= -2.86154 AND kpss >= 0.463 THEN 'not stationary'
+        ELSE 'undecided' END AS verdict FROM a JOIN k USING (series_id)
+    """,
+)
 def stationarity_report(t):
-    return rounded(TS.stationarity_report(t.monthly, K, "t", "value", 2, 12))
+    return rounded(TS.stationarity_report(t.monthly, K, "t", "value", 0, 12))
 
 
 @query(
@@ -231,7 +249,23 @@ def compare_forecasts(t):
     return rounded(TS.compare_forecasts(scored, "model", "value", "forecast"))
 
 
-@query("arx_fit")
+@query(
+    "arx_fit",
+    f"""
+    WITH {LOOPS}, r AS (SELECT loop_id, pv AS y, lag(pv) OVER w AS p, lag(op) OVER w AS o, lag(abs(sp - pv)) OVER w AS d
+      FROM loops WINDOW w AS (PARTITION BY loop_id ORDER BY t)),
+    m AS (SELECT loop_id, count(*) AS n, avg(y) AS my, avg(p) AS mp, avg(o) AS mo, avg(d) AS md, var_pop(y) AS yy,
+      var_pop(p) AS a, covar_pop(p, o) AS b, covar_pop(p, d) AS c, var_pop(o) AS dd, covar_pop(o, d) AS e, var_pop(d) AS f,
+      covar_pop(p, y) AS v1, covar_pop(o, y) AS v2, covar_pop(d, y) AS v3 FROM r WHERE p IS NOT NULL GROUP BY 1),
+    s AS (SELECT *, a * (dd * f - e * e) - b * (b * f - c * e) + c * (b * e - c * dd) AS det FROM m),
+    k AS (SELECT *, (v1 * (dd * f - e * e) - b * (v2 * f - e * v3) + c * (v2 * e - dd * v3)) / det AS b1,
+      (a * (v2 * f - e * v3) - v1 * (b * f - c * e) + c * (b * v3 - v2 * c)) / det AS b2,
+      (a * (dd * v3 - v2 * e) - b * (b * v3 - v2 * c) + v1 * (b * e - dd * c)) / det AS b3 FROM s),
+    g AS (SELECT *, yy - b1 * v1 - b2 * v2 - b3 * v3 AS mse FROM k)
+    SELECT loop_id, n, round(my - b1 * mp - b2 * mo - b3 * md, 4) AS const, round(b1, 4) AS b_pv, round(b2, 4) AS b_op,
+      round(b3, 4) AS b_demand, round(sqrt(mse), 4) AS rmse, round(1 - mse / yy, 4) AS r2 FROM g
+    """,
+)
 def arx_fit(t):
     """Each loop's pv on its last value, the last op and, as demand, the last distance from sp."""
     from tablewright.operators.loops import KEY
