@@ -13,12 +13,12 @@ from tablewright.operators.aggs import histogram
 from tablewright.operators.features import levels_of
 from tablewright.operators.ordering import running_totals, step_window
 from tablewright.operators.skew import attach
-from tablewright.session import pin
+from tablewright.session import pin_small
 
 
 def confusion_matrix(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """(label, prediction, n) on the full grid of the classes seen on either side."""
-    counts = pin(
+    counts = pin_small(
         df.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(
             F.count(F.lit(1)).alias("n")
         )

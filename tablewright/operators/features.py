@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tablewright.operators.ordering import dense_index
 from tablewright.operators.skew import attach
-from tablewright.session import pin
+from tablewright.session import pin_small
 
 MAX_LEVELS = 1_000
 
@@ -34,7 +34,7 @@ def label_index(df: DataFrame, col: str, out: str) -> DataFrame:
 def encode_label(train: DataFrame, rows: DataFrame, col: str, out: str) -> DataFrame:
     """Frequency index fitted on ``train``; values not seen there get the next index."""
     index = label_index(train, col, out)
-    index = pin(index)
+    index = pin_small(index)
     unseen = index.agg(F.count(F.lit(1))).scalar()
     return attach(rows, index, [col], "left").withColumn(out, F.coalesce(out, unseen))
 

@@ -115,19 +115,19 @@ def knn(
     # Pinned: the chunk bounds and the rows are read by separate jobs.
     placed = pin(
         dense_index(placed, ["cell"], ["reach", "_rid"], "_i").withColumn(
-            "ring", F.floor(F.col("_i") / chunk_rows)
+            "chunk", F.col("cell").cast("long") * (1 << 32) + F.floor(F.col("_i") / chunk_rows)
         )
     )
     stats = (
-        placed.groupBy("cell", "ring")
+        placed.groupBy("cell", "chunk")
         .agg(F.count(F.lit(1)).alias("n"), F.min("reach").alias("lo"), F.max("reach").alias("hi"))
-        .orderBy("cell", "ring")
+        .orderBy("chunk")
         .toPandas()  # at most MAX_CHUNKS rows
     )
-    cell, ring = stats["cell"].to_numpy(), stats["ring"].to_numpy()
+    cell, chunk = stats["cell"].to_numpy(), stats["chunk"].to_numpy()
     size, lo, hi = stats["n"].to_numpy(), stats["lo"].to_numpy(), stats["hi"].to_numpy()
 
-    @F.pandas_udf("array<struct<cell:int,ring:long>>")
+    @F.pandas_udf("array<long>")
     def candidates(v: pd.Series) -> pd.Series:
         out = []
         step = max(1, 2_000_000 // max(len(cell), 1))
@@ -140,22 +140,18 @@ def knn(
             bound = upper[np.arange(len(d)), order[np.arange(len(d)), at]]
             lower = np.maximum(np.maximum(d - hi, lo - d), 0.0)
             hit = lower <= (bound * (1 + 1e-9) + 1e-12)[:, None]
-            out.extend(
-                [{"cell": int(cell[j]), "ring": int(ring[j])} for j in np.nonzero(h)[0]] for h in hit
-            )
-        return pd.Series(out, index=v.index)
+            out.extend(chunk[h] for h in hit)
+        return pd.Series(out, index=v.index, dtype=object)
 
-    asked = queries.withColumn("_c", F.explode(candidates("_qvec"))).select(
-        "_qid", "_qvec", "_c.cell", "_c.ring"
-    )
+    asked = queries.withColumn("chunk", F.explode(candidates("_qvec")))
     # A chunk that many queries need is dealt to several tasks, each with a part of the queries.
-    load = asked.groupBy("cell", "ring").agg(
+    load = asked.groupBy("chunk").agg(
         F.ceil(F.count(F.lit(1)) / QUERY_BATCH).cast("int").alias("_parts")
     )
-    asked = asked.join(load, ["cell", "ring"]).withColumn(
+    asked = asked.join(load, "chunk").withColumn(
         "salt", F.pmod(F.xxhash64("_qid"), F.col("_parts")).cast("int")
     )
-    held = placed.join(load, ["cell", "ring"]).withColumn(
+    held = placed.join(load, "chunk").withColumn(
         "salt", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
     )
 
@@ -180,9 +176,9 @@ def knn(
         return pd.concat(parts, ignore_index=True)
 
     found = (
-        asked.select("_qid", "_qvec", "cell", "ring", "salt")
-        .groupBy("cell", "ring", "salt")
-        .cogroup(held.select("_rid", "_rvec", "cell", "ring", "salt").groupBy("cell", "ring", "salt"))
+        asked.select("_qid", "_qvec", "chunk", "salt")
+        .groupBy("chunk", "salt")
+        .cogroup(held.select("_rid", "_rvec", "chunk", "salt").groupBy("chunk", "salt"))
         .applyInPandas(measure, schema)
     )
     if exclude_self:

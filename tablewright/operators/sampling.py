@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tablewright.operators.ordering import dense_index
 from tablewright.operators.skew import attach
-from tablewright.session import pin
+from tablewright.session import pin_small
 
 
 def hash_percent(key: Column) -> Column:
@@ -43,7 +43,7 @@ def kfold_assign(df: DataFrame, key: str, k: int, label: str | None = None, out:
 
 def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """n / (number of classes * class size) beside each row."""
-    sizes = pin(df.groupBy(label).agg(F.count(F.lit(1)).alias("_n")))  # one row per class
+    sizes = pin_small(df.groupBy(label).agg(F.count(F.lit(1)).alias("_n")))  # one row per class
     total = sizes.agg(F.sum("_n")).scalar()
     classes = sizes.agg(F.count(F.lit(1))).scalar()
     return attach(df, sizes.withColumn(out, total / (classes * F.col("_n"))).drop("_n"), [label])

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
 from tablewright.operators.joins import small_enough
-from tablewright.session import pin
+from tablewright.session import pin_small
 
 CHUNK = 10_000
 
@@ -27,7 +27,7 @@ def deal_hot_keys(
     keys come from a count with map-side combine; there are at most rows / chunk.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > chunk)
-    hot = pin(counts.select(*keys, F.ceil(F.col("_n") / chunk).alias("_parts")))
+    hot = pin_small(counts.select(*keys, F.ceil(F.col("_n") / chunk).alias("_parts")))
     if hot.isEmpty():
         return df.withColumn(out, F.lit(0).cast("long"))
     side = F.broadcast(hot) if small_enough(hot) else hot
@@ -42,7 +42,7 @@ def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "inn
     rows stay where they are and a hot key does no harm; otherwise both sides are
     shuffled, and adaptive execution splits a hot key's partition.
     """
-    fixed = pin(stats)
+    fixed = pin_small(stats)
     side = F.broadcast(fixed) if small_enough(fixed) else fixed
     return df.join(side, list(keys), how)
 

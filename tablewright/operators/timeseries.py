@@ -22,7 +22,7 @@ from tablewright.operators.linear import fit_groups, moments, solve_row
 from tablewright.operators.ordering import block_scan, step_window
 from tablewright.operators.series import fourier_terms, lag_diff, rolling_mean_std
 from tablewright.operators.skew import attach
-from tablewright.session import pin
+from tablewright.session import pin_small
 
 # Published asymptotic critical values, constant case, at 1, 5 and 10 percent.
 ADF_CRITICAL = {"1%": -3.43035, "5%": -2.86154, "10%": -2.56677}
@@ -199,7 +199,7 @@ def welch_psd(df: DataFrame, keys, t: str, value: str, nperseg: int, window: str
 
 def trend_season(df: DataFrame, keys, t: str, value: str, period: int):
     """Line per series (keys, slope, intercept, first, last) and seasonal index (keys, pos, season)."""
-    lines = pin(
+    lines = pin_small(
         df.groupBy(*keys).agg(
             F.regr_slope(value, t).alias("slope"),
             F.regr_intercept(value, t).alias("intercept"),

@@ -540,10 +540,10 @@ def zscore_outliers(t):
     """,
 )
 def iqr_outliers(t):
-    from tablewright.session import pin
+    from tablewright.session import pin_small
 
     rows = t.events.select("event_id", "value")
-    fences = pin(W.iqr_fences(rows, "value"))
+    fences = pin_small(W.iqr_fences(rows, "value"))
     lower, upper = fences.select("lower").scalar(), fences.select("upper").scalar()
     outside = rows.filter((F.col("value") < lower) | (F.col("value") > upper))
     return outside.select(

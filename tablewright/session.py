@@ -49,12 +49,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and go on from there.
+    """Write ``df`` as a table in the shared folder and go on from there.
 
-    Used where a plan is read twice and must give the same rows both times
-    (range partitions, seeded draws), and between rounds of an iteration. The
-    rows live in the shared folder, so a lost executor costs a re-read only.
+    Used where a plan is read twice and must give the same rows both times (range
+    partitions), and between rounds of an iteration. The rows live in the shared
+    folder, so a lost executor costs a re-read only; as a parquet table they can be
+    pruned, and the planner knows their size.
     """
+    path = scratch_path(df.sparkSession, "pin")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def pin_small(df: DataFrame) -> DataFrame:
+    """The same for a few rows (statistics per key) that several plans read: a reliable
+    checkpoint in the shared folder, with less set-up than a table."""
     spark = df.sparkSession
     root = shared_root(spark)
     if not spark.sparkContext.getCheckpointDir():
