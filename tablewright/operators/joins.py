@@ -19,6 +19,15 @@ def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return len(df.select(F.lit(1)).take(rows + 1)) <= rows
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join in which NULL keys meet NULL keys, as they do in a grouping."""
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(f"l.`{k}`").eqNullSafe(F.col(f"r.`{k}`"))
+    extra = [F.col(f"r.`{c}`") for c in right.columns if c not in keys]
+    return left.alias("l").join(right.alias("r"), cond, how).select("l.*", *extra)
+
+
 def join_inner(left: DataFrame, right: DataFrame, on) -> DataFrame:
     return left.join(right, on, "inner")
 

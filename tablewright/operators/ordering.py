@@ -12,6 +12,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablewright.operators.joins import null_safe_join
 from tablewright.session import pin
 
 BLOCK = 65_536
@@ -41,11 +42,7 @@ def _carry(placed: DataFrame, keys: Sequence[str], totals: Mapping[str, Column])
 
 
 def _rejoin(rows: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
-    cond = F.col("l._pid") == F.col("r._pid")
-    for k in keys:
-        cond = cond & F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
-    extra = [f"r.{c}" for c in carry.columns if c not in (*keys, "_pid")]
-    return rows.alias("l").join(carry.alias("r"), cond).select("l.*", *extra)
+    return null_safe_join(rows, carry, ["_pid", *keys])
 
 
 def dense_index(
@@ -170,11 +167,16 @@ def block_scan(
     Blocks are reduced to one row each, the reduced rows are scanned per key, and
     the result enters every block as its starting value.
     """
-    tagged = df.withColumn("_block", F.floor(F.col(t) / F.lit(block))).repartition(*keys, "_block")
+    # One struct as key: structs with equal NULL fields are equal, in joins too.
+    tagged = (
+        df.withColumn("_key", F.struct(*keys) if keys else F.lit(0))
+        .withColumn("_block", F.floor(F.col(t) / F.lit(block)))
+        .repartition("_key", "_block")
+    )
     x = F.col(column)
     seen = F.when(x.isNotNull(), F.col(t))
-    per_key = Window.partitionBy(*keys).orderBy("_block")
-    local = Window.partitionBy(*keys, "_block").orderBy(t)
+    per_key = Window.partitionBy("_key").orderBy("_block")
+    local = Window.partitionBy("_key", "_block").orderBy(t)
     if how == "sum":
         reduced = F.sum(x)
         carry = F.sum("_red").over(per_key.rowsBetween(Window.unboundedPreceding, -1))
@@ -196,7 +198,7 @@ def block_scan(
         merged = F.coalesce(F.col("_in"), F.col("_carry"))
     else:
         raise ValueError(how)
-    blocks = tagged.groupBy(*keys, "_block").agg(reduced.alias("_red"))
-    carried = blocks.select(*keys, "_block", carry.alias("_carry"))
-    rows = tagged.withColumn("_in", inner).join(carried, [*keys, "_block"])
+    blocks = tagged.groupBy("_key", "_block").agg(reduced.alias("_red"))
+    carried = blocks.select("_key", "_block", carry.alias("_carry"))
+    rows = tagged.withColumn("_in", inner).join(carried, ["_key", "_block"])
     return rows.select(*df.columns, merged.alias(out))

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.operators.joins import null_safe_join
 from tablewright.operators.ordering import block_scan, step_window
 from tablewright.operators.skew import attach
 
@@ -28,7 +29,7 @@ def fill_steps(df: DataFrame, keys: Sequence[str], t: str, chunk: int = 10_000)
     steps = starts.select(
         *keys, F.explode(F.sequence("_from", F.least(hi, F.col("_from") + (chunk - 1)))).alias(t)
     )
-    return steps.join(df, [*keys, t], "left")
+    return null_safe_join(steps, df, [*keys, t], "left")
 
 
 def lag_diff(df: DataFrame, keys, t: str, value: str, out: str = "diff", m: int = 1) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
-from tablewright.operators.joins import small_enough
+from tablewright.operators.joins import null_safe_join, small_enough
 from tablewright.session import pin_small
 
 CHUNK = 10_000
@@ -32,7 +32,7 @@ def deal_hot_keys(
         return df.withColumn(out, F.lit(0).cast("long"))
     side = F.broadcast(hot) if small_enough(hot) else hot
     part = F.pmod(F.xxhash64(*spread), F.coalesce("_parts", F.lit(1).cast("long")))
-    return df.join(side, list(keys), "left").withColumn(out, part).drop("_parts")
+    return null_safe_join(df, side, keys, "left").withColumn(out, part).drop("_parts")
 
 
 def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -44,7 +44,7 @@ def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "inn
     """
     fixed = pin_small(stats)
     side = F.broadcast(fixed) if small_enough(fixed) else fixed
-    return df.join(side, list(keys), how)
+    return null_safe_join(df, side, keys, how)
 
 
 def spread_out(df: DataFrame) -> DataFrame:

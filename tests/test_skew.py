@@ -14,9 +14,9 @@ from tablewright.operators.skew import deal_hot_keys
 
 @pytest.fixture(scope="module")
 def skewed(spark):
-    # Key 0 holds more than a third; values repeat, some are missing.
+    # Key 0 holds more than a third; one key is NULL; values repeat, some are missing.
     n = F.col("id")
-    key = F.when(n % 5 < 2, 0).otherwise(n % 7)
+    key = F.when(n % 5 < 2, 0).when(n % 7 == 6, None).otherwise(n % 7)
     return spark.range(6000, numPartitions=6).select(
         key.alias("k"), n.alias("id"), F.when(n % 11 != 0, (n * 37 % 101).cast("double")).alias("v")
     )
@@ -49,7 +49,8 @@ def test_running_totals(skewed):
 @pytest.mark.parametrize("probs", [{"a": 0.0, "b": 0.5, "c": 1.0}, {"a": 0.25, "b": 0.123, "c": 0.9}])
 def test_exact_quantiles(skewed, probs):
     got = {r["k"]: r for r in O.exact_quantiles(skewed, ["k"], "v", probs).collect()}
-    for k, g in skewed.dropna().toPandas().groupby("k"):
+    frame = skewed.dropna(subset=["v"]).toPandas()
+    for k, g in [*frame.groupby("k"), (None, frame[frame["k"].isna()])]:
         for name, p in probs.items():
             assert got[k][name] == pytest.approx(np.quantile(g["v"], p), abs=1e-9)
 
@@ -114,7 +115,17 @@ def test_interpolation_over_blocks(spark):
 
 
 def test_fill_steps_long_span(spark):
-    df = spark.createDataFrame([(1, 0, 1.0), (1, 25_001, 2.0), (2, 5, 3.0)], "k int, t long, v double")
+    df = spark.createDataFrame([(1, 0, 1.0), (1, 25_001, 2.0), (None, 5, 3.0)], "k int, t long, v double")
     full = S.fill_steps(df, ["k"], "t")
     assert full.count() == 25_002 + 1
     assert full.filter("v IS NOT NULL").count() == 3
+
+
+def test_null_keys_keep_their_rows(skewed):
+    from tablewright.operators.sampling import class_weights
+    from tablewright.operators.timeseries import centred
+
+    weighted = class_weights(skewed, "k")
+    assert weighted.count() == 6000 and weighted.filter("weight IS NULL").count() == 0
+    assert weighted.agg(F.sum("weight")).first()[0] == pytest.approx(6000)
+    assert centred(skewed, ["k"], "v").count() == 6000
