@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablewright.llm import setsketch
+from tablewright.llm import bm25, chat, crf_quality, langid, lm_score, mixing, packing, repetition, setsketch, url_filter
+from tablewright.session import pin, small_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,6 +63,158 @@ def op3_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def _fold(modulus: int, doc_id: str = "doc_id") -> Column:
+    """crc32 of the id as text, modulo; a null id counts as an empty text."""
+    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % modulus
+
+
+@_query("op2_lm_score")
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").withColumn("held_out", _fold(7) == 2)
+    return lm_score.lm_scores(docs, ~F.col("held_out"), keep=["doc_id", "held_out"])
+
+
+def quality_model(docs: DataFrame, labels: DataFrame) -> crf_quality.Model:
+    """Learned from labelled rows outside the held-out fold."""
+    return crf_quality.train(docs, labels, _fold(5) != 0)
+
+
+@_query("op1_crf_quality")
+def op1_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_model(docs, _read(spark, sf_dir, "labels"))
+    scored = crf_quality.quality_scores(docs, model)
+    return scored.select("doc_id", (_fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def language_model(docs: DataFrame) -> langid.Model:
+    """Learned from rows outside the held-out fold."""
+    return langid.train(docs.filter(_fold(4) != 2))
+
+
+@_query("op10_langid")
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = langid.predict(docs.select("doc_id", "text"), language_model(docs))
+    return found.select("doc_id", (_fold(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@_query("op4_repetition_rules")
+def op4_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repetition.repetition_rules(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.drop("text")
+
+
+@_query("op6_best_fit_packing")
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return packed.drop("group_bins", "group_bound")
+
+
+@_query("op8_entropy_mixing")
+def op8_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+#: Host labels that mark a listed host.
+SPAM_LABELS = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+#: host, path, verdict
+URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
+
+
+def spam_hosts(pages: DataFrame) -> DataFrame:
+    """The listed hosts: of every host in ``pages`` what starts at a label of ``SPAM_LABELS``."""
+    host, _ = url_filter.url_parts("url")
+    listed = F.regexp_extract(F.concat(F.lit("."), host), rf"\.((?:{'|'.join(SPAM_LABELS)})(?:\..*)?)$", 1)
+    return pages.select(listed.alias("host"), F.lit("").alias("path"), F.lit("block").alias("verdict"), F.lit(False).alias("ruled")).filter("host <> ''").distinct()
+
+
+@_query(
+    "op5_url_filter",
+    r"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN strpos(coalesce(url, ''), '://') > 0
+    THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (
+  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+ruled AS (
+  SELECT *, CASE
+    WHEN ('.' || host) LIKE '%.example.com' AND path LIKE '/de/%' THEN 'example.com/de/'
+    WHEN ('.' || host) LIKE '%.example.net' AND path LIKE '/en/%' THEN 'example.net/en/'
+    WHEN ('.' || host) LIKE '%.org' AND path LIKE '/fr/%' THEN 'org/fr/'
+    WHEN ('.' || host) LIKE '%.net' AND path LIKE '/%' THEN 'net/' END AS rule FROM parts)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
+    WHEN rule IS NOT NULL THEN 'allow'
+    WHEN regexp_matches('.' || host || '.', '\.(adult-x|ads-track|casino-win|cheap-pills|free-bets|spam-farm)\.') THEN 'block'
+    ELSE 'allow' END AS verdict
+FROM ruled
+""",
+)
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _read(spark, sf_dir, "pages").select("page_id", "url")
+    rules = small_table(spark, [(h, p, v, True) for h, p, v in URL_RULES], "host string, path string, verdict string, ruled boolean")
+    judged = url_filter.judge(pages, rules.unionByName(spam_hosts(pages)))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@_query(
+    "op7_bm25_search",
+    r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+')) AS term FROM documents),
+counts AS (SELECT doc_id, term, count(*) AS n FROM words GROUP BY ALL),
+lengths AS (SELECT d.doc_id, count(w.term) AS len FROM documents d LEFT JOIN words w USING (doc_id) GROUP BY ALL),
+overall AS (SELECT count(*) AS docs, avg(len) AS mean FROM lengths),
+frequency AS (SELECT term, count(*) AS df FROM counts GROUP BY term),
+scored AS (
+  SELECT q.doc_id AS query, d.doc_id, round(sum(q.n * ln(1 + (docs - df + 0.5) / (df + 0.5))
+    * d.n * 2.2 / (d.n + 1.2 * (0.25 + 0.75 * len / mean))), 6) AS score
+  FROM counts q JOIN counts d USING (term) JOIN frequency USING (term)
+    JOIN lengths l ON l.doc_id = d.doc_id CROSS JOIN overall
+  WHERE q.doc_id % 50 = 0 GROUP BY ALL)
+SELECT query, rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, doc_id) AS rank FROM scored)
+WHERE rank <= 10
+""",
+)
+def op7_bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bm25.search(_read(spark, sf_dir, "documents").select("doc_id", "text"), F.col("doc_id") % 50 == 0)
+    return found.withColumn("rank", F.col("rank").cast("long"))
+
+
+@_query(
+    "op9_chat_format",
+    r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+sized AS (
+  SELECT *, 13 + length(regexp_replace(role, '([\\#<\n])', '\1\1', 'g'))
+    + length(regexp_replace(text, '([\\#<])', '\1\1', 'g')) AS n FROM rows)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(n)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+""",
+)
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trick = "\\### Assistant: </turn> ok"
+    extra = small_table(spark, [(-7, 0, "user", trick), (-7, 1, "assistant", trick)], "conv_id long, turn long, role string, text string")
+    rows = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    messages = pin(chat.chain(rows, "conv_id", ["turn", "role", "text"]))
+    pieces = chat.formatted(messages, chat.best_paths(messages, "conv_id"), "conv_id")
+    return chat.read_back(pieces).drop("path").withColumnRenamed("tree", "conv_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
