@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tablewright.llm import bm25, chat, crf_quality, langid, lm_score, mixing, packing, repetition, setsketch, url_filter
+from tablewright.llm.folds import fold, language_model, quality_model
 from tablewright.session import pin, small_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,40 +65,25 @@ def op3_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
-def _fold(modulus: int, doc_id: str = "doc_id") -> Column:
-    """crc32 of the id as text, modulo; a null id counts as an empty text."""
-    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % modulus
-
-
 @_query("op2_lm_score")
 def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _read(spark, sf_dir, "documents").withColumn("held_out", _fold(7) == 2)
+    docs = _read(spark, sf_dir, "documents").withColumn("held_out", fold(7) == 2)
     return lm_score.lm_scores(docs, ~F.col("held_out"), keep=["doc_id", "held_out"])
 
 
-def quality_model(docs: DataFrame, labels: DataFrame) -> crf_quality.Model:
-    """Learned from labelled rows outside the held-out fold."""
-    return crf_quality.train(docs, labels, _fold(5) != 0)
-
-
 @_query("op1_crf_quality")
 def op1_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality_model(docs, _read(spark, sf_dir, "labels"))
     scored = crf_quality.quality_scores(docs, model)
-    return scored.select("doc_id", (_fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
-
-
-def language_model(docs: DataFrame) -> langid.Model:
-    """Learned from rows outside the held-out fold."""
-    return langid.train(docs.filter(_fold(4) != 2))
+    return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
 @_query("op10_langid")
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = langid.predict(docs.select("doc_id", "text"), language_model(docs))
-    return found.select("doc_id", (_fold(4) == 2).alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score")
 
 
 @_query("op4_repetition_rules")
@@ -215,6 +202,11 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(pieces).drop("path").withColumnRenamed("tree", "conv_id")
 
 
+@_query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -30,14 +30,16 @@ def add_columns(
     """
     names = {n.lower() for n, _ in added}
     fields = [f for f in df.schema.fields if f.name.lower() not in names]
-    held = fresh(df.columns, "_text")
-    rows = df.select(*[F.col(f"`{f.name}`") for f in fields], F.col(f"`{text}`").cast("string").alias(held))
+    passed = [F.col(f"`{f.name}`") for f in fields]
+    whole = any(f.name == text and f.dataType == T.StringType() for f in fields)
+    held = text if whole else fresh(df.columns, "_text")
+    rows = df.select(*passed) if whole else df.select(*passed, F.col(f"`{text}`").cast("string").alias(held))
     out = [f.name for f in fields] + [n for n, _ in added]
 
     def run(batches):
         for batch in batches:
             for part in W.slices(batch, held, limit):
-                arrays = [part.column(i) for i in range(part.num_columns - 1)]
+                arrays = [part.column(i) for i in range(len(fields))]
                 yield pa.RecordBatch.from_arrays([*arrays, *compute(part.column(held))], names=out)
 
     schema = T.StructType(fields + [T.StructField(n, T._parse_datatype_string(k)) for n, k in added])

@@ -13,7 +13,6 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +30,6 @@ SCALE = 20.0  # of a relative frequency
 UNKNOWN = "und"
 
 
-@cache
 def _folded() -> np.ndarray:
     """Code point -> its lower case if a letter or mark, else 0."""
     out = np.zeros(0x110000, np.uint32)
@@ -43,7 +41,6 @@ def _folded() -> np.ndarray:
     return out
 
 
-@cache
 def _letters() -> np.ndarray:
     out = np.zeros(0x110000, bool)
     out[[i for i in range(0x32000) if unicodedata.category(chr(i))[0] == "L"]] = True
@@ -60,7 +57,7 @@ def code_points(column) -> tuple[np.ndarray, np.ndarray]:
 
 def gram_buckets(points: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For n = 1, 2, 3: buckets of the n-grams that hold a letter, and each row's first n-gram."""
-    c = _folded()[points]
+    c = W.kept("folded", _folded)[points]
     row_end = np.repeat(first[1:], np.diff(first))
     at = np.arange(len(c))
     for n in (1, 2, 3):
@@ -104,7 +101,7 @@ class Model:
         """Language and confidence of each text; ``und`` and 0 without a letter or a model."""
         points, first = code_points(column)
         n, k = len(first) - 1, len(self.languages)
-        lettered = W.totals(_letters()[points], first) > 0
+        lettered = W.totals(W.kept("letters", _letters)[points], first) > 0
         if k == 0:
             return [UNKNOWN] * n, np.zeros(n)
         sums, seen = np.zeros((n, k)), np.zeros(n)

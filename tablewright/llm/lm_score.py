@@ -1,11 +1,12 @@
 """Language-model scores from a weighted backoff automaton.
 
-The model is an n-gram model with hierarchical Dirichlet smoothing,
-``P(w | h) = (c(h w) + MU * P(w | h')) / (c(h) + MU)``, over an add-one base, learned from all
-training rows. Read as an automaton, every context ``h`` that training saw is a state, every
-n-gram ``h w`` that it saw an arc, and a failure arc of weight ``MU / (c(h) + MU)`` leads from
-``h`` to the shorter context ``h'`` when there is no arc for ``w``. The root has an arc for
-every token, an unseen one included.
+The model is an n-gram model learned from all training rows, with Witten-Bell smoothing:
+``P(w | h) = (c(h w) + t(h) * P(w | h')) / (c(h) + t(h))``, where ``t(h) = c(h) ** g`` stands for the
+kinds of token that follow ``h``, and ``g`` is such that they sum to the corpus's distinct
+n-grams. Read as an automaton, every context ``h`` that training saw is a state, every n-gram
+``h w`` that it saw an arc, and a failure arc of weight ``t(h) / (c(h) + t(h))`` leads from ``h`` to the
+shorter context ``h'`` when there is no arc for ``w``. The root has an arc for every known token,
+``(c - D) / N`` by absolute discounting, and one of weight ``D * V / N`` for all unknown ones.
 
 The automaton grows with the corpus, so no task holds all of it. Documents are dealt into
 blocks of about ``BLOCK`` bytes. A block sends each of its distinct n-grams once, with its own
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from tablewright.llm import words as W
 
 ORDER = 2
-MU = 20.0
+POWERS = np.linspace(0.0, 1.0, 41)  # exponents g at which sums of c ** g are known
 BLOCK = 16 << 20  # bytes of text in a block of documents
 PART = 8 << 20  # bytes of text that give the n-grams of one part
 _U = np.uint64
@@ -84,7 +85,7 @@ def _unpack(raw: bytes, width: int) -> np.ndarray:
 
 
 _SENT = "level int, part long, block long, keys binary, counts binary"
-_TOTAL = "block long, level int, part long, keys binary, totals binary, tokens long, kinds long"
+_TOTAL = "block long, level int, part long, keys binary, totals binary, sums binary"
 
 
 def _sender(order: int, parts: int):
@@ -97,12 +98,12 @@ def _sender(order: int, parts: int):
             cuts = np.searchsorted(owner, np.arange(parts + 1, dtype=np.uint64))
             for p in range(parts):
                 s, e = cuts[p], cuts[p + 1]
-                if e > s or level == 1:  # every part of level 1 tells every block its totals
-                    out["level"].append(level)
-                    out["part"].append(p)
-                    out["block"].append(key[0].as_py())
-                    out["keys"].append(_pack(keys[s:e], width))
-                    out["counts"].append(counts[s:e].astype(np.uint32).tobytes())
+                # also without keys: every part tells every block its totals
+                out["level"].append(level)
+                out["part"].append(p)
+                out["block"].append(key[0].as_py())
+                out["keys"].append(_pack(keys[s:e], width))
+                out["counts"].append(counts[s:e].astype(np.uint32).tobytes())
         return pa.table(out, schema=pa.schema([("level", pa.int32()), ("part", pa.int64()), ("block", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())]))
 
     return send
@@ -126,48 +127,55 @@ def _adder(parts: int):
         sums = np.add.reduceat(own[order], starts) if len(starts) else np.zeros(0, np.int64)
         total = np.empty(len(keys), np.int64)
         total[order] = sums[np.cumsum(new) - 1]
-        tokens, kinds = int(sums.sum()), int((sums > 0).sum())
-        out = {"block": [], "level": [], "part": [], "keys": [], "totals": [], "tokens": [], "kinds": []}
+        seen = sums[sums > 0].astype(np.float64)
+        facts = [seen.sum(), len(seen), (seen == 1).sum(), (seen == 2).sum(), *((seen**g).sum() for g in POWERS)]
+        out = {"block": [], "level": [], "part": [], "keys": [], "totals": [], "sums": []}
         at = 0
         for block, n in zip(blocks, sizes):
             changed = total[at : at + n] != own[at : at + n]
-            if level == 1 or changed.any():
-                out["block"].append(block)
-                out["level"].append(level)
-                out["part"].append(part)
-                out["keys"].append(_pack(keys[at : at + n][changed], width))
-                out["totals"].append(total[at : at + n][changed].astype(np.uint64).tobytes())
-                out["tokens"].append(tokens)
-                out["kinds"].append(kinds)
+            out["block"].append(block)
+            out["level"].append(level)
+            out["part"].append(part)
+            out["keys"].append(_pack(keys[at : at + n][changed], width))
+            out["totals"].append(total[at : at + n][changed].astype(np.uint64).tobytes())
+            out["sums"].append(np.array(facts).tobytes())
             at += n
-        return pa.table(out, schema=pa.schema([("block", pa.int64()), ("level", pa.int32()), ("part", pa.int64()), ("keys", pa.binary()), ("totals", pa.binary()), ("tokens", pa.int64()), ("kinds", pa.int64())]))
+        return pa.table(out, schema=pa.schema([("block", pa.int64()), ("level", pa.int32()), ("part", pa.int64()), ("keys", pa.binary()), ("totals", pa.binary()), ("sums", pa.binary())]))
 
     return add
 
 
-def walk(grams: _Grams, counts: list[np.ndarray], tokens: int, kinds: int, mu: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _exponent(powers: np.ndarray, kinds: float) -> float:
+    """The g at which the sum of c ** g over the contexts is the number of n-grams."""
+    return float(np.interp(kinds, powers, POWERS)) if powers[-1] > powers[0] else 1.0
+
+
+def walk(grams: _Grams, counts: list[np.ndarray], facts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Base and model log10 probability of each row, and its known tokens.
 
-    The state before a token is the longest context that training saw; all positions of a
-    block follow their failure arcs together, one order at a time, shortest state first.
+    ``facts``: for each order the corpus's n-grams, kinds, kinds seen once and twice, and sums
+    of powers. The state before a token is the longest context that training saw; all
+    positions of a block follow their failure arcs together, one order at a time.
     """
+    tokens, kinds, once, twice = facts[0][:4]
     own = counts[0][grams.levels[0][2]]
     base = np.log10((own + 1.0) / (tokens + 1.0 * (kinds + 1)))
-    prob = base.copy()
+    cut = np.clip(once / (once + 2 * twice), 0.1, 0.9) if once + twice else 0.5
+    prob = np.where(own > 0, (own - cut) / max(tokens, 1), cut * kinds / tokens if tokens else 1.0)
     context = own  # training count of the n-gram that ends at each position
-    starts = counts[0][grams.levels[0][2][grams.first[1:] - 1]] if grams.rows else own  # every text begins once and ends once
+    starts = counts[0][grams.levels[0][2][grams.first[1:] - 1]]  # every text begins once and ends once
     for n in range(2, len(counts) + 1):
         which, at = grams.levels[n - 1][2], grams.levels[n - 1][3]
         arc = counts[n - 1][which].astype(float)
         before = np.empty(len(own))
         before[1:] = context[:-1]
-        # at a row's first token the only context is the beginning of the text
-        before[grams.first[:-1]] = starts
+        before[grams.first[:-1]] = starts  # at a row's first token the context is the beginning of the text
         state = before[at]
-        prob[at] = np.log10((arc + mu * 10.0 ** prob[at]) / (state + mu))
+        left = state ** _exponent(facts[n - 2][4:], facts[n - 1][1])
+        prob[at] = np.where(state > 0, (arc + left * prob[at]) / np.maximum(state + left, 1), prob[at])
         context = np.zeros(len(own), np.int64)
         context[at] = counts[n - 1][which]
-    return W.totals(base, grams.first), W.totals(prob, grams.first), W.totals(own > 0, grams.first)
+    return W.totals(base, grams.first), W.totals(np.log10(prob), grams.first), W.totals(own > 0, grams.first)
 
 
 def lm_scores(
@@ -176,7 +184,6 @@ def lm_scores(
     text: str = "text",
     keep: Sequence[str] = ("doc_id",),
     order: int = ORDER,
-    mu: float = MU,
     block_bytes: int = BLOCK,
     part_bytes: int = PART,
 ) -> DataFrame:
@@ -201,20 +208,20 @@ def lm_scores(
     def score(left, right):
         grams = _Grams(left["text"], np.asarray(left["train"]), order, parts)
         counts = [level[1].copy() for level in grams.levels]
-        tokens = kinds = 0
-        for level, part, raw, sums, n, v in zip(*(right[c].to_pylist() for c in ("level", "part", "keys", "totals", "tokens", "kinds"))):
+        facts = [np.zeros(4 + len(POWERS)) for _ in counts]
+        told = right.sort_by([("level", "ascending"), ("part", "ascending")])
+        for level, part, raw, totals, sums in zip(*(told[c].to_pylist() for c in ("level", "part", "keys", "totals", "sums"))):
             keys = _unpack(raw, 8 if level == 1 else bits // 8)
-            if level == 1:
-                tokens, kinds = tokens + n, kinds + v
-            else:
+            if level > 1:
                 keys = keys | _U(part << bits)
-            counts[level - 1][np.searchsorted(grams.levels[level - 1][0], keys)] = np.frombuffer(sums, np.uint64)
-        base, prob, known = walk(grams, counts, tokens, kinds, mu)
+            counts[level - 1][np.searchsorted(grams.levels[level - 1][0], keys)] = np.frombuffer(totals, np.uint64)
+            facts[level - 1] += np.frombuffer(sums)
+        base, prob, known = walk(grams, counts, facts)
         out = left.select(names)
         for name, value in (
             ("n_tokens", grams.tokens.astype(np.int64)),
             ("n_known", known.astype(np.int64)),
-            ("train_tokens", np.full(grams.rows, tokens, np.int64)),
+            ("train_tokens", np.full(grams.rows, round(facts[0][0]), np.int64)),
             ("base_score", base),
             ("score", prob),
         ):

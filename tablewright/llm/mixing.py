@@ -66,6 +66,10 @@ def targets(sizes: DataFrame, weights: Sequence[float], share: float, ceiling: f
     return table.select("_source", "source_size", F.least(F.lit(level) * F.col("_weight"), cap).alias("target"))
 
 
+def _none() -> Column:
+    return F.array().cast("array<long>")
+
+
 def _rate(tilt: Column, size: Column, mean: Column, ceiling: float, full: Column) -> Column:
     return F.when(full, F.lit(float(ceiling))).otherwise(F.least(F.lit(float(ceiling)), F.exp(tilt * size / mean)))
 
@@ -110,32 +114,31 @@ def tilts(rows: DataFrame, aims: DataFrame, ceiling: float) -> DataFrame:
     return state.select(*base.columns, "tilt")
 
 
-def _uniform(k: int) -> Column:
-    """In (0, 1): the k-th draw of a row."""
-    return (F.pmod(F.xxhash64("_draw", F.lit(k)), F.lit(1 << 40)) + 0.5) / float(1 << 40)
-
+def _bucket(k: Column, left: Column) -> Column:
+    """Place of a row in fill ``k``, 0 to BUCKETS. The first fill orders rows by draw / remainder,
+    so the chance of a copy is the remainder; later ones by a fresh draw."""
+    draw = (F.pmod(F.xxhash64("_draw", k), F.lit(1 << 40)) + 0.5) / float(1 << 40)
+    return F.floor(F.when(k == 0, draw / (draw + left)).otherwise(draw) * BUCKETS).cast("long")
 
-def _copies(ceiling: int, fills: int) -> Column:
-    """Copies of a row joined with its source's ``tilt, mean, full, edges, gaps``.
 
-    Fill k takes one more copy of rows of size ``gaps[k]`` at most whose bucket is below ``edges[k]``.
-    """
+def _rest(ceiling: int) -> Column:
+    """The part of a row's rate beyond whole copies."""
     rate = _rate(F.col("tilt"), F.col("_size").cast("double"), F.col("mean"), ceiling, F.col("full"))
-    whole = F.floor(rate)
-    left = rate - whole
-    copies = whole
-    for k in range(fills):
-        fits = (F.col("_size") <= F.element_at("gaps", k + 1)) & (F.col("_size") > 0)
-        copies = copies + F.when(fits & (copies < ceiling) & (_bucket(k, left) < F.element_at("edges", k + 1)), 1).otherwise(0)
-    return copies.cast("long")
+    return rate - F.floor(rate)
+
+
+def _copies(ceiling: int) -> Column:
+    """Copies of a row joined with its source's ``tilt, mean, full, edges, gaps``: the whole copies
+    of its rate, and one more in each fill k in which it fits, its size being ``gaps[k]`` at
+    most and its bucket below ``edges[k]``, up to the ceiling."""
+    whole = F.floor(_rate(F.col("tilt"), F.col("_size").cast("double"), F.col("mean"), ceiling, F.col("full"))).cast("long")
+    fills = F.when(F.size("edges") > 0, F.sequence(F.lit(0), F.size("edges") - 1)).otherwise(F.array().cast("array<int>"))
 
+    def one(n: Column, k: Column) -> Column:
+        fits = (F.col("_size") > 0) & (F.col("_size") <= F.get("gaps", k)) & (n < ceiling)
+        return n + F.when(fits & (_bucket(k, _rest(ceiling)) < F.get("edges", k)), 1).otherwise(0).cast("long")
 
-def _bucket(k: int, left: Column) -> Column:
-    """The first fill orders rows by draw / remainder, so the chance of a copy is the
-    remainder; later ones by a fresh draw."""
-    draw = _uniform(k)
-    place = draw / (draw + left) if k == 0 else draw
-    return F.floor(place * BUCKETS).cast("long")
+    return F.aggregate(fills, whole, one)
 
 
 def plan(rows: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, ceiling: int = CEILING) -> DataFrame:
@@ -147,19 +150,17 @@ def plan(rows: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHA
     """
     sizes = rows.groupBy("_source").agg(F.sum("_size").alias("source_size"))
     state = tilts(rows, targets(pin(sizes), weights, share, ceiling), ceiling)
-    left = _rate(F.col("tilt"), F.col("_size").cast("double"), F.col("mean"), ceiling, F.col("full"))
-    first = null_safe_join(rows, state, ["_source"]).groupBy("_source").agg(F.sum(F.floor(left) * F.col("_size")).alias("used"))
-    none = F.array().cast("array<long>")
+    first = null_safe_join(rows, state.withColumns({"edges": _none(), "gaps": _none()}), ["_source"])
+    first = first.groupBy("_source").agg(F.sum(_copies(ceiling) * F.col("_size")).alias("used"))
     missing = F.greatest(F.floor(F.col("target")) - F.coalesce("used", F.lit(0)), F.lit(0)).cast("long")
-    state = pin(null_safe_join(state, first, ["_source"], "left").select(*state.columns, missing.alias("gap"), none.alias("edges"), none.alias("gaps")))
-    left = left - F.floor(left)
+    state = pin(null_safe_join(state, first, ["_source"], "left").select(*state.columns, missing.alias("gap"), _none().alias("edges"), _none().alias("gaps")))
     run = F.sum("words").over(Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0))
     for k in range(FILLS):
         open_rows = null_safe_join(rows, state, ["_source"]).filter(
-            (F.col("_size") > 0) & (F.col("_size") <= F.col("gap")) & (_copies(ceiling, k) < ceiling)
+            (F.col("_size") > 0) & (F.col("_size") <= F.col("gap")) & (_copies(ceiling) < ceiling)
         )
-        buckets = open_rows.groupBy("_source", _bucket(k, left).alias("_bucket")).agg(F.sum("_size").alias("words"), F.first("gap").alias("gap"))
-        buckets = buckets.withColumn("run", run)
+        buckets = open_rows.groupBy("_source", _bucket(F.lit(k), _rest(ceiling)).alias("_bucket")).agg(F.sum("_size").alias("words"), F.first("gap").alias("gap"))
+        buckets = buckets.filter(F.col("_bucket") < BUCKETS).withColumn("run", run)
         over = F.col("run") > F.col("gap")
         edge = buckets.groupBy("_source").agg(
             F.coalesce(F.min(F.when(over, F.col("_bucket"))), F.lit(BUCKETS)).alias("edge"),
@@ -177,7 +178,7 @@ def plan(rows: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHA
         )
         going = state.filter("open").head(1)
         state = state.drop("open")
-        if not going:
+        if k and not going:
             break
     return state
 
@@ -207,8 +208,7 @@ def mix(
 
 
 def _applied(rows: DataFrame, state: DataFrame, ceiling: int, columns: Sequence[str]) -> DataFrame:
-    fills = state.select(F.max(F.size("edges"))).first()[0] or 0
-    found = null_safe_join(rows, state, ["_source"]).withColumn("_n", _copies(ceiling, fills))
+    found = null_safe_join(rows, state, ["_source"]).withColumn("_n", _copies(ceiling))
     return found.select(
         *[f"`{c}`" for c in columns],
         F.col("_size").alias("size"),

@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Sequence
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -61,11 +60,6 @@ class Encoder:
         return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
-@cache
-def _encoder(vocabulary: str) -> Encoder:
-    return Encoder(vocabulary)
-
-
 def default_vocabulary() -> str:
     """The public byte-level BPE vocabulary of 50,257 ids, without its file ending."""
     import public_tokenizers
@@ -87,7 +81,8 @@ def pieces(
     rows = docs.select(*[F.col(c).alias(n) for n, c in zip(names, keep)], F.col(text).cast("string").alias("text"))
 
     def run(batches):
-        encoder = _encoder(vocabulary or default_vocabulary())
+        path = vocabulary or default_vocabulary()
+        encoder = W.kept(f"encoder {path}", lambda: Encoder(path))
         for batch in batches:
             for part in W.slices(batch, "text", 1 << 21):
                 take, out = [], {"piece": [], "start": [], "length": [], "ids_crc32": []}

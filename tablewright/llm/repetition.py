@@ -20,7 +20,7 @@ from tablewright.llm.frames import add_columns
 
 SHORTEST = 4  # words in a repeated substring
 MAX_COVERED = 0.30  # of a text's words
-MAX_REPEAT = 200  # words in the longest repeat
+MAX_REPEAT = 100  # words in the longest repeat
 
 _SYMBOL = np.zeros(256, np.uint8)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = 1
@@ -75,7 +75,7 @@ def common_prefixes(items: np.ndarray, first: np.ndarray, order: np.ndarray) ->
     pair = np.flatnonzero((row[order][1:] == row[order][:-1]) & (items[order][1:] == items[order][:-1])) + 1
     if not len(pair):
         return out
-    up, down = W._powers(n)
+    up, down = W.powers(n)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(items * up[:n])])
     a, b = order[pair - 1], order[pair]
     room = np.minimum(end[a] - a, end[b] - b)

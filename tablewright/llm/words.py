@@ -8,7 +8,9 @@ keeps state between batches, and temporaries are a small multiple of a window of
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -88,16 +90,26 @@ def line_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-_POWERS = {"n": 0}
+def kept(name: str, make: Callable[[], object]):
+    """What ``make`` gives, made once in a process.
+
+    Functions travel to tasks by value, so a module's own variables would begin anew in
+    every task; a module of this name lives as long as the worker.
+    """
+    store = sys.modules.setdefault("tablewright_kept", ModuleType("tablewright_kept")).__dict__
+    if name not in store:
+        store[name] = make()
+    return store[name]
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if _POWERS["n"] < n:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0..n of the multiplier and of its inverse, modulo 2**64."""
+
+    def make(size: int) -> tuple[np.ndarray, np.ndarray]:
         inverse = pow(MULTIPLIER, -1, 1 << 64)
-        _POWERS["up"] = np.cumprod(np.r_[_U(1), np.full(n, _U(MULTIPLIER))])
-        _POWERS["down"] = np.cumprod(np.r_[_U(1), np.full(n, _U(inverse))])
-        _POWERS["n"] = n
-    return _POWERS["up"], _POWERS["down"]
+        return np.cumprod(np.r_[_U(1), np.full(size, _U(MULTIPLIER))]), np.cumprod(np.r_[_U(1), np.full(size, _U(inverse))])
+
+    return kept("powers", lambda: make(WINDOW)) if n <= WINDOW else make(n)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -118,7 +130,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     while first < len(starts):
         last = max(int(np.searchsorted(ends, starts[first] + WINDOW, side="right")), first + 1)
         low, high = int(starts[first]), int(ends[last - 1])
-        up, down = _powers(max(high - low, WINDOW))
+        up, down = powers(high - low)
         sums = np.empty(high - low + 1, np.uint64)
         sums[0] = 0
         np.cumsum((data[low:high].astype(np.uint64) + _U(1)) * up[: high - low], out=sums[1:])
