@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.operators.ordering import exact_quantiles
-from tablewright.operators.skew import CHUNK, deal_hot_keys
+from tablewright.operators.skew import CHUNK, in_pages
 
 
 def stack_columns(stats: DataFrame, labels: Sequence[Sequence], fields: Sequence[Sequence[str]],
@@ -63,21 +63,26 @@ def nested_quantity(df: DataFrame, key: str, items: str, schema: str, product: s
 def collect_items(
     df: DataFrame, key: str, item_id: str, fields: Sequence[str], out: str = "items", chunk: int = CHUNK
 ) -> DataFrame:
-    """(key, part, items): the rows of a key as sorted arrays of structs.
+    """(key, part, items): the rows of a key as sorted arrays of structs, ``chunk`` rows a part.
 
-    Keys with up to ``chunk`` rows are one array (part 0); a larger key is dealt
-    over several parts, so no array grows with the data.
+    Part p holds the rows p * chunk and on in the order of the fields, so no array grows
+    with the data and the parts of a key, one after another, are its sorted rows.
     """
-    dealt = deal_hot_keys(df, [key], [item_id], chunk)
+    dealt = in_pages(df, [key], list(dict.fromkeys([*fields, item_id])), chunk, "part")
     return dealt.groupBy(key, "part").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias(out))
 
 
 def flatten_lists(
     df: DataFrame, keys: Sequence[str], lists: str, item_id: str, out: str, chunk: int = CHUNK
 ) -> DataFrame:
-    """(keys, part, out): the arrays of a group as one sorted array; large groups in parts."""
-    dealt = deal_hot_keys(df, keys, [item_id], chunk)
-    return dealt.groupBy(*keys, "part").agg(F.array_sort(F.flatten(F.collect_list(lists))).alias(out))
+    """(keys, part, out): the elements of a group's arrays, sorted, ``chunk`` elements a part.
+
+    ``item_id`` tells apart rows of a group; parts are counted in elements, however long
+    the arrays are.
+    """
+    spread = df.select(*keys, item_id, F.posexplode(lists).alias("_at", "_x"))
+    dealt = in_pages(spread, keys, ["_x", item_id, "_at"], chunk, "part")
+    return dealt.groupBy(*keys, "part").agg(F.array_sort(F.collect_list("_x")).alias(out))
 
 
 def top_products(quantities: DataFrame, key: str, product: str, k: int) -> DataFrame:

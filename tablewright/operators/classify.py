@@ -117,25 +117,24 @@ def gaussian_parameters(train: DataFrame, label: str, xs: Sequence[str], cov: st
     def matrix(row):
         s = np.zeros((len(xs), len(xs)))
         for i, j in pairs:
-            s[i, j] = s[j, i] = row[f"c{i}_{j}"]
+            s[i, j] = s[j, i] = row[f"c{i}_{j}"] or 0.0
         return s
 
-    rows = train.groupBy(label).agg(*aggs()).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError("too many classes")
-    rows = sorted(rows, key=lambda r: r[label])
+    # One row a class, as many as the result's parameters.
+    rows = sorted(train.filter(F.col(label).isNotNull()).groupBy(label).agg(*aggs()).collect(), key=lambda r: r[label])
     total = sum(r["n"] for r in rows)
     if cov == "pooled":
         shared = matrix(train.agg(*aggs()).first())
     elif cov == "within":
-        shared = sum((r["n"] - 1) * matrix(r) for r in rows) / (total - len(rows))
+        shared = sum((r["n"] - 1) * matrix(r) for r in rows if r["n"] > 1) / max(total - len(rows), 1)
+    elif cov == "own":
+        shared = matrix(train.agg(*aggs()).first())  # for classes of a single row
     else:
         shared = np.eye(len(xs))
-    if np.linalg.cond(shared) > 1e10:
-        shared = shared + 1e-6 * np.eye(len(xs))
+    shared = _regular(np.zeros((len(xs), len(xs))) + shared)
     out = []
     for r in rows:
-        s = matrix(r) if cov == "own" else shared
+        s = _regular(matrix(r)) if cov == "own" and r["n"] > 1 else shared
         out.append(
             {
                 "label": r[label],
@@ -148,6 +147,13 @@ def gaussian_parameters(train: DataFrame, label: str, xs: Sequence[str], cov: st
     return out
 
 
+def _regular(s: np.ndarray) -> np.ndarray:
+    """The matrix, or with a little on its diagonal if it cannot be inverted safely."""
+    if np.isfinite(s).all() and np.linalg.cond(s) <= 1e10:
+        return s
+    return np.nan_to_num(s) + 1e-6 * max(float(np.trace(np.nan_to_num(s))) / len(s), 1.0) * np.eye(len(s))
+
+
 def log_joint(params: Mapping, xs: Sequence[str]) -> Column:
     """Log density plus log prior of one class, up to a constant shared by all classes."""
     d = [F.col(x) - F.lit(float(m)) for x, m in zip(xs, params["mean"])]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tablewright.operators.joins import nearest_assign
 from tablewright.operators.skew import spread_out
-from tablewright.session import small_table
+from tablewright.session import pin, small_table
 
 
 def as_vector(df: DataFrame, vec: str) -> DataFrame:
@@ -112,6 +112,7 @@ def facility_location(
     holds. Stops when the places do not move. Ties go to the first facility.
     """
     places = [tuple(map(float, p)) for p in start]
+    df = pin(df.select(x, y, w))  # read once a round
 
     def assigned(ps):
         options = F.array(

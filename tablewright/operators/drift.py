@@ -16,11 +16,11 @@ EPS = 1e-6
 def reference_edges(ref: DataFrame, cols: Sequence[str], bins: int = 10) -> dict[str, list[float]]:
     """Distinct quantile edges per feature; equal-width edges where fewer than three remain.
 
-    bins + 1 numbers per feature come to the driver.
+    bins + 1 numbers per feature come to the driver. A feature without values has no edges.
     """
     probs = {f"q{i}": i / bins for i in range(bins + 1)}
     rows = exact_quantiles(long_values(ref, cols), ["column_name"], "value", probs).collect()
-    out = {}
+    out: dict[str, list[float]] = {c: [] for c in cols}
     for r in rows:
         edges = sorted({r[p] for p in probs})
         if len(edges) < 3:
@@ -32,6 +32,8 @@ def reference_edges(ref: DataFrame, cols: Sequence[str], bins: int = 10) -> dict
 
 def _bin_tests(col: str, edges: Sequence[float], overflow: bool) -> list[Column]:
     x = F.col(col).cast("double")
+    if not edges:
+        return [F.lit(False)]
     tests = [(x >= lo) & (x < hi) for lo, hi in zip(edges[:-2], edges[1:-1])]
     tests.append((x >= edges[-2]) & (x <= edges[-1]))
     if overflow:
@@ -52,12 +54,16 @@ def bin_counts(df: DataFrame, edges: dict[str, list[float]], overflow: bool = Fa
 
 
 def psi_from_counts(ref: DataFrame, new: DataFrame, threshold: float = 0.2) -> DataFrame:
-    """(feature, psi, drift, overall_drift) from two bin-count tables (features x bins rows)."""
+    """(feature, psi, drift, overall_drift) from two bin-count tables (features x bins rows).
+
+    A feature without reference values has a NULL psi and no drift flag.
+    """
     totals = lambda d: d.groupBy("feature").agg(F.sum("n").alias("_t"))
     e = ref.join(totals(ref), "feature").select("feature", "bin", (F.col("n") / (F.col("_t") + EPS)).alias("e"))
     a = new.join(totals(new), "feature").select("feature", "bin", (F.col("n") / (F.col("_t") + EPS)).alias("a"))
     term = (F.col("a") - F.col("e")) * F.log((F.col("a") + EPS) / (F.col("e") + EPS))
-    psi = e.join(a, ["feature", "bin"]).groupBy("feature").agg(F.sum(term).alias("psi"))
+    both = e.join(a, ["feature", "bin"]).join(totals(ref).withColumnRenamed("_t", "_seen"), "feature")
+    psi = both.groupBy("feature").agg(F.sum(F.when(F.col("_seen") > 0, term)).alias("psi"))
     flagged = psi.withColumn("drift", (F.col("psi") > threshold).cast("int"))
     overall = flagged.agg(F.max("drift")).scalar()
     return flagged.withColumn("overall_drift", overall)

@@ -58,9 +58,12 @@ def encode_dummies(df: DataFrame, col: str, levels: Sequence | None = None) -> D
 
 
 def encode_target(df: DataFrame, col: str, y: str, leave_one_out: bool = False) -> DataFrame:
-    """Mean target per category beside each row; optionally without the row itself."""
+    """Mean target per category beside each row; optionally without the row itself.
+
+    NULL is a category like any other.
+    """
     stats = df.groupBy(col).agg(F.sum(y).alias("_s"), F.count(y).alias("_n"))
-    joined = df.join(stats, col)
+    joined = attach(df, stats, [col])
     if leave_one_out:
         enc = F.try_divide(F.col("_s") - F.col(y), F.col("_n") - 1)
     else:

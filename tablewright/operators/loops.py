@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.operators.joins import null_safe_join
 from tablewright.operators.ordering import step_window
 from tablewright.operators.project import keyword_flag
 from tablewright.operators.skew import attach
-from tablewright.operators.timeseries import lagged, welch_psd
+from tablewright.operators.timeseries import welch_psd
+from tablewright.session import pin_small
 
 KEY = ["loop_id"]
 
@@ -18,6 +22,7 @@ OSCILLATION_LIMIT = 0.1
 STICTION_BASE, STICTION_SQUARE, STICTION_SCALE, STICTION_QUIET, STICTION_CAP = 60.0, 20.0, 20.0, 5.0, 99.9
 SQUARE_KURTOSIS = 2.5
 SEGMENT = 256
+LAG_BLOCK = 16_384  # steps of a block in the cross-correlation
 
 
 def error_column() -> Column:
@@ -59,10 +64,44 @@ def loop_oscillation(df: DataFrame) -> DataFrame:
     return out.withColumn("oscillating", (F.col("oscillation_strength") > OSCILLATION_LIMIT).cast("int"))
 
 
-def loop_pv_op_lag(df: DataFrame, max_lag: int) -> DataFrame:
+def cross_products(df: DataFrame, t: str, x: str, y: str, block: int = LAG_BLOCK) -> DataFrame:
+    """(loop_id, lag, c): the sum of x(t) * y(t - lag) at every lag at which the loop has steps.
+
+    A loop is cut into blocks of steps; every block of x meets every block of y in a cell of
+    its own, and the sums of a lag are added up over the cells. No task sees more than two blocks.
+    """
+    cut = df.select("loop_id", F.col(t).alias("t"), F.floor(F.col(t) / block).cast("long").alias("b"), F.col(x).alias("x"), F.col(y).alias("y"))
+    ends = pin_small(cut.groupBy("loop_id").agg(F.min("b").alias("_lo"), F.max("b").alias("_hi")))
+    other = F.explode(F.sequence("_lo", "_hi"))
+    rows = attach(cut, ends, KEY)
+    left = rows.select("loop_id", F.col("b").alias("i"), other.alias("j"), F.lit(0).alias("side"), "t", F.col("x").alias("v"))
+    right = rows.select("loop_id", other.alias("i"), F.col("b").alias("j"), F.lit(1).alias("side"), "t", F.col("y").alias("v"))
+    kind = df.schema["loop_id"].dataType.simpleString()
+
+    def correlate(key, cell):
+        sides, first = [], []
+        for side in (0, 1):
+            own = cell[(cell.side == side) & cell.v.notna()]
+            low = int(own.t.min()) if len(own) else 0
+            dense = np.zeros((int(own.t.max()) - low + 1) if len(own) else 0)
+            dense[own.t.to_numpy(np.int64) - low] = own.v.to_numpy()
+            sides.append(dense)
+            first.append(low)
+        n, m = map(len, sides)
+        if not n or not m:
+            return pd.DataFrame({"loop_id": [], "lag": [], "c": []})
+        size = 1 << (n + m - 1).bit_length()
+        sums = np.fft.irfft(np.fft.rfft(sides[0], size) * np.fft.rfft(sides[1][::-1], size), size)[: n + m - 1]
+        return pd.DataFrame({"loop_id": key[0], "lag": np.arange(n + m - 1) - (m - 1) + first[0] - first[1], "c": sums})
+
+    cells = left.unionByName(right).groupBy("loop_id", "i", "j").applyInPandas(correlate, f"loop_id {kind}, lag long, c double")
+    return cells.groupBy("loop_id", "lag").agg(F.sum("c").alias("c"))
+
+
+def loop_pv_op_lag(df: DataFrame) -> DataFrame:
     """Distance from zero of the lag at which standardised pv and op agree most.
 
-    All lags up to ``max_lag`` either way in one pass; ties go to the most negative.
+    All lags at which the two overlap; sums are compared at six decimals, and ties go to the most negative.
     """
     stats = df.groupBy("loop_id").agg(
         F.avg("pv").alias("_mp"), F.stddev_pop("pv").alias("_dp"),
@@ -73,15 +112,9 @@ def loop_pv_op_lag(df: DataFrame, max_lag: int) -> DataFrame:
         ((F.col("pv") - F.col("_mp")) / (F.col("_dp") + 1e-9)).alias("_p"),
         ((F.col("op") - F.col("_mo")) / (F.col("_do") + 1e-9)).alias("_o"),
     )
-    lags = list(range(-max_lag, max_lag + 1))
-    wide = lagged(std, KEY, "t", "_o", lags, "_s")
-    sums = wide.groupBy("loop_id").agg(
-        *[F.coalesce(F.sum(F.col("_p") * F.col(f"`_s{x}`")), F.lit(0.0)).alias(f"_c{i}") for i, x in enumerate(lags)]
-    )
-    best = F.array_max(
-        F.array(*[F.struct(F.col(f"_c{i}").alias("c"), F.lit(-x).alias("x")) for i, x in enumerate(lags)])
-    )
-    return sums.select("loop_id", F.abs(best["x"]).alias("pv_op_lag"), best["c"].alias("peak"))
+    best = F.max(F.struct(F.round("c", 6).alias("c"), (-F.col("lag")).alias("x")))
+    found = cross_products(std, "t", "_p", "_o").groupBy("loop_id").agg(best.alias("best"))
+    return found.select("loop_id", F.abs("best.x").cast("int").alias("pv_op_lag"), F.col("best.c").alias("peak"))
 
 
 def stiction_score(oscillating: Column, strength: Column, kurtosis: Column) -> Column:
@@ -95,15 +128,11 @@ def stiction_score(oscillating: Column, strength: Column, kurtosis: Column) -> C
 
 def loop_summary(df: DataFrame) -> DataFrame:
     """Error, noise and oscillation features side by side, one row per loop."""
-    return (
-        loop_error_stats(df)
-        .join(loop_noise_ratio(df), "loop_id")
-        .join(loop_oscillation(df), "loop_id")
-    )
+    return null_safe_join(null_safe_join(loop_error_stats(df), loop_noise_ratio(df), KEY), loop_oscillation(df), KEY)
 
 
 def loop_stiction(df: DataFrame) -> DataFrame:
-    s = loop_error_stats(df).join(loop_oscillation(df), "loop_id")
+    s = null_safe_join(loop_error_stats(df), loop_oscillation(df), KEY)
     return s.select(
         "loop_id",
         stiction_score(F.col("oscillating"), F.col("oscillation_strength"), F.col("error_kurtosis")).alias("stiction"),
@@ -111,7 +140,7 @@ def loop_stiction(df: DataFrame) -> DataFrame:
 
 
 def loop_behaviours(df: DataFrame) -> DataFrame:
-    """(loop_id, behaviours): the inferences that hold for each loop."""
+    """(loop_id, behaviours): the inferences that hold for each loop, in fixed words."""
     s = loop_summary(df)
     stiction = stiction_score(F.col("oscillating"), F.col("oscillation_strength"), F.col("error_kurtosis"))
     disturbed = (F.col("mse") > 1.0) & (F.col("oscillating") == 0) & (F.col("sp_std") < 0.1)
@@ -129,7 +158,7 @@ def loop_behaviours(df: DataFrame) -> DataFrame:
     )
 
 
-def loop_feature_table(df: DataFrame, labels: DataFrame, max_lag: int) -> DataFrame:
+def loop_feature_table(df: DataFrame, labels: DataFrame) -> DataFrame:
     """Nine features per loop beside its cleaned labels.
 
     ``labels`` has loop_id and free-text columns oscillatory, noisy, disturbance.
@@ -137,12 +166,10 @@ def loop_feature_table(df: DataFrame, labels: DataFrame, max_lag: int) -> DataFr
     clean = labels.select(
         "loop_id", *[keyword_flag(c).alias(f"is_{c}") for c in ("oscillatory", "noisy", "disturbance")]
     )
-    return (
-        loop_summary(df)
-        .drop("noisy", "oscillating", "sp_std")
-        .join(loop_pv_op_lag(df, max_lag).drop("peak"), "loop_id")
-        .join(clean, "loop_id", "left")
+    features = null_safe_join(
+        loop_summary(df).drop("noisy", "oscillating", "sp_std"), loop_pv_op_lag(df).drop("peak"), KEY
     )
+    return null_safe_join(features, clean, KEY, "left")
 
 
 def _trapezoid(df: DataFrame, dt: float, columns: dict[str, Column]) -> DataFrame:

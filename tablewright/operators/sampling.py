@@ -3,6 +3,8 @@ recomputed task draws the same rows."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,9 @@ from tablewright.operators.skew import attach
 from tablewright.session import pin_small
 
 
+POISSON_MEAN = 8.0
+
+
 def hash_percent(key: Column) -> Column:
     """0..99 by multiplicative hashing of an integer key."""
     return F.floor(((key % 2147483648) * F.lit(2654435761) % 4294967296) * 100 / 4294967296)
@@ -60,21 +65,33 @@ def imbalance_ratio(df: DataFrame, label: str) -> DataFrame:
 def bootstrap_sample(df: DataFrame, key: str, fraction: float, seed: int) -> DataFrame:
     """Sample with replacement: each row is drawn a Poisson(fraction) number of times.
 
-    ``copy`` numbers the draws of a row. The count comes from the inverse
-    distribution at a hashed uniform, cut off where the tail is below 1e-12.
+    ``copy`` numbers the draws of a row. A large mean is a sum of draws of means of
+    ``POISSON_MEAN`` at most, each from the inverse distribution at a hashed uniform.
     """
-    import math
-
-    u = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1 << 52)) / F.lit(float(1 << 52))
-    draws, cdf, term, i = F.lit(0), math.exp(-fraction), math.exp(-fraction), 0
-    while 1 - cdf > 1e-12 and i < 200:
-        draws = draws + F.when(u > F.lit(cdf), 1).otherwise(0)
-        i += 1
-        term *= fraction / i
-        cdf += term
+    parts = max(1, math.ceil(fraction / POISSON_MEAN))
+    steps = poisson_steps(fraction / parts)
+
+    def one(part: Column) -> Column:
+        mixed = (F.col(key) % 1048576 + part * 15485863 + F.lit(seed * 7919)) % 2147483648 * F.lit(2654435761) % 4294967296
+        again = ((mixed % 1048576) * F.lit(40503) + F.floor(mixed / 1048576)) % 1000003
+        u = (again + 0.5) / F.lit(1000003.0)
+        return F.size(F.filter(F.array(*[F.lit(c) for c in steps]), lambda c: c < u))
+
+    draws = F.aggregate(F.sequence(F.lit(0), F.lit(parts - 1)), F.lit(0), lambda n, part: n + one(part.cast("long")))
     return (
         df.withColumn("_n", draws)
         .filter(F.col("_n") > 0)
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
         .drop("_n")
     )
+
+
+def poisson_steps(mean: float) -> list[float]:
+    """The distribution function at 0, 1, 2, ... until its tail is below 1e-9."""
+    term = cdf = math.exp(-mean)
+    steps = [cdf]
+    while 1 - cdf > 1e-9:
+        term *= mean / len(steps)
+        cdf += term
+        steps.append(cdf)
+    return steps

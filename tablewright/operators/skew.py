@@ -35,6 +35,27 @@ def deal_hot_keys(
     return null_safe_join(df, side, keys, "left").withColumn(out, part).drop("_parts")
 
 
+def in_pages(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int = CHUNK, out: str = "page"
+) -> DataFrame:
+    """Number pages 0, 1, ... of ``size`` rows within each key, in the given (unique) order.
+
+    A key of up to ``size`` rows is page 0 as it stands; the rows of larger ones are
+    numbered over range partitions, so a key of any length is cut the same way.
+    """
+    from tablewright.operators.ordering import dense_index
+
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > size)
+    hot = pin_small(counts.select(*keys, F.lit(True).alias("_long")))
+    if hot.isEmpty():
+        return df.withColumn(out, F.lit(0).cast("long"))
+    side = F.broadcast(hot) if small_enough(hot) else hot
+    marked = null_safe_join(df, side, keys, "left")
+    short = marked.filter(F.col("_long").isNull()).drop("_long").withColumn(out, F.lit(0).cast("long"))
+    numbered = dense_index(marked.filter("_long").drop("_long"), keys, order, "_index")
+    return short.unionByName(numbered.withColumn(out, F.floor(F.col("_index") / size).cast("long")).drop("_index"))
+
+
 def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Rows with the statistics of their key, where ``stats`` has one row per key.
 

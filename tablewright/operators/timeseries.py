@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.operators.evaluate import mape, regression_metrics
+from tablewright.operators.joins import null_safe_join
 from tablewright.operators.linear import fit_groups, moments, solve_row
 from tablewright.operators.ordering import block_scan, step_window
 from tablewright.operators.series import fourier_terms, lag_diff, rolling_mean_std
@@ -139,7 +140,7 @@ def stationarity_report(df: DataFrame, keys, t: str, value: str, lags: int, widt
         .groupBy(*keys)
         .agg(F.stddev_samp("rolling_mean").alias("mean_spread"), F.stddev_samp("rolling_std").alias("std_spread"))
     )
-    both = a.join(k, list(keys)).join(r, list(keys))
+    both = null_safe_join(null_safe_join(a, k, keys), r, keys)
     verdict = (
         F.when((F.col("adf_stationary") == 1) & (F.col("kpss_stationary") == 1), "stationary")
         .when((F.col("adf_stationary") == 0) & (F.col("kpss_stationary") == 0), "not stationary")
@@ -176,13 +177,16 @@ def welch_psd(df: DataFrame, keys, t: str, value: str, nperseg: int, window: str
 
     @F.pandas_udf("array<double>")
     def periodogram(xs: pd.Series) -> pd.Series:
-        out = []
-        for x in xs:
-            n = len(x)
+        out = np.empty(len(xs), object)
+        sizes = xs.map(len).to_numpy()
+        for n in np.unique(sizes):  # segments of one length go through one transform
+            at = np.flatnonzero(sizes == n)
+            x = np.stack(xs.iloc[at].to_list())
             w = taper[0] - taper[1] * np.cos(2 * np.pi * np.arange(n) / n)
-            p = np.abs(np.fft.rfft((x - np.mean(x)) * w)) ** 2 / np.sum(w * w)
-            p[1 : (n + 1) // 2] *= 2
-            out.append(p)
+            p = np.abs(np.fft.rfft((x - x.mean(axis=1, keepdims=True)) * w, axis=1)) ** 2 / np.sum(w * w)
+            p[:, 1 : (n + 1) // 2] *= 2
+            for i, row in zip(at, p):
+                out[i] = row
         return pd.Series(out, index=xs.index, dtype=object)
 
     spectra = segs.select(*keys, F.size("_x").alias("_m"), periodogram("_x").alias("_p"))
@@ -242,7 +246,7 @@ def decompose_moving_average(df: DataFrame, keys, t: str, value: str, period: in
     rows = step_window(df, keys, t, build, before=half, after=half).withColumn("pos", F.col(t) % period)
     raw = rows.groupBy(*keys, "pos").agg(F.avg(F.col(value) - F.col("trend")).alias("_raw"))
     centre = raw.groupBy(*keys).agg(F.avg("_raw").alias("_centre"))
-    season = raw.join(centre, list(keys)).select(*keys, "pos", (F.col("_raw") - F.col("_centre")).alias("season"))
+    season = null_safe_join(raw, centre, keys).select(*keys, "pos", (F.col("_raw") - F.col("_centre")).alias("season"))
     return (
         attach(rows, season, [*keys, "pos"], "left")
         .withColumn("remainder", F.col(value) - F.col("trend") - F.col("season"))
@@ -257,14 +261,10 @@ def forecast_trend_seasonal(df: DataFrame, keys, t: str, value: str, period: int
     """(keys, t, forecast) for the h steps after the end."""
     lines, season = trend_season(df, keys, t, value, period)
     future = lines.withColumn(t, F.explode(F.sequence(F.col("_last") + 1, F.col("_last") + h)))
-    return (
-        future.withColumn("pos", F.col(t) % period)
-        .join(season, [*keys, "pos"], "left")
-        .select(
-            *keys,
-            t,
-            (F.col("intercept") + F.col("slope") * F.col(t) + F.coalesce("season", F.lit(0.0))).alias("forecast"),
-        )
+    return null_safe_join(future.withColumn("pos", F.col(t) % period), season, [*keys, "pos"], "left").select(
+        *keys,
+        t,
+        (F.col("intercept") + F.col("slope") * F.col(t) + F.coalesce("season", F.lit(0.0))).alias("forecast"),
     )
 
 
@@ -357,7 +357,7 @@ def forecast_ar(df: DataFrame, keys, t: str, value: str, p: int, h: int) -> Data
     """(keys, t, forecast): AR(p) with constant by least squares, iterated h steps."""
     rows = lagged(df, keys, t, value, range(1, p + 1), "_l")
     fits = fit_groups(rows, [f"_l{j}" for j in range(1, p + 1)], value, keys)
-    start = tail_steps(df, keys, t, [value], p).join(fits, list(keys))
+    start = null_safe_join(tail_steps(df, keys, t, [value], p), fits, keys)
     schema = _schema(df, keys, f"{t} long, forecast double")
 
     def roll(batches):
@@ -471,7 +471,7 @@ def forecast_sarima(
     need = max(p, q, 1) + d + season + 1
     tails = tail_steps(df, keys, t, [value], need)
     last_e = tail_steps(rows, keys, t, ["_e"], max(q, 1)).select(*keys, F.col("tail").alias("etail"))
-    start = tails.join(fits, list(keys)).join(last_e, list(keys))
+    start = null_safe_join(null_safe_join(tails, fits, keys), last_e, keys)
     schema = _schema(df, keys, f"{t} long, forecast double, low double, high double")
     # Lag polynomial of the differencing: (1 - B^season) (1 - B)^d.
     poly = np.array([1.0])
@@ -520,7 +520,8 @@ def forecast_fourier(df: DataFrame, keys, t: str, value: str, period: float, k:
     rows = fourier_terms(attach(df, ends, keys), t, period, k).withColumn("_rel", F.col(t) - F.col("_lo"))
     fits = fit_groups(rows, terms, value, keys).select(*keys, "coef")
     future = ends.withColumn(t, F.explode(F.sequence(F.col("_hi") + 1, F.col("_hi") + h)))
-    wide = fourier_terms(future, t, period, k).withColumn("_rel", F.col(t) - F.col("_lo")).join(fits, list(keys))
+    wide = fourier_terms(future, t, period, k).withColumn("_rel", F.col(t) - F.col("_lo"))
+    wide = null_safe_join(wide, fits, keys)
     out: Column = F.col("coef")[0]
     for i, name in enumerate(terms, 1):
         out = out + F.col("coef")[i] * F.col(name)

@@ -39,9 +39,9 @@ def iqr_fences(df: DataFrame, col: str) -> DataFrame:
     return q.withColumn("lower", F.col("q25") - spread).withColumn("upper", F.col("q75") + spread)
 
 
-def iqr_outliers(df: DataFrame, col: str) -> DataFrame:
-    """Rows beyond 1.5 interquartile ranges from the quartiles."""
-    fences = iqr_fences(df, col)
+def iqr_outliers(df: DataFrame, col: str, fences: DataFrame | None = None) -> DataFrame:
+    """Rows beyond 1.5 interquartile ranges from the quartiles; ``fences`` if they are known already."""
+    fences = iqr_fences(df, col) if fences is None else fences
     lower = fences.select("lower").scalar()
     upper = fences.select("upper").scalar()
     return df.filter((F.col(col) < lower) | (F.col(col) > upper))

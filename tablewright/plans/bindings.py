@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tablewright.operators.ordering import dense_index, step_window
 from tablewright.operators.sampling import hash_percent as split_bucket  # noqa: F401
 from tablewright.operators.series import fill_steps
-from tablewright.operators.skew import attach, deal_hot_keys
+from tablewright.operators.skew import attach, in_pages
 
 ITEM_SCHEMA = "array<struct<l_partkey:bigint,l_quantity:double,l_extendedprice:double>>"
 
@@ -49,14 +49,14 @@ class Tables:
 
     @property
     def order_items(self) -> DataFrame:
-        """Orders as the JSON feed has them: one array of items per order.
+        """Orders as the JSON feed has them: arrays of items in order of their fields.
 
-        An order of ordinary size is one row (page 0); a very long one is several
-        rows, so no order has to fit in one value.
+        A page holds ``skew.CHUNK`` items, so an order of ordinary size is one row
+        (page 0) and no order has to fit in one value.
         """
         fields = ["l_partkey", "l_quantity", "l_extendedprice"]
         lines = self.lineitem.select("l_orderkey", "l_linenumber", *fields)
-        dealt = deal_hot_keys(lines, ["l_orderkey"], ["l_linenumber", *fields], out="page")
+        dealt = in_pages(lines, ["l_orderkey"], [*fields, "l_linenumber"])
         return dealt.groupBy("l_orderkey", "page").agg(
             F.to_json(F.array_sort(F.collect_list(F.struct(*fields)))).alias("items")
         )

@@ -487,6 +487,14 @@ def smote_nc(t):
     ))
 
 
-@query("bootstrap_sample")
+@query(
+    "bootstrap_sample",
+    f"""
+    WITH m AS (SELECT o_orderkey, o_totalprice, (o_orderkey % 1048576 + 7 * 7919) % 2147483648 * 2654435761 % 4294967296 AS m FROM orders),
+    u AS (SELECT *, (((m % 1048576) * 40503 + m // 1048576) % 1000003 + 0.5::DOUBLE) / 1000003 AS u FROM m)
+    SELECT o_orderkey, o_totalprice, CAST(unnest(range(1, n + 1)) AS INTEGER) AS copy FROM (
+      SELECT *, len(list_filter({S.poisson_steps(0.8)}, lambda c: c < u)) AS n FROM u)
+    """,
+)
 def bootstrap_sample(t):
     return S.bootstrap_sample(t.orders.select("o_orderkey", "o_totalprice"), "o_orderkey", 0.8, 7)

@@ -17,7 +17,7 @@ _NOISE = """nz AS (SELECT loop_id, stddev_pop(d) AS noise_metric, stddev_pop(d)
 
 _OSC = """ln AS (SELECT loop_id, count(*) AS n, least(count(*), 256) AS m FROM loops GROUP BY 1),
 ls AS (SELECT loop_id, t, sp - pv AS e, n, m, m - m // 2 AS st FROM loops JOIN ln USING (loop_id)),
-sg AS (SELECT loop_id, s, m, t - st * s AS j, e FROM ls, (SELECT unnest(range(0, 1000)) AS s) WHERE t >= st * s AND t < st * s + m AND st * s + m <= n),
+sg AS (SELECT loop_id, s, m, t - st * s AS j, e FROM ls, (SELECT unnest(range(0, (SELECT max(n) FROM ln))) AS s) WHERE t >= st * s AND t < st * s + m AND st * s + m <= n),
 wx AS (SELECT loop_id, s, m, j, (e - avg(e) OVER (PARTITION BY loop_id, s)) * (0.5 - 0.5 * cos(2 * pi() * j / m)) AS x FROM sg),
 kx AS (SELECT unnest(range(0, 129)) AS k),
 pp AS (SELECT loop_id, s, m, k, (pow(sum(x * cos(2 * pi() * k * j / m)), 2) + pow(sum(x * sin(2 * pi() * k * j / m)), 2))
@@ -30,9 +30,8 @@ _STICTION = """least(CASE WHEN strength > 0.1 THEN 60 + CASE WHEN error_kurtosis
 
 _LAGS = """zz AS (SELECT loop_id, t, (pv - avg(pv) OVER w) / (stddev_pop(pv) OVER w + 1e-9) AS p, (op - avg(op) OVER w) / (stddev_pop(op) OVER w + 1e-9) AS o
   FROM loops WINDOW w AS (PARTITION BY loop_id)),
-xc AS (SELECT a.loop_id, k, sum(a.p * b.o) AS c FROM zz a JOIN (SELECT unnest(range(-10, 11)) AS k) ON true
-  JOIN zz b ON a.loop_id = b.loop_id AND b.t = a.t - k GROUP BY ALL),
-lg AS (SELECT loop_id, CAST(abs(arg_max(k, c)) AS INTEGER) AS pv_op_lag, max(c) AS peak FROM xc GROUP BY 1)"""
+xc AS (SELECT a.loop_id, a.t - b.t AS k, round(sum(a.p * b.o), 6) AS c FROM zz a JOIN zz b ON a.loop_id = b.loop_id GROUP BY ALL),
+lg AS (SELECT loop_id, CAST(abs(first(k ORDER BY c DESC, k)) AS INTEGER) AS pv_op_lag, max(c) AS peak FROM xc GROUP BY 1)"""
 
 
 @query(
@@ -72,7 +71,7 @@ def loop_oscillation(t):
     f"WITH {LOOPS}, {_LAGS} SELECT loop_id, pv_op_lag, round(peak, 4) AS peak FROM lg",
 )
 def loop_pv_op_lag(t):
-    return rounded(L.loop_pv_op_lag(t.loops, 10))
+    return rounded(L.loop_pv_op_lag(t.loops))
 
 
 @query(
@@ -115,7 +114,7 @@ def loop_feature_table(t):
         F.first(F.lit("may be NOISE")).alias("noisy"),
         F.first(F.lit(None).cast("string")).alias("disturbance"),
     )
-    return rounded(L.loop_feature_table(t.loops, labels, 10))
+    return rounded(L.loop_feature_table(t.loops, labels))
 
 
 _OFFSET = "off AS (SELECT loop_id, t, pv - 20 AS pv, sp - 20 AS sp, op FROM loops)"

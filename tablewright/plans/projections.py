@@ -224,7 +224,7 @@ def split_part(t):
 
 
 _PER_ORDER = """
-SELECT l_orderkey, CAST(0 AS BIGINT) AS page, count(*) AS n_items, sum(l_quantity) AS quantity,
+SELECT l_orderkey, count(*) AS n_items, sum(l_quantity) AS quantity,
   round(sum(l_extendedprice), 2) AS price FROM lineitem GROUP BY ALL
 """
 
@@ -236,22 +236,22 @@ def json_parse(t):
     def total(field):
         return F.aggregate("i", F.lit(0.0), lambda acc, x: acc + x[field])
 
-    return parsed.select(
-        "l_orderkey",
-        "page",
-        F.size("i").cast("long").alias("n_items"),
-        total("l_quantity").alias("quantity"),
-        F.round(total("l_extendedprice"), 2).alias("price"),
+    pages = parsed.select(
+        "l_orderkey", F.size("i").alias("n"), total("l_quantity").alias("q"), total("l_extendedprice").alias("p")
+    )
+    return pages.groupBy("l_orderkey").agg(
+        F.sum("n").cast("long").alias("n_items"), F.sum("q").alias("quantity"), F.round(F.sum("p"), 2).alias("price")
     )
 
 
 @query(
     "array_transform_struct",
     """
-    SELECT l_orderkey, CAST(0 AS BIGINT) AS page,
-      string_agg(l_partkey || ':' || CAST(l_quantity AS INTEGER), ','
-        ORDER BY l_partkey, l_quantity, l_extendedprice) AS kept
-    FROM lineitem GROUP BY ALL
+    WITH n AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey
+      ORDER BY l_partkey, l_quantity, l_extendedprice, l_linenumber) - 1 AS pos FROM lineitem)
+    SELECT l_orderkey, pos // 10000 AS page,
+      string_agg(l_partkey || ':' || CAST(l_quantity AS INTEGER), ',' ORDER BY pos) AS kept
+    FROM n GROUP BY ALL
     """,
 )
 def array_transform_struct(t):
@@ -265,19 +265,22 @@ def array_transform_struct(t):
 @query(
     "array_flatten",
     """
-    SELECT o_custkey, year(o_orderdate) AS order_year, CAST(0 AS BIGINT) AS part, count(*) AS n_items,
+    WITH n AS (SELECT o_custkey, year(o_orderdate) AS order_year, l_partkey,
+      row_number() OVER (PARTITION BY o_custkey, year(o_orderdate) ORDER BY l_partkey) - 1 AS pos
+      FROM orders JOIN lineitem ON o_orderkey = l_orderkey)
+    SELECT o_custkey, order_year, pos // 10000 AS part, count(*) AS n_items,
       string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY l_partkey) AS parts
-    FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL
+    FROM n GROUP BY ALL
     """,
 )
 def array_flatten(t):
     per_order = t.order_items.select(
-        "l_orderkey", F.col("page"), F.from_json("items", ITEM_SCHEMA)["l_partkey"].alias("parts")
+        "l_orderkey", F.struct("l_orderkey", "page").alias("item"), F.from_json("items", ITEM_SCHEMA)["l_partkey"].alias("parts")
     )
     joined = t.orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey")).select(
-        "o_custkey", F.year("o_orderdate").alias("order_year"), "o_orderkey", "parts"
+        "o_custkey", F.year("o_orderdate").alias("order_year"), "item", "parts"
     )
-    lists = G.flatten_lists(joined, ["o_custkey", "order_year"], "parts", "o_orderkey", "parts")
+    lists = G.flatten_lists(joined, ["o_custkey", "order_year"], "parts", "item", "parts")
     return lists.select(
         "o_custkey",
         F.col("order_year").cast("long").alias("order_year"),
@@ -311,7 +314,7 @@ def array_explode(t):
 )
 def array_slice(t):
     first = F.slice(A.json_items("items", ITEM_SCHEMA)["l_partkey"], 1, 3)
-    return t.order_items.select("l_orderkey", F.array_join(first, ",").alias("first_three"))
+    return t.order_items.filter("page = 0").select("l_orderkey", F.array_join(first, ",").alias("first_three"))
 
 
 @query(

@@ -88,7 +88,7 @@ def scan_loop_files(t):
         part.hint("rebalance", "loop_id").write.partitionBy("loop_id").option("header", True).csv(f"{root}/{name}")
     back = R.read_loop_files(t.spark, root, r"loop_id=(\d+)")
     return back.select(
-        "loop_id", "t", *[F.round(c, 4).alias(c) for c in ("pv", "sp", "op")]
+        "loop_id", F.col("t").cast("long").alias("t"), *[F.round(c, 4).alias(c) for c in ("pv", "sp", "op")]
     )
 
 

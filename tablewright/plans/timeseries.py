@@ -97,7 +97,7 @@ def stationarity_report(t):
     "welch_psd",
     f"""
     WITH {MONTHLY}, i AS (SELECT series_id, t - min(t) OVER (PARTITION BY series_id) AS i, value, count(*) OVER (PARTITION BY series_id) AS n FROM monthly),
-    g AS (SELECT series_id, s, i - 16 * s AS j, value FROM i, (SELECT unnest(range(0, 1000)) AS s)
+    g AS (SELECT series_id, s, i - 16 * s AS j, value FROM i, (SELECT unnest(range(0, (SELECT max(i) // 16 + 1 FROM i))) AS s)
       WHERE i >= 16 * s AND i < 16 * s + 32 AND 16 * s + 32 <= n),
     w AS (SELECT series_id, s, j, (value - avg(value) OVER (PARTITION BY series_id, s)) * (0.5 - 0.5 * cos(2 * pi() * j / 32)) AS x FROM g),
     p AS (SELECT series_id, s, k, (pow(sum(x * cos(2 * pi() * k * j / 32)), 2) + pow(sum(x * sin(2 * pi() * k * j / 32)), 2)) / 12

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -48,7 +50,8 @@ def read_loop_files(spark: SparkSession, path: str, id_pattern: str) -> DataFram
     The id comes from the path. Every file has its own header; the columns are
     found by the words time, pv, sp and op in it. The header lines (one per file)
     are joined to the data lines of their file, so files with any number of
-    different headers are read in one job.
+    different headers are read in one job. Time may have fractions; lines of a file without such a header keep their id
+    and are NULL otherwise, so no file goes unseen.
     """
     lines = (
         spark.read.option("recursiveFileLookup", True)
@@ -70,9 +73,9 @@ def read_loop_files(spark: SparkSession, path: str, id_pattern: str) -> DataFram
     def cell(word: str, kind: str) -> Column:
         return F.try_element_at("cells", F.nullif(F.col(f"_{word}").cast("int"), F.lit(0))).try_cast(kind)
 
-    return attach(cells, places, ["file"]).select(
+    return attach(cells, places, ["file"], "left").select(
         F.regexp_extract("file", id_pattern, 1).cast("long").alias("loop_id"),
-        cell("time", "long").alias("t"),
+        cell("time", "double").alias("t"),
         *[cell(w, "double").alias(w) for w in ("pv", "sp", "op")],
     )
 
@@ -82,12 +85,32 @@ def html_field(html: Column, tag: str) -> Column:
     return F.nullif(F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>", 1), F.lit(""))
 
 
-def html_class_text(html: Column, tag: str, css_class: str) -> Column:
-    """Text of the first ``tag`` whose class attribute is ``css_class``, inner tags removed."""
-    inner = F.regexp_extract(html, rf'(?is)<{tag} class="{css_class}">(.*?)</{tag}>', 1)
+def _class_pattern(tag: str, css_class: str) -> str:
+    """The inside of a ``tag`` that has the class, alone or among others, wherever the attribute
+    stands and however it is quoted; up to two levels of the same tag may lie inside."""
+    named = rf"""<{tag}\b[^>]*?\bclass\s*=\s*["']?(?:[^"'>]*\s)?{css_class}(?=[\s"'>])[^>]*>"""
+    text = rf"(?:(?!</?{tag}\b).)"
+    inner = rf"<{tag}\b(?:{text}|<{tag}\b{text}*</{tag}>)*</{tag}>"
+    return rf"(?is){named}((?:{text}|{inner})*)</{tag}>"
+
+
+def _plain(inner: Column) -> Column:
     return F.nullif(F.trim(F.regexp_replace(inner, r"<[^>]*>", "")), F.lit(""))
 
 
+def html_class_text(html: Column, tag: str, css_class: str) -> Column:
+    """Text of the first ``tag`` of a class, inner tags removed."""
+    return _plain(F.regexp_extract(html, _class_pattern(tag, css_class), 1))
+
+
+def html_elements(df: DataFrame, html: str, tag: str, css_class: str, fields: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """One row per ``tag`` of a class: ``element`` (0, 1, ...), and per field the text of the first
+    ``(tag, class)`` inside it; the repeated cards of a listing page."""
+    found = F.regexp_extract_all(html, F.lit(_class_pattern(tag, css_class)), F.lit(1))
+    rows = df.select(*[c for c in df.columns if c != html], F.posexplode(found).alias("element", "_inner"))
+    return rows.select("*", *[html_class_text(F.col("_inner"), t, c).alias(n) for n, (t, c) in fields.items()]).drop("_inner")
+
+
 def html_first_attr(html: Column, tag: str, attr: str) -> Column:
     """An attribute of the first such tag, such as the ``alt`` of the first image."""
     return F.nullif(F.regexp_extract(html, rf'(?is)<{tag}\b[^>]*?\b{attr}="([^"]*)"', 1), F.lit(""))
@@ -95,8 +118,9 @@ def html_first_attr(html: Column, tag: str, attr: str) -> Column:
 
 def html_links(df: DataFrame, html: str, suffix: str, out: str = "href") -> DataFrame:
     """One row per link whose target ends with ``suffix``."""
-    found = F.regexp_extract_all(html, F.lit('href="([^"]*)"'), F.lit(1))
-    return df.withColumn(out, F.explode(found)).filter(F.col(out).endswith(suffix))
+    found = F.regexp_extract_all(html, F.lit(r"""(?i)\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""), F.lit(1))
+    links = F.transform(found, lambda x: F.regexp_replace(x, """^["']|["']$""", ""))
+    return df.withColumn(out, F.explode(links)).filter(F.col(out).endswith(suffix))
 
 
 def synthetic_table(keys: DataFrame, key: str, seed: int, threshold: float = 0.5) -> DataFrame:
