@@ -7,13 +7,15 @@ maximum, and agree between two sets the more often the more alike they are.
 
 1. One pass gives each document its set's size, a 128-bit digest and its registers.
    Documents with equal sets become one node.
-2. Bands of registers make buckets. In a bucket each node is paired with the bucket's least
-   node, never all with all; register agreement gives the maximum-likelihood similarity
+2. Bands of registers make buckets. In a bucket each node is paired with the bucket's
+   best-connected node, never all with all; register agreement gives the maximum-likelihood similarity
    of each pair, and unlikely pairs go.
 3. The remaining pairs are confirmed on their full sets, and components are built.
-4. Buckets whose nodes still lie in several components are compared block by block on
-   registers; likely pairs across components are confirmed in the same way. So every
-   pair that shares a bucket is either in one component or was rejected.
+4. Buckets whose nodes still lie in several components are compared on registers, cell by
+   cell. Components that likely pairs connect form a group; a group's documents come
+   together, again in cells of bounded size, and every likely pair across components is
+   confirmed on full sets. So each pair that shares a bucket is either in one component or
+   was rejected, and tasks pass on no more pairs than there are components to join.
 """
 
 from __future__ import annotations
@@ -32,8 +34,8 @@ from tablewright.session import pin
 M = 128  # registers
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1
 ROWS = 4  # registers in a band
-MARGIN = 0.2  # likely pairs: estimate at least this far below the wanted similarity (5 deviations)
-CELL = 2048  # nodes of a bucket compared with as many others at a time
+MARGIN = 0.16  # likely pairs: the estimate may fall short of the wanted similarity by four deviations
+CELL = 512  # nodes of a group compared with as many others at a time
 MEMBERS = 256  # pairs of one left side that one task confirms
 _U = np.uint64
 
@@ -103,8 +105,24 @@ def likely_similarity(above: np.ndarray, below: np.ndarray, left: np.ndarray, ri
     return best
 
 
-def _estimate(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray) -> np.ndarray:
-    return likely_similarity((x > y).sum(axis=1), (x < y).sum(axis=1), nx.astype(float), ny.astype(float))
+def reaches(above: np.ndarray, below: np.ndarray, left: np.ndarray, right: np.ndarray, least: float) -> np.ndarray:
+    """Whether the likeliest similarity is ``least`` or more: the sign of the likelihood's slope there.
+
+    Sizes that rule the similarity out decide at once.
+    """
+    u, v = left / (left + right), right / (left + right)
+    q = (BASE - 1) / BASE / math.log(BASE)
+    prob = lambda x: -np.log1p(-x * (BASE - 1) / BASE) / math.log(BASE)
+    slope = lambda x: q / (1 - x * (BASE - 1) / BASE)
+    x, y = np.maximum(u - v * least, 1e-9), np.maximum(v - u * least, 1e-9)
+    more, less = prob(x), prob(y)
+    same = M - above - below
+    rise = -above * v * slope(x) / more - below * u * slope(y) / less + same * (v * slope(x) + u * slope(y)) / np.maximum(1 - more - less, 1e-9)
+    return (np.minimum(left, right) >= least * np.maximum(left, right)) & (rise >= 0)
+
+
+def _reaching(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray, least: float) -> np.ndarray:
+    return reaches((x > y).sum(axis=1), (x < y).sum(axis=1), nx.astype(float), ny.astype(float), least)
 
 
 def _regs(column) -> np.ndarray:
@@ -172,8 +190,8 @@ def _likely(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
             if not batch.num_rows:
                 continue
             x, y = _regs(batch.column("ra")), _regs(batch.column("rb"))
-            j = _estimate(x, y, np.asarray(batch.column("na")), np.asarray(batch.column("nb")))
-            yield batch.select(["a", "b"]).filter(pa.array(j >= least))
+            good = _reaching(x, y, np.asarray(batch.column("na")), np.asarray(batch.column("nb")), least)
+            yield batch.select(["a", "b"]).filter(pa.array(good))
 
     side = lambda end: nodes.select(F.col("node").alias(end), F.col("regs").alias(f"r{end}"), F.col("n_shingles").alias(f"n{end}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long")
@@ -244,58 +262,102 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, similarity: float)
     return placed.mapInArrow(run, "a long, b long")
 
 
-def _across(mixed: DataFrame, least: float) -> DataFrame:
-    """Likely pairs between components within buckets (``bucket, node, label, n_shingles, regs``).
+def _cells(rows: DataFrame, group: str) -> DataFrame:
+    """Rows of a group dealt into chunks and laid out as pairs of chunks ``lo <= hi``, so that every
+    pair of rows of a group meets in a cell of bounded size."""
+    sizes = rows.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / CELL).alias("chunks"))
+    dealt = rows.join(sizes, group).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")))
+    cells = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    cells = cells.withColumns({"lo": F.least("chunk", "other"), "hi": F.greatest("chunk", "other")}).drop("other", "chunks")
+    return cells.repartition(group, "lo", "hi").sortWithinPartitions(group, "lo", "hi")
+
+
+def _per_cell(batches, group: str, compare):
+    """Feeds the rows of each cell to ``compare`` as one table."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([batch])
+        rows = pa.concat_tables([held, rows]) if held is not None else rows
+        keys = np.stack([np.asarray(rows[c]) for c in (group, "lo", "hi")])
+        edges = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist()]
+        for s, e in zip(edges, edges[1:]):
+            if e - s > 1:
+                yield compare(rows.slice(s, e - s).combine_chunks())
+        held = rows.slice(edges[-1])
+    if held is not None and held.num_rows > 1:
+        yield compare(held.combine_chunks())
+
+
+def _likely_within(rows: pa.Table, least: float, confirm=None) -> tuple[list[int], list[int]]:
+    """Row pairs of a cell that join components: a pair counts if it is likely, and if ``confirm(i, js)``
+    says so, and if no pair before it has joined the two components already."""
+    root, size, regs = np.asarray(rows["label"]).copy(), np.asarray(rows["n_shingles"]), _regs(rows["regs"])
+    chunk = np.asarray(rows["chunk"])
+    low, high = np.flatnonzero(chunk == chunk.min()), np.flatnonzero(chunk == chunk.max())
+    a, b = [], []
+    for i in low:
+        js = high[root[high] != root[i]]
+        if low[-1] == high[-1]:
+            js = js[js > i]
+        js = js[np.minimum(size[js], size[i]) >= least * np.maximum(size[js], size[i])]
+        js = js[(regs[js] == regs[i]).sum(axis=1) >= (least - 0.1) * M]
+        if len(js):
+            js = js[_reaching(regs[js], np.broadcast_to(regs[i], (len(js), M)), size[js], np.full(len(js), size[i]), least)]
+        if len(js) and confirm is not None:
+            js = js[confirm(i, js)]
+        for j in js:
+            if root[j] != root[i]:
+                a.append(i)
+                b.append(j)
+                root[root == root[j]] = root[i]
+    return a, b
+
+
+def _forest(mixed: DataFrame, least: float) -> DataFrame:
+    """Components (``a, b``) that likely pairs of some bucket connect (``bucket, node, label, n_shingles, regs``).
+
+    A cell sends no more pairs than it has components, however many pairs are likely.
+    """
+
+    def compare(rows: pa.Table):
+        label = np.asarray(rows["label"])
+        a, b = _likely_within(rows, least)
+        return pa.RecordBatch.from_arrays([pa.array(label[a], pa.int64()), pa.array(label[b], pa.int64())], names=["a", "b"])
+
+    def run(batches):
+        yield from _per_cell(batches, "bucket", compare)
+
+    return _cells(mixed, "bucket").mapInArrow(run, "a long, b long").distinct()
 
-    Nodes of a bucket are dealt into chunks; cells of two chunks are compared on registers
-    and only likely pairs of different components leave a task.
+
+def _confirmed_within(groups: DataFrame, least: float, size: int, similarity: float) -> DataFrame:
+    """Links between components of one group (``group, node, label, n_shingles, regs, text``).
+
+    All likely pairs of a group that lie in two components are held against each other on
+    their full sets, cell by cell; a cell sends the links that join components.
     """
-    sizes = mixed.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / CELL).alias("chunks"))
-    dealt = mixed.join(sizes, "bucket").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
-    cells = dealt.withColumn("other", other).select(
-        "bucket", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "node", "label", "n_shingles", "regs"
-    )
-    placed = cells.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
+    share = round(similarity * 100)
 
     def compare(rows: pa.Table):
-        node, label = np.asarray(rows["node"]), np.asarray(rows["label"])
-        size, regs, chunk = np.asarray(rows["n_shingles"]), _regs(rows["regs"]), np.asarray(rows["chunk"])
-        low = np.flatnonzero(chunk == chunk.min())
-        high = np.flatnonzero(chunk == chunk.max())
-        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for i in low:
-            js = high[(label[high] != label[i]) & ((chunk.min() != chunk.max()) | (node[high] > node[i]))]
-            if len(js) == 0:
-                continue
-            small, large = np.minimum(size[js], size[i]), np.maximum(size[js], size[i])
-            js = js[small >= least * large]
-            same = (regs[js] == regs[i]).sum(axis=1)
-            js = js[same >= 0.5 * least * M]
-            if len(js):
-                good = js[_estimate(regs[js], np.repeat(regs[i : i + 1], len(js), 0), size[js], np.full(len(js), size[i])) >= least]
-                a.append(np.minimum(node[good], node[i]))
-                b.append(np.maximum(node[good], node[i]))
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+        sets = shingle_sets(*W.word_hashes(rows["text"]), size)
+        counts = np.array([len(s) for s in sets])
+
+        def confirm(i: int, js: np.ndarray) -> np.ndarray:
+            found = np.concatenate([sets[j] for j in js])
+            at = np.minimum(np.searchsorted(sets[i], found), counts[i] - 1)
+            both = np.add.reduceat((sets[i][at] == found).astype(np.int64), np.concatenate([[0], np.cumsum(counts[js])[:-1]]))
+            return 100 * both >= share * (counts[i] + counts[js] - both)
+
+        node = np.asarray(rows["node"])
+        a, b = _likely_within(rows, least, confirm)
+        return pa.RecordBatch.from_arrays([pa.array(node[a], pa.int64()), pa.array(node[b], pa.int64())], names=["a", "b"])
 
     def run(batches):
-        held = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = pa.Table.from_batches([batch])
-            rows = pa.concat_tables([held, rows]) if held is not None else rows
-            keys = np.stack([np.asarray(rows[c]) for c in ("bucket", "lo", "hi")])
-            cut = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
-            edges = [0, *cut.tolist()]
-            for s, e in zip(edges, edges[1:]):
-                if e - s > 1:
-                    yield compare(rows.slice(s, e - s).combine_chunks())
-            held = rows.slice(edges[-1])
-        if held is not None and held.num_rows > 1:
-            yield compare(held.combine_chunks())
+        yield from _per_cell(batches, "group", compare)
 
-    return placed.mapInArrow(run, "a long, b long").distinct()
+    return _cells(groups, "group").mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(
@@ -321,8 +383,12 @@ def near_duplicates(
     least = similarity - MARGIN
 
     bands = _bands(nodes)
-    heads = bands.groupBy("bucket").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = pin(bands.join(heads, "bucket"))
+    several = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    met = pin(bands.join(several, "bucket"))
+    # The node that meets others most often is likely the one that the others were copied from.
+    met = met.join(met.groupBy("node").agg(F.sum("n").alias("degree")), "node")
+    heads = met.groupBy("bucket").agg(F.max_by("node", F.struct("degree", "node")).alias("a"))
+    shared = pin(met.join(heads, "bucket").select("bucket", "node", "a"))
     stars = shared.filter("node <> a").groupBy("a", F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("hits"))
     likely = _likely(stars, nodes, least)
     best = pin(likely.join(stars, ["a", "b"]).groupBy("b").agg(F.max_by("a", F.struct("hits", "a")).alias("a")))
@@ -334,16 +400,20 @@ def near_duplicates(
 
     links = pin(confirm(best.select("a", "b")))
     # One document with several texts: its sets belong together.
-    several = sets.groupBy("doc_id").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("doc_id", "lo")
-    same = sets.join(several, "doc_id").filter("node <> lo").select(F.col("lo").alias("a"), F.col("node").alias("b"))
+    double = sets.groupBy("doc_id").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("doc_id", "lo")
+    same = sets.join(double, "doc_id").filter("node <> lo").select(F.col("lo").alias("a"), F.col("node").alias("b"))
     labels = components(links.unionByName(same))
 
     tagged = shared.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
     split = tagged.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("bucket")
     mixed = tagged.join(split, "bucket").join(nodes.select("node", "n_shingles", "regs"), "node")
-    rest = pin(_across(mixed, least))
-    if not rest.isEmpty():
-        more = pin(confirm(rest))
+    mixed = pin(mixed)
+    forest = pin(_forest(mixed, least))
+    if not forest.isEmpty():
+        groups = components(forest).select(F.col("node").alias("label"), F.col("label").alias("group"))
+        members = mixed.select("node", "label", "n_shingles", "regs").dropDuplicates(["node"]).join(groups, "label")
+        texts = _texts(members.select(F.col("node").alias("a"), F.col("node").alias("b")), nodes, source, size)
+        more = pin(_confirmed_within(members.join(texts, "node"), least, size, similarity))
         labels = components(links.unionByName(same).unionByName(more))
 
     named = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
