@@ -14,15 +14,10 @@ from tablewright.operators.ordering import dense_index
 from tablewright.operators.skew import attach
 from tablewright.session import pin_small
 
-MAX_LEVELS = 1_000
-
 
 def levels_of(df: DataFrame, col: str) -> list:
-    """Sorted distinct values, refused if there are too many to become columns."""
-    rows = df.select(col).filter(F.col(col).isNotNull()).distinct().limit(MAX_LEVELS + 1).collect()
-    if len(rows) > MAX_LEVELS:
-        raise ValueError(f"{col} has more than {MAX_LEVELS} levels; use encode_label or encode_target")
-    return sorted(r[0] for r in rows)
+    """Sorted distinct values; as many as the result will have columns."""
+    return sorted(r[0] for r in df.select(col).filter(F.col(col).isNotNull()).distinct().collect())
 
 
 def label_index(df: DataFrame, col: str, out: str) -> DataFrame:
@@ -51,6 +46,19 @@ def encode_onehot(df: DataFrame, col: str, levels: Sequence | None = None) -> Da
     return df.withColumns({f"{col}_{v}": F.coalesce((F.col(col) == v).cast("int"), F.lit(0)) for v in levels})
 
 
+def encode_onehot_vector(df: DataFrame, col: str, out: str) -> DataFrame:
+    """The same as one sparse vector column, for a column of any number of levels: an index by
+    frequency (``encode_label``), then a vector with a 1 at its place; NULL is all zeros."""
+    from pyspark.ml.feature import OneHotEncoder
+
+    index = f"_{out}_index"
+    coded = encode_label(df, df, col, index).withColumn(index, F.col(index).cast("double"))  # NULL: one past the last
+    levels = df.select(F.count_distinct(col)).first()[0]
+    ends = df.sparkSession.range(levels + 1).select(F.col("id").cast("double").alias(index))
+    encoder = OneHotEncoder(inputCol=index, outputCol=out, dropLast=True)
+    return encoder.fit(ends).transform(coded).drop(index)
+
+
 def encode_dummies(df: DataFrame, col: str, levels: Sequence | None = None) -> DataFrame:
     """The same without the first level, and without the source column."""
     levels = levels_of(df, col) if levels is None else sorted(levels)

@@ -4,19 +4,26 @@ broadcast by hint only after its row count was checked."""
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_ROWS = 100_000
-MAX_CENTRES = 4_096
+BROADCAST_BYTES = 32 << 20
 
 
-def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a table has at most ``rows`` rows; reads no more than it needs to know."""
-    return len(df.select(F.lit(1)).take(rows + 1)) <= rows
+def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether a table has at most ``rows`` rows and ``size`` bytes; reads no more than it needs to know."""
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.UserDefinedType)]
+    width = reduce(
+        lambda a, b: a + b, [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 8 for c in plain], F.lit(16)
+    )
+    seen = df.select(width.alias("_w")).limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum("_w").alias("w")).first()
+    return seen["n"] <= rows and (seen["w"] or 0) <= size
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -69,8 +76,6 @@ def nearest_assign(
     product. Ties go to the label that sorts first. For many reference rows use
     ``neighbours.knn`` with k = 1.
     """
-    if len(centres) > MAX_CENTRES:
-        raise ValueError("too many centres to ship with the task; use neighbours.knn")
     labels = sorted(centres)
     grid = np.array([centres[k] for k in labels], dtype=float)
 

@@ -68,21 +68,14 @@ def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "inn
     return null_safe_join(df, side, keys, how)
 
 
-def spread_out(df: DataFrame) -> DataFrame:
-    """Deal a table that arrives in fewer partitions than there are cores, as one small
-    file does, before a fit that reads it many times. Larger tables are left alone.
-
-    Rows are placed by a hash of all plain columns: repeatable, and without the sort
-    that a round-robin needs to be so.
+def spread_out(df: DataFrame, parts: int | None = None) -> DataFrame:
+    """Deal rows by a hash of all plain columns before a fit that reads them many times, so a
+    table in one small file uses all tasks. ``parts`` fixes the number of partitions, which
+    seeded forests and boosting depend on; without it the session's setting holds.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    execution = df._jdf.queryExecution()
-    if "Exchange" in execution.executedPlan().toString():
-        return df  # already placed by a shuffle; counting its partitions would run it
-    if execution.toRdd().getNumPartitions() >= cores:
-        return df
     plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (VectorUDT, MapType))]
-    return df.repartition(cores, F.xxhash64(*plain))
+    by = F.xxhash64(*plain)
+    return df.repartition(by) if parts is None else df.repartition(parts, by)
 
 
 @contextmanager

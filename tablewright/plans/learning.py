@@ -147,7 +147,31 @@ def logit_inference(t):
     return rounded(top)
 
 
-@query("sgd_logistic")
+def _sgd_sql(rates, epochs):
+    """Full-batch gradient steps as one common table expression per epoch."""
+    z = ["1.0::DOUBLE", *[f"({x} - m{i}) / s{i}" for i, x in enumerate(FEATURES)]]
+    n = len(z)
+    lin = " + ".join(f"w{j} * z{j}" for j in range(n))
+    base = (
+        "b AS (SELECT CAST(l_extendedprice * (1 - l_discount) * (1 + l_tax) > 40000 AS DOUBLE) AS y, l_quantity, l_extendedprice / 1000 AS l_price, "
+        "l_discount, l_tax, CAST(l_linenumber AS DOUBLE) AS l_linenumber FROM lineitem), s AS (SELECT "
+        + ", ".join(f"avg({x}) AS m{i}, stddev_pop({x}) AS s{i}" for i, x in enumerate(FEATURES))
+        + " FROM b), z AS MATERIALIZED (SELECT y, " + ", ".join(f"{e} AS z{i}" for i, e in enumerate(z)) + " FROM b, s), "
+        + "w0 AS MATERIALIZED (SELECT rate::DOUBLE AS rate, " + ", ".join(f"0.0::DOUBLE AS w{j}" for j in range(n))
+        + f" FROM (VALUES {', '.join(f'({r})' for r in rates)}) v(rate))"
+    )
+    steps = [
+        f"w{e + 1} AS MATERIALIZED (SELECT rate, "
+        + ", ".join(f"any_value(w{j}) - rate * avg((1 / (1 + exp(-({lin}))) - y) * z{j}) AS w{j}" for j in range(n))
+        + f" FROM z, w{e} GROUP BY rate)"
+        for e in range(epochs - 1)
+    ]
+    loss = f"avg(greatest({lin}, 0) + ln(1 + exp(-abs({lin}))) - y * ({lin}))"
+    rows = [f"SELECT rate, {e}::INTEGER AS epoch, round({loss}, 6) AS log_loss FROM z, w{e} GROUP BY rate" for e in range(epochs)]
+    return f"WITH {base}, {', '.join(steps)} {' UNION ALL '.join(rows)}"
+
+
+@query("sgd_logistic", _sgd_sql([0.05, 0.5, 2.0], 10))
 def sgd_logistic(t):
     table, _ = C.sgd_logistic(line_table(t), FEATURES, "label", [0.05, 0.5, 2.0], epochs=10)
     return rounded(table, 6)

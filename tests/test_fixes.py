@@ -115,3 +115,19 @@ def test_loop_files(spark, tmp_path):
     (tmp_path / "loop_id=2" / "b.csv").write_text("a,b\n7,8\n")
     got = sorted(map(tuple, R.read_loop_files(spark, str(tmp_path), r"loop_id=(\d+)").collect()), key=str)
     assert got == [(1, 0.1, 1.0, 2.0, 3.0), (1, 0.2, 4.0, 5.0, 6.0), (2, None, None, None, None), (2, None, None, None, None)]
+
+
+def test_many_levels(spark):
+    df = spark.range(3000).select(F.col("id"), F.when(F.col("id") % 7 != 0, F.concat(F.lit("v"), F.col("id") % 1500)).alias("c"))
+    rows = X.encode_onehot_vector(df, "c", "v").collect()
+    levels = {r.c for r in rows if r.c}
+    assert len(rows) == 3000 and len(levels) > 1000
+    assert all(r.v.size == len(levels) and r.v.numNonzeros() == (r.c is not None) for r in rows)
+    assert len({int(r.v.indices[0]) for r in rows if r.c}) == len(levels)
+
+
+def test_broadcast_is_bounded_by_bytes(spark):
+    from tablewright.operators.joins import small_enough
+
+    assert small_enough(spark.range(100)) and not small_enough(spark.range(101), rows=100)
+    assert not small_enough(spark.range(100).select(F.repeat(F.lit("x"), 1000).alias("s")), size=50_000)
