@@ -28,7 +28,7 @@ from tablewright.llm import words as W
 
 ORDER = 2
 POWERS = np.linspace(0.0, 1.0, 41)  # exponents g at which sums of c ** g are known
-BLOCK = 16 << 20  # bytes of text in a block of documents
+BLOCK = 8 << 20  # bytes of text in a block of documents
 PART = 8 << 20  # bytes of text that give the n-grams of one part
 _U = np.uint64
 _BEGIN, _END = _U(0x6A09E667F3BCC909), _U(0xBB67AE8584CAA73B)
@@ -49,7 +49,7 @@ class _Grams:
         padded[padded_first[1:] - 1] = _END
         padded[np.arange(len(hashes)) + 2 * W.rows_of(first) + 1] = hashes
         learned = np.repeat(train, self.tokens)
-        self.bits = 48 if parts <= 1 << 16 else 40
+        self.bits = _bits(parts)
         self.levels = []
         for n in range(1, order + 1):
             if n == 1:
@@ -84,8 +84,23 @@ def _unpack(raw: bytes, width: int) -> np.ndarray:
     return out.view(np.uint64).reshape(-1)
 
 
+def _planes(counts: np.ndarray) -> bytes:
+    """Counts as all their low bytes, all their next bytes, ...: zeros lie together and compress."""
+    return counts.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _counts(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<u8").reshape(-1).astype(np.int64)
+
+
 _SENT = "level int, part long, block long, keys binary, counts binary"
-_TOTAL = "block long, level int, part long, keys binary, totals binary, sums binary"
+_TOTAL = "block long, level int, part long, keys binary, totals binary"
+_FACT = "level int, part long, fact int, value double"
+
+
+def _bits(parts: int) -> int:
+    """Bits of a longer n-gram's key that travel; the part that owns it says the others."""
+    return 48 if parts <= 1 << 16 else 40
 
 
 def _sender(order: int, parts: int):
@@ -95,56 +110,69 @@ def _sender(order: int, parts: int):
         for level, (keys, counts, _, _) in enumerate(grams.levels, 1):
             width = 8 if level == 1 else grams.bits // 8
             owner = grams.part(keys, parts) if level == 1 else keys >> _U(grams.bits)
-            cuts = np.searchsorted(owner, np.arange(parts + 1, dtype=np.uint64))
-            for p in range(parts):
-                s, e = cuts[p], cuts[p + 1]
-                # also without keys: every part tells every block its totals
+            cuts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(keys) else []
+            for s, e in zip(cuts, [*cuts[1:], len(keys)]):
                 out["level"].append(level)
-                out["part"].append(p)
+                out["part"].append(int(owner[s]))
                 out["block"].append(key[0].as_py())
                 out["keys"].append(_pack(keys[s:e], width))
-                out["counts"].append(counts[s:e].astype(np.uint32).tobytes())
+                out["counts"].append(_planes(counts[s:e]))
         return pa.table(out, schema=pa.schema([("level", pa.int32()), ("part", pa.int64()), ("block", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())]))
 
     return send
 
 
-def _adder(parts: int):
-    bits = 48 if parts <= 1 << 16 else 40
+def _added(level: int, table: pa.Table, parts: int):
+    """Keys of all blocks one after another, their own counts, and the totals of each key
+    (per entry, and once per key)."""
+    width = 8 if level == 1 else _bits(parts) // 8
+    keys = [_unpack(x, width) for x in table["keys"].to_pylist()]
+    sizes = [len(x) for x in keys]
+    keys = np.concatenate(keys)
+    own = np.concatenate([_counts(x) for x in table["counts"].to_pylist()])
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+    sums = np.add.reduceat(own[order], np.flatnonzero(new))
+    total = np.empty(len(keys), np.int64)
+    total[order] = sums[np.cumsum(new) - 1]
+    return keys, sizes, own, total, sums
+
 
+def _adder(parts: int):
     def add(key, table):
         level, part = key[0].as_py(), key[1].as_py()
-        width = 8 if level == 1 else bits // 8
-        blocks = table["block"].to_pylist()
-        keys = [_unpack(x, width) for x in table["keys"].to_pylist()]
-        sizes = [len(x) for x in keys]
-        keys = np.concatenate(keys)
-        own = np.concatenate([np.frombuffer(x, np.uint32) for x in table["counts"].to_pylist()]).astype(np.int64)
-        order = np.argsort(keys)
-        ordered = keys[order]
-        new = np.concatenate([[True], ordered[1:] != ordered[:-1]]) if len(ordered) else np.zeros(0, bool)
-        starts = np.flatnonzero(new)
-        sums = np.add.reduceat(own[order], starts) if len(starts) else np.zeros(0, np.int64)
-        total = np.empty(len(keys), np.int64)
-        total[order] = sums[np.cumsum(new) - 1]
-        seen = sums[sums > 0].astype(np.float64)
-        facts = [seen.sum(), len(seen), (seen == 1).sum(), (seen == 2).sum(), *((seen**g).sum() for g in POWERS)]
-        out = {"block": [], "level": [], "part": [], "keys": [], "totals": [], "sums": []}
+        keys, sizes, own, total, _ = _added(level, table, parts)
+        width = 8 if level == 1 else _bits(parts) // 8
+        out = {"block": [], "level": [], "part": [], "keys": [], "totals": []}
         at = 0
-        for block, n in zip(blocks, sizes):
+        for block, n in zip(table["block"].to_pylist(), sizes):
             changed = total[at : at + n] != own[at : at + n]
-            out["block"].append(block)
-            out["level"].append(level)
-            out["part"].append(part)
-            out["keys"].append(_pack(keys[at : at + n][changed], width))
-            out["totals"].append(total[at : at + n][changed].astype(np.uint64).tobytes())
-            out["sums"].append(np.array(facts).tobytes())
+            if changed.any():
+                out["block"].append(block)
+                out["level"].append(level)
+                out["part"].append(part)
+                out["keys"].append(_pack(keys[at : at + n][changed], width))
+                out["totals"].append(_planes(total[at : at + n][changed]))
             at += n
-        return pa.table(out, schema=pa.schema([("block", pa.int64()), ("level", pa.int32()), ("part", pa.int64()), ("keys", pa.binary()), ("totals", pa.binary()), ("sums", pa.binary())]))
+        return pa.table(out, schema=pa.schema([("block", pa.int64()), ("level", pa.int32()), ("part", pa.int64()), ("keys", pa.binary()), ("totals", pa.binary())]))
 
     return add
 
 
+def _facts(parts: int):
+    """Per part: n-grams, kinds, kinds seen once and twice, and sums of powers of their counts."""
+
+    def sums(key, table):
+        _, _, _, _, counts = _added(key[0].as_py(), table, parts)
+        seen = counts[counts > 0].astype(np.float64)
+        facts = [seen.sum(), len(seen), (seen == 1).sum(), (seen == 2).sum(), *((seen**g).sum() for g in POWERS)]
+        n = len(facts)
+        return pa.table({"level": pa.array([key[0].as_py()] * n, pa.int32()), "part": pa.array([key[1].as_py()] * n, pa.int64()), "fact": pa.array(range(n), pa.int32()), "value": pa.array(np.array(facts, np.float64))})
+
+    return sums
+
+
 def _exponent(powers: np.ndarray, kinds: float) -> float:
     """The g at which the sum of c ** g over the contexts is the number of n-grams."""
     return float(np.interp(kinds, powers, POWERS)) if powers[-1] > powers[0] else 1.0
@@ -195,6 +223,7 @@ def lm_scores(
     log10 probability. Null or empty text: the end token alone. Repeated rows count each time.
     Empty table: no rows. No training rows: N = V = 0. Other columns are ignored.
     """
+    spark = docs.sparkSession
     kept = [F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)]
     rows = docs.select(*kept, F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -203,19 +232,26 @@ def lm_scores(
     placed = rows.withColumn("block", F.pmod(F.xxhash64(*names, "text"), F.lit(blocks))).repartition(blocks, "block")
     sent = placed.groupBy("block").applyInArrow(_sender(order, parts), _SENT)
     totals = sent.groupBy("level", "part").applyInArrow(_adder(parts), _TOTAL)
-    bits = 48 if parts <= 1 << 16 else 40
+    # A few numbers about the corpus, to every block; they come from the same exchange.
+    facts = sent.groupBy("level", "part").applyInArrow(_facts(parts), _FACT).groupBy("level", "fact").agg(F.sum("value").alias("value"))
+    facts = facts.agg(F.array_sort(F.collect_list(F.struct("level", "fact", "value"))).alias("facts"))
+    told = spark.range(blocks).select(F.col("id").alias("block"), facts.scalar().alias("facts"))
+    right = totals.withColumn("facts", F.lit(None).cast(told.schema["facts"].dataType)).unionByName(told, allowMissingColumns=True)
+    bits = _bits(parts)
 
     def score(left, right):
         grams = _Grams(left["text"], np.asarray(left["train"]), order, parts)
         counts = [level[1].copy() for level in grams.levels]
         facts = [np.zeros(4 + len(POWERS)) for _ in counts]
-        told = right.sort_by([("level", "ascending"), ("part", "ascending")])
-        for level, part, raw, totals, sums in zip(*(told[c].to_pylist() for c in ("level", "part", "keys", "totals", "sums"))):
+        for level, part, raw, totals, told in zip(*(right[c].to_pylist() for c in ("level", "part", "keys", "totals", "facts"))):
+            if told is not None:
+                for fact in told:
+                    facts[fact["level"] - 1][fact["fact"]] = fact["value"]
+                continue
             keys = _unpack(raw, 8 if level == 1 else bits // 8)
             if level > 1:
                 keys = keys | _U(part << bits)
-            counts[level - 1][np.searchsorted(grams.levels[level - 1][0], keys)] = np.frombuffer(totals, np.uint64)
-            facts[level - 1] += np.frombuffer(sums)
+            counts[level - 1][np.searchsorted(grams.levels[level - 1][0], keys)] = _counts(totals)
         base, prob, known = walk(grams, counts, facts)
         out = left.select(names)
         for name, value in (
@@ -229,7 +265,7 @@ def lm_scores(
         return out
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*names).schema.fields)
-    scored = placed.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(
+    scored = placed.groupBy("block").cogroup(right.groupBy("block")).applyInArrow(
         score, schema + ", n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
     return scored.select(*[F.col(n).alias(c) for n, c in zip(names, keep)], "n_tokens", "n_known", "train_tokens", "base_score", "score")
