@@ -1,9 +1,10 @@
 """Exact k nearest neighbours between two tables, without pairing all rows.
 
 Reference rows are put into cells around a few pivot rows and each cell is cut,
-in order of distance to its pivot, into chunks of bounded size. The triangle
-inequality gives each query an upper bound for its k-th distance and a lower
-bound per chunk, so a query meets only the chunks that can hold a neighbour.
+in order of distance to its pivot, into chunks of bounded size. A query first meets
+the chunks around its own place, which gives it a true k-th distance; the triangle
+inequality gives a lower bound per chunk, and then it meets only the other chunks that
+can hold a nearer row. In many dimensions bounds say little and most chunks remain.
 Within a chunk numpy computes the distances and hands on k rows per query.
 Copies of one vector are reduced to the k smallest ids beforehand, which is
 exact because ties go to the smallest id.
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.operators.ordering import dense_index
-from tablewright.session import pin, small_table
+from tablewright.session import pin, pin_small, small_table
 
 MAX_PIVOTS = 256
 MAX_CHUNKS = 20_000
@@ -127,33 +128,35 @@ def knn(
     cell, chunk = stats["cell"].to_numpy(), stats["chunk"].to_numpy()
     size, lo, hi = stats["n"].to_numpy(), stats["lo"].to_numpy(), stats["hi"].to_numpy()
 
-    @F.pandas_udf("array<long>")
-    def candidates(v: pd.Series) -> pd.Series:
-        out = []
+    def bounds(v: pd.Series):
+        """Per query and chunk the least possible distance, in steps of bounded size."""
         step = max(1, 2_000_000 // max(len(cell), 1))
         for s in range(0, len(v), step):
             d = distances(_stack(v.iloc[s : s + step]), pivots, metric)[:, cell]
-            upper = d + hi
-            order = np.argsort(upper, axis=1, kind="stable")
-            seen = np.cumsum(size[order], axis=1)
-            at = np.minimum((seen < need).sum(axis=1), len(cell) - 1)
-            bound = upper[np.arange(len(d)), order[np.arange(len(d)), at]]
-            lower = np.maximum(np.maximum(d - hi, lo - d), 0.0)
-            hit = lower <= (bound * (1 + 1e-9) + 1e-12)[:, None]
-            out.extend(chunk[h] for h in hit)
+            yield slice(s, s + step), np.maximum(np.maximum(d - hi, lo - d), 0.0), d
+
+    def nearest(lower: np.ndarray, d: np.ndarray):
+        """The nearest chunks that have ``need`` rows between them: a mask."""
+        order = np.lexsort((d, lower), axis=1)
+        before = np.cumsum(size[order], axis=1) - size[order]
+        mask = np.zeros(lower.shape, bool)
+        np.put_along_axis(mask, order, before < need, axis=1)
+        return mask
+
+    @F.pandas_udf("array<long>")
+    def around(v: pd.Series) -> pd.Series:
+        out = []
+        for _, lower, d in bounds(v):
+            out.extend(chunk[m] for m in nearest(lower, d))
         return pd.Series(out, index=v.index, dtype=object)
 
-    asked = queries.withColumn("chunk", F.explode(candidates("_qvec")))
-    # A chunk that many queries need is dealt to several tasks, each with a part of the queries.
-    load = asked.groupBy("chunk").agg(
-        F.ceil(F.count(F.lit(1)) / QUERY_BATCH).cast("int").alias("_parts")
-    )
-    asked = asked.join(load, "chunk").withColumn(
-        "salt", F.pmod(F.xxhash64("_qid"), F.col("_parts")).cast("int")
-    )
-    held = placed.join(load, "chunk").withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
-    )
+    @F.pandas_udf("array<long>")
+    def others(v: pd.Series, kth: pd.Series) -> pd.Series:
+        out, limit = [], kth.fillna(np.inf).to_numpy()
+        for at, lower, d in bounds(v):
+            hit = (lower <= (limit[at] * (1 + 1e-9) + 1e-12)[:, None]) & ~nearest(lower, d)
+            out.extend(chunk[h] for h in hit)
+        return pd.Series(out, index=v.index, dtype=object)
 
     schema = T.StructType(
         [
@@ -175,12 +178,24 @@ def knn(
             parts.append(pd.DataFrame({"_qid": qids[s : s + step][i], "_rid": ids[j], "dist": dist}))
         return pd.concat(parts, ignore_index=True)
 
-    found = (
-        asked.select("_qid", "_qvec", "chunk", "salt")
-        .groupBy("chunk", "salt")
-        .cogroup(held.select("_rid", "_rvec", "chunk", "salt").groupBy("chunk", "salt"))
-        .applyInPandas(measure, schema)
-    )
+    def meet(asked: DataFrame) -> DataFrame:
+        # A chunk that many queries need is dealt to several tasks, each with a part of the queries.
+        load = pin_small(asked.groupBy("chunk").agg(F.ceil(F.count(F.lit(1)) / QUERY_BATCH).cast("int").alias("_parts")))
+        dealt = asked.join(load, "chunk").withColumn("salt", F.pmod(F.xxhash64("_qid"), F.col("_parts")).cast("int"))
+        held = placed.join(load, "chunk").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+        return (
+            dealt.select("_qid", "_qvec", "chunk", "salt")
+            .groupBy("chunk", "salt")
+            .cogroup(held.select("_rid", "_rvec", "chunk", "salt").groupBy("chunk", "salt"))
+            .applyInPandas(measure, schema)
+        )
+
+    first = pin(meet(queries.withColumn("chunk", F.explode(around("_qvec")))))
+    # The true distance of the k-th row met so far; fewer rows than needed: no limit yet.
+    order = Window.partitionBy("_qid").orderBy("dist", "_rid")
+    kth = first.withColumn("_pos", F.row_number().over(order)).filter(F.col("_pos") == need).select("_qid", F.col("dist").alias("_kth"))
+    asked = queries.join(kth, "_qid", "left").withColumn("chunk", F.explode(others("_qvec", "_kth"))).drop("_kth")
+    found = first.unionByName(meet(pin(asked)))
     if exclude_self:
         found = found.filter(F.col("_qid") != F.col("_rid"))
     return _ranked(found, qid, rid, k)

@@ -96,3 +96,21 @@ def test_smote_balances_and_interpolates(spark):
     assert made["a"].between(0, 1).all() and made["b"].between(5, 6).all()
     again = N.smote_nc(df.repartition(3), "id", "y", ["a", "b"], ["c"], k=5).filter("synthetic = 1").toPandas()
     assert sorted(made["a"].round(12)) == sorted(again["a"].round(12))
+
+
+def test_few_chunks_are_met_in_three_dimensions(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    r, q = rng.normal(size=(60_000, 3)), rng.normal(size=(50, 3))
+    met = []
+    real = N.pin
+
+    def spy(df):
+        out = real(df)
+        if "chunk" in out.columns and "_qid" in out.columns:
+            met.append(out.count())
+        return out
+
+    monkeypatch.setattr(N, "pin", spy)
+    near = N.knn(frame(spark, q, "q"), frame(spark, r, "r"), "q", "r", "v", 5)
+    assert got(near) == brute(q, r, 5)
+    assert sum(met) < 0.4 * 50 * 62
