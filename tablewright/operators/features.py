@@ -222,6 +222,11 @@ def nystrom_features(
 
     Only the m landmarks travel; rows stay where they are.
     """
+    return df.withColumn(out, nystrom_map(df, key, vec, m, kernel, param)(vec))
+
+
+def nystrom_map(df: DataFrame, key: str, vec: str, m: int, kernel: str, param: float):
+    """The map as a function of a column, with landmarks taken from ``df``."""
     marks = landmark_rows(df, key, vec, m)
     values, vectors = np.linalg.eigh(kernel_matrix(marks, marks, kernel, param))
     keep = values > values.max() * 1e-10
@@ -233,7 +238,7 @@ def nystrom_features(
             return pd.Series([], dtype=object)
         return pd.Series(list(kernel_matrix(_matrix(v), marks, kernel, param) @ root), index=v.index)
 
-    return df.withColumn(out, lift(vec))
+    return lift
 
 
 def _weights(x: np.ndarray, h: np.ndarray, steps: int) -> np.ndarray:

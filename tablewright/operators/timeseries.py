@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewright.functions.distributions import normal_cdf
 from tablewright.operators.evaluate import mape, regression_metrics
 from tablewright.operators.joins import null_safe_join
 from tablewright.operators.linear import fit_groups, moments, solve_row
@@ -27,6 +28,10 @@ from tablewright.session import pin_small
 
 # Published asymptotic critical values, constant case, at 1, 5 and 10 percent.
 ADF_CRITICAL = {"1%": -3.43035, "5%": -2.86154, "10%": -2.56677}
+# MacKinnon (1994), constant case.
+ADF_TAU_STAR, ADF_TAU_MIN, ADF_TAU_MAX = -1.61, -18.83, 2.74
+ADF_SMALL_P = (2.1659, 1.4412, 0.038269)
+ADF_LARGE_P = (1.7339, 0.93202, -0.12745, -0.010368)
 KPSS_CRITICAL = {"10%": 0.347, "5%": 0.463, "2.5%": 0.574, "1%": 0.739}
 
 MAX_STEPS = 200_000
@@ -110,6 +115,54 @@ def adf_test(df: DataFrame, keys, t: str, value: str, lags: int = 0) -> DataFram
     )
 
 
+def adf_p_value(tau: float) -> float:
+    """Approximate p-value of the statistic with a constant, by MacKinnon's response surface."""
+    if not math.isfinite(tau):
+        return float("nan")
+    if tau > ADF_TAU_MAX:
+        return 1.0
+    if tau < ADF_TAU_MIN:
+        return 0.0
+    coef = ADF_SMALL_P if tau <= ADF_TAU_STAR else ADF_LARGE_P
+    return normal_cdf(sum(c * tau**i for i, c in enumerate(coef)))
+
+
+def adf_auto(df: DataFrame, keys, t: str, value: str, max_lags: int) -> DataFrame:
+    """(keys, n, lags, adf, p_value, stationary): the test with the number of lagged differences,
+    0 to ``max_lags``, of the least AIC.
+
+    All orders are fitted on the same steps, so one row of moments per series serves them all.
+    """
+    v = F.col(value)
+
+    def build(w):
+        diff = {f"_x{j}": F.lag(v, j).over(w) - F.lag(v, j + 1).over(w) for j in range(1, max_lags + 1)}
+        return {"_dy": v - F.lag(v).over(w), "_x0": F.lag(v).over(w), **diff}
+
+    rows = step_window(df, keys, t, build, before=max_lags + 1)
+    table = moments(rows, [f"_x{j}" for j in range(max_lags + 1)], "_dy", keys)
+    schema = _schema(df, keys, "n long, lags int, adf double, p_value double, stationary int")
+
+    def choose(batches):
+        for b in batches:
+            out = []
+            for row in b.itertuples(index=False):
+                best = None
+                for lags in range(max_lags + 1):
+                    if row.n <= lags + 3:
+                        break
+                    coef, se, sse, _ = sub_fit(row, max_lags + 1, lags + 1, 0)
+                    aic = row.n * math.log(max(sse, 1e-300) / row.n) + 2 * (lags + 2)
+                    if best is None or aic < best[0] - 1e-12:
+                        best = (aic, lags, float(coef[1] / se[1]) if se[1] > 0 else float("nan"))
+                if best:
+                    tau = best[2]
+                    out.append([*[getattr(row, c) for c in keys], int(row.n), best[1], tau, adf_p_value(tau), int(tau < ADF_CRITICAL["5%"])])
+            yield pd.DataFrame(out, columns=[f.name for f in schema.fields])
+
+    return table.mapInPandas(choose, schema)
+
+
 def kpss_test(df: DataFrame, keys, t: str, value: str, lags: int) -> DataFrame:
     """(keys, n, kpss, stationary): partial sums over the Bartlett long-run variance, constant case."""
     d = centred(df, keys, value)
@@ -395,16 +448,18 @@ def long_ar_residuals(rows: DataFrame, keys, t: str, z: str, order: int, out: st
     return attach(lags, fits, keys).withColumn(out, F.col(z) - fitted).drop("_c", *names)
 
 
-def arma_moments(df: DataFrame, keys, t: str, value: str, d: int, pmax: int, qmax: int, season: int, order: int):
-    z = difference(df, keys, t, value, d, season)
-    staged = long_ar_residuals(z, keys, t, "_z", order)
+def arma_rows(df: DataFrame, keys, t: str, value: str, d: int, plags: Sequence[int], qlags: Sequence[int], season: int, order: int):
+    """Differenced rows with their lagged values and, from a long autoregression, lagged residuals."""
+    staged = difference(df, keys, t, value, d, season)
+    if qlags:
+        staged = long_ar_residuals(staged, keys, t, "_z", order)
     xs = []
-    if pmax:
-        staged = lagged(staged, keys, t, "_z", range(1, pmax + 1), "_p")
-        xs += [f"_p{j}" for j in range(1, pmax + 1)]
-    if qmax:
-        staged = lagged(staged, keys, t, "_e", range(1, qmax + 1), "_q")
-        xs += [f"_q{j}" for j in range(1, qmax + 1)]
+    if plags:
+        staged = lagged(staged, keys, t, "_z", plags, "_p")
+        xs += [f"_p{j}" for j in plags]
+    if qlags:
+        staged = lagged(staged, keys, t, "_e", qlags, "_q")
+        xs += [f"_q{j}" for j in qlags]
     return staged, xs
 
 
@@ -432,7 +487,7 @@ def arima_order_search(
     pmax, qmax = max(ps), max(qs)
     tables = []
     for d in ds:
-        rows, xs = arma_moments(df, keys, t, value, d, pmax, qmax, 0, order)
+        rows, xs = arma_rows(df, keys, t, value, d, range(1, pmax + 1), range(1, qmax + 1), 0, order)
 
         def score(batches, d=d):
             for b in batches:
@@ -457,28 +512,41 @@ def arima_order_search(
 
 
 def forecast_sarima(
-    df: DataFrame, keys, t: str, value: str, order: tuple[int, int, int], season: int, h: int, long_order: int = 6
+    df: DataFrame,
+    keys,
+    t: str,
+    value: str,
+    order: tuple[int, int, int],
+    season: int,
+    h: int,
+    long_order: int = 6,
+    seasonal: tuple[int, int, int] = (0, 1, 0),
 ) -> DataFrame:
     """(keys, t, forecast, low, high): ARMA on the (seasonally) differenced series, undone step by step.
 
-    Python receives the moments and the last few steps of each series.
+    ``order`` is (p, d, q); ``seasonal`` (P, D, Q) adds values and residuals at multiples of
+    ``season`` as terms of their own and takes D seasonal differences (0 or 1). Python
+    receives the moments and the last few steps of each series.
     """
     p, d, q = order
-    rows, xs = arma_moments(df, keys, t, value, d, p, q, season, long_order)
-    fits = fit_groups(rows, xs, "_z", keys) if xs else None
-    if fits is None:
-        raise ValueError("p + q must be positive")
-    need = max(p, q, 1) + d + season + 1
-    tails = tail_steps(df, keys, t, [value], need)
-    last_e = tail_steps(rows, keys, t, ["_e"], max(q, 1)).select(*keys, F.col("tail").alias("etail"))
-    start = null_safe_join(null_safe_join(tails, fits, keys), last_e, keys)
-    schema = _schema(df, keys, f"{t} long, forecast double, low double, high double")
+    sp, sd, sq = seasonal if season else (0, 0, 0)
+    plags = sorted({*range(1, p + 1), *(season * j for j in range(1, sp + 1))})
+    qlags = sorted({*range(1, q + 1), *(season * j for j in range(1, sq + 1))})
+    rows, xs = arma_rows(df, keys, t, value, d, plags, qlags, season if sd else 0, long_order)
+    if not xs:
+        raise ValueError("no autoregressive or moving-average term")
+    fits = fit_groups(rows, xs, "_z", keys)
     # Lag polynomial of the differencing: (1 - B^season) (1 - B)^d.
     poly = np.array([1.0])
-    if season:
+    if season and sd:
         poly = np.convolve(poly, np.r_[1.0, np.zeros(season - 1), -1.0])
     for _ in range(d):
         poly = np.convolve(poly, [1.0, -1.0])
+    start = null_safe_join(tail_steps(df, keys, t, [value], max([1, *plags]) + len(poly)), fits, keys)
+    if qlags:
+        last_e = tail_steps(rows, keys, t, ["_e"], max(qlags)).select(*keys, F.col("tail").alias("etail"))
+        start = null_safe_join(start, last_e, keys)
+    schema = _schema(df, keys, f"{t} long, forecast double, low double, high double")
 
     def roll(batches):
         for b in batches:
@@ -487,21 +555,21 @@ def forecast_sarima(
                 y = [float(x[value]) for x in row.tail]
                 k = len(poly) - 1
                 z = [float(poly @ np.array(y[i - k : i + 1][::-1])) for i in range(k, len(y))]
-                e = [float(x["_e"]) for x in row.etail]
-                coef = list(row.coef)
-                phi, theta = coef[1 : 1 + p], coef[1 + p : 1 + p + q]
-                sigma = math.sqrt(max(row.sse, 0) / max(row.n - p - q - 1, 1))
+                e = [float(x["_e"]) for x in row.etail] if qlags else []
+                phi = dict(zip(plags, row.coef[1 : 1 + len(plags)]))
+                theta = dict(zip(qlags, row.coef[1 + len(plags) :]))
+                sigma = math.sqrt(max(row.sse, 0) / max(row.n - len(xs) - 1, 1))
                 # psi weights of the undifferenced process
-                ar = np.convolve(np.r_[1.0, -np.array(phi)], poly)
+                own = np.zeros(max([0, *plags]) + 1)
+                own[0] = 1.0
+                for lag, v in phi.items():
+                    own[lag] = -v
+                ar = np.convolve(own, poly)
                 psi = [1.0]
                 for j in range(1, h):
-                    v = theta[j - 1] if j <= q else 0.0
-                    v -= sum(ar[i] * psi[j - i] for i in range(1, min(j, len(ar) - 1) + 1))
-                    psi.append(v)
+                    psi.append(theta.get(j, 0.0) - sum(ar[i] * psi[j - i] for i in range(1, min(j, len(ar) - 1) + 1)))
                 for j in range(1, h + 1):
-                    nz = coef[0] + sum(phi[i] * z[-1 - i] for i in range(p)) + sum(
-                        theta[i] * e[-1 - i] for i in range(q)
-                    )
+                    nz = row.coef[0] + sum(v * z[-lag] for lag, v in phi.items()) + sum(v * e[-lag] for lag, v in theta.items())
                     ny = nz - sum(poly[i] * y[-i] for i in range(1, len(poly)))
                     z.append(nz)
                     e.append(0.0)

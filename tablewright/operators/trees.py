@@ -27,7 +27,7 @@ from tablewright.operators.classify import binary_metrics, multiclass_accuracy,
 from tablewright.operators.evaluate import regression_metrics
 from tablewright.operators.sampling import class_weights
 from tablewright.operators.skew import held, spread_out
-from tablewright.session import small_table
+from tablewright.session import pin, small_table
 
 
 def assembled(df: DataFrame, xs: Sequence[str], *keep: str) -> DataFrame:
@@ -126,6 +126,21 @@ def linear_svc(train, test) -> DataFrame:
     return fit_score(LinearSVC(maxIter=30, regParam=0.01), train, test)
 
 
+def kernel_svc(train: DataFrame, test: DataFrame, key: str, vec: str, kernel: str, param: float, landmarks: int = 32) -> DataFrame:
+    """Accuracy of a kernel machine for several classes: linear machines, one class against the
+    rest, on a kernel map by landmark rows. ``vec`` is an array column; rows have a ``label``."""
+    from pyspark.ml.classification import OneVsRest
+    from pyspark.ml.functions import array_to_vector
+
+    from tablewright.operators.features import nystrom_map
+
+    lift = nystrom_map(train, key, vec, landmarks, kernel, param)
+    mapped = [pin(df.withColumn("features", array_to_vector(lift(vec))).select("label", "features")) for df in (train, test)]
+    with held(mapped[0]) as data:
+        model = OneVsRest(classifier=LinearSVC(maxIter=12, regParam=0.001), parallelism=4).fit(data)
+    return multiclass_accuracy(model.transform(mapped[1]))
+
+
 def mlp_classifier(train, test, layers: Sequence[int], seed=7) -> DataFrame:
     return multiclass_accuracy(
         MultilayerPerceptronClassifier(layers=list(layers), maxIter=40, seed=seed, blockSize=128).fit(train).transform(test)

@@ -113,6 +113,18 @@ def scan_html_pages(t):
     )
 
 
+@query(
+    "html_elements",
+    r"""
+    WITH e AS (SELECT page_id, regexp_extract_all(html, '(?is)<div class="ad">(.*?)</div>', 1) AS xs FROM pages)
+    SELECT page_id, CAST(i - 1 AS INTEGER) AS element, nullif(trim(regexp_replace(xs[i], '<[^>]*>', '', 'g')), '') AS text
+    FROM (SELECT page_id, xs, unnest(range(1, len(xs) + 1)) AS i FROM e)
+    """,
+)
+def html_elements(t):
+    return R.html_elements(t.pages.select("page_id", "html"), "html", "div", "ad", {})
+
+
 @query(
     "html_links",
     """

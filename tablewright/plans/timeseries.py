@@ -198,6 +198,40 @@ def forecast_sarima(t):
     return rounded(TS.forecast_sarima(t.monthly, K, "t", "value", (1, 0, 1), 12, 6), 2)
 
 
+@query(
+    "forecast_sarima_seasonal",
+    f"""
+    WITH {MONTHLY}, z AS (SELECT series_id, t, value, value - lag(value, 12) OVER (PARTITION BY series_id ORDER BY t) AS z FROM monthly),
+    x AS (SELECT *, lag(z, 12) OVER (PARTITION BY series_id ORDER BY t) AS x, max(t) OVER (PARTITION BY series_id) AS last FROM z),
+    f AS (SELECT series_id, regr_slope(z, x) AS b, regr_intercept(z, x) AS a, regr_count(z, x) AS n,
+      regr_syy(z, x) - pow(regr_sxy(z, x), 2) / regr_sxx(z, x) AS sse FROM x GROUP BY 1),
+    o AS (SELECT series_id, t + 12 AS t, value + a + b * z AS y, 1.96 * sqrt(sse / (n - 2)) AS h FROM x JOIN f USING (series_id) WHERE t + 12 > last AND t + 12 <= last + 6)
+    SELECT series_id, t, round(y, 2) AS forecast, round(y - h, 2) AS low, round(y + h, 2) AS high FROM o
+    """,
+)
+def forecast_sarima_seasonal(t):
+    return rounded(TS.forecast_sarima(t.monthly, K, "t", "value", (0, 0, 0), 12, 6, seasonal=(1, 1, 0)), 2)
+
+
+@query(
+    "adf_auto",
+    f"""
+    WITH {MONTHLY}, d AS (SELECT series_id, t, value - lag(value) OVER w AS dy, lag(value) OVER w AS x0,
+      lag(value) OVER w - lag(value, 2) OVER w AS x1 FROM monthly WINDOW w AS (PARTITION BY series_id ORDER BY t)),
+    m AS (SELECT series_id, count(*) AS n, count(*) * var_pop(dy) AS yy, count(*) * var_pop(x0) AS aa, count(*) * var_pop(x1) AS bb,
+      count(*) * covar_pop(x0, x1) AS ab, count(*) * covar_pop(x0, dy) AS ay, count(*) * covar_pop(x1, dy) AS byy FROM d WHERE x1 IS NOT NULL GROUP BY 1),
+    c AS (SELECT *, yy - ay * ay / aa AS s0, aa * bb - ab * ab AS det, (bb * ay - ab * byy) / (aa * bb - ab * ab) AS g0, (aa * byy - ab * ay) / (aa * bb - ab * ab) AS g1 FROM m),
+    e AS (SELECT *, yy - g0 * ay - g1 * byy AS s1 FROM c),
+    f AS (SELECT series_id, n, CASE WHEN n * ln(s1 / n) + 6 < n * ln(s0 / n) + 4 THEN 1 ELSE 0 END AS lags, ay / aa / sqrt(s0 / (n - 2) / aa) AS t0,
+      g0 / sqrt(s1 / (n - 3) * bb / det) AS t1 FROM e)
+    SELECT series_id, n, CAST(lags AS INTEGER) AS lags, round(CASE WHEN lags = 1 THEN t1 ELSE t0 END, 4) AS adf,
+      CAST(CASE WHEN lags = 1 THEN t1 ELSE t0 END < -2.86154 AS INTEGER) AS stationary FROM f
+    """,
+)
+def adf_auto(t):
+    return rounded(TS.adf_auto(t.monthly, K, "t", "value", 1).drop("p_value"))
+
+
 @query("forecast_fourier")
 def forecast_fourier(t):
     return rounded(TS.forecast_fourier(t.monthly, K, "t", "value", 12, 2, 6), 2)

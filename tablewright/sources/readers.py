@@ -104,11 +104,12 @@ def html_class_text(html: Column, tag: str, css_class: str) -> Column:
 
 
 def html_elements(df: DataFrame, html: str, tag: str, css_class: str, fields: Mapping[str, tuple[str, str]]) -> DataFrame:
-    """One row per ``tag`` of a class: ``element`` (0, 1, ...), and per field the text of the first
-    ``(tag, class)`` inside it; the repeated cards of a listing page."""
+    """One row per ``tag`` of a class: ``element`` (0, 1, ...), its ``text``, and per field the text of
+    the first ``(tag, class)`` inside it; the repeated cards of a listing page."""
     found = F.regexp_extract_all(html, F.lit(_class_pattern(tag, css_class)), F.lit(1))
     rows = df.select(*[c for c in df.columns if c != html], F.posexplode(found).alias("element", "_inner"))
-    return rows.select("*", *[html_class_text(F.col("_inner"), t, c).alias(n) for n, (t, c) in fields.items()]).drop("_inner")
+    inner = [html_class_text(F.col("_inner"), t, c).alias(n) for n, (t, c) in fields.items()]
+    return rows.select("*", _plain(F.col("_inner")).alias("text"), *inner).drop("_inner")
 
 
 def html_first_attr(html: Column, tag: str, attr: str) -> Column:

@@ -105,7 +105,7 @@ def test_html(spark):
     assert [r.href for r in R.html_links(df, "html", "").collect()] == ["u1", "u2", "u3"]
     cards = """<li class="item"><p class="t">A</p><i class="p">1</i></li><li class='item new'><p class="t">B</p></li>"""
     rows = R.html_elements(spark.createDataFrame([(1, cards)], "page_id int, html string"), "html", "li", "item", {"title": ("p", "t"), "price": ("i", "p")})
-    assert [tuple(r) for r in rows.orderBy("element").collect()] == [(1, 0, "A", "1"), (1, 1, "B", None)]
+    assert [tuple(r) for r in rows.orderBy("element").collect()] == [(1, 0, "A1", "A", "1"), (1, 1, "B", "B", None)]
 
 
 def test_loop_files(spark, tmp_path):
@@ -131,3 +131,22 @@ def test_broadcast_is_bounded_by_bytes(spark):
 
     assert small_enough(spark.range(100)) and not small_enough(spark.range(101), rows=100)
     assert not small_enough(spark.range(100).select(F.repeat(F.lit("x"), 1000).alias("s")), size=50_000)
+
+
+def test_adf_p_values():
+    """The critical values of the statistic are where its p-value says so."""
+    assert TS.adf_p_value(-3.43) == pytest.approx(0.01, abs=0.001)
+    assert TS.adf_p_value(-2.862) == pytest.approx(0.05, abs=0.001)
+    assert TS.adf_p_value(-2.567) == pytest.approx(0.10, abs=0.002)
+    assert TS.adf_p_value(3.0) == 1.0 and TS.adf_p_value(-30.0) == 0.0
+
+
+def test_seasonal_terms_are_found(spark):
+    rng = np.random.default_rng(6)
+    y = list(rng.normal(size=4))
+    for i in range(4, 4000):
+        y.append(0.7 * y[i - 4] + rng.normal() * 0.1)
+    df = spark.createDataFrame([(1, i, float(v)) for i, v in enumerate(y)], "k int, t long, v double")
+    out = TS.forecast_sarima(df, ["k"], "t", "v", (0, 0, 0), 4, 2, seasonal=(1, 0, 0)).orderBy("t").collect()
+    assert [r.forecast for r in out] == pytest.approx([0.7 * y[-4], 0.7 * y[-3]], abs=0.02)
+    assert out[0].high - out[0].low == pytest.approx(2 * 1.96 * 0.1, rel=0.1)
