@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,9 +44,30 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+_SCOPE: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder below the shared root."""
-    return f"{shared_root(spark).rstrip('/')}/tablewright/{label}-{uuid.uuid4().hex}"
+    """A fresh folder below the shared root, within the innermost open scope."""
+    folder = _SCOPE[-1] if _SCOPE else f"{shared_root(spark).rstrip('/')}/tablewright"
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Pinned tables made inside go when the scope ends: write or collect results before that.
+
+    Scopes are for a driver's own thread of work; without one, pins stay until the shared
+    folder is cleared.
+    """
+    path = scratch_path(spark, "scope")
+    _SCOPE.append(path)
+    try:
+        yield path
+    finally:
+        _SCOPE.remove(path)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def pin(df: DataFrame) -> DataFrame:

@@ -150,3 +150,16 @@ def test_seasonal_terms_are_found(spark):
     out = TS.forecast_sarima(df, ["k"], "t", "v", (0, 0, 0), 4, 2, seasonal=(1, 0, 0)).orderBy("t").collect()
     assert [r.forecast for r in out] == pytest.approx([0.7 * y[-4], 0.7 * y[-3]], abs=0.02)
     assert out[0].high - out[0].low == pytest.approx(2 * 1.96 * 0.1, rel=0.1)
+
+
+def test_scope_leaves_nothing_behind(spark):
+    import os
+
+    from tablewright.session import pin, scratch_scope
+
+    with scratch_scope(spark) as path:
+        kept = pin(spark.range(5))
+        assert kept.count() == 5 and path in kept.inputFiles()[0]
+        local = path.removeprefix("file:")
+        assert os.path.isdir(local)
+    assert not os.path.exists(local)
