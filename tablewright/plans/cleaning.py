@@ -216,7 +216,39 @@ def impute_knn(t):
     return rounded(filled.select("o_orderkey", "o_totalprice"))
 
 
-@query("impute_iterative")
+def _chained_sql(rounds):
+    """Chained regressions of the two incomplete columns on the three others, by Cramer's rule."""
+    cols = ["o_totalprice", "f1", "f2", "f3"]
+    head = f"""
+    WITH {DIRTY_ORDERS}, st AS (SELECT l_orderkey AS o_orderkey, sum(l_quantity) AS q, avg(l_discount) AS d FROM lineitem GROUP BY 1),
+    b AS (SELECT o_orderkey, o_totalprice, coalesce(q, 0) / 50 AS f1, CASE WHEN o_orderkey % 5 <> 0 THEN coalesce(d, 0) * 10 END AS f2,
+      o_custkey / 1000 AS f3 FROM dirty_orders LEFT JOIN st USING (o_orderkey)),
+    r0 AS MATERIALIZED (SELECT o_orderkey, o_totalprice IS NULL AS m0, f2 IS NULL AS m2, coalesce(o_totalprice, (SELECT avg(o_totalprice) FROM b)) AS o_totalprice,
+      f1, coalesce(f2, (SELECT avg(f2) FROM b)) AS f2, f3 FROM b)"""
+    steps, at = [], 0
+    for _ in range(rounds):
+        for target, missing in (("o_totalprice", "m0"), ("f2", "m2")):
+            x, y, z = (c for c in cols if c != target)
+            cov = lambda a, b: f"covar_pop({a}, {b})"
+            steps.append(
+                f"c{at} AS (SELECT {cov(x, x)} AS a, {cov(x, y)} AS b, {cov(x, z)} AS c, {cov(y, y)} AS d, {cov(y, z)} AS e, {cov(z, z)} AS f, "
+                f"{cov(x, target)} AS u, {cov(y, target)} AS v, {cov(z, target)} AS w, avg({x}) AS mx, avg({y}) AS my, avg({z}) AS mz, avg({target}) AS mt "
+                f"FROM r{at} WHERE NOT {missing}), "
+                f"k{at} AS MATERIALIZED (SELECT *, a * (d * f - e * e) - b * (b * f - c * e) + c * (b * e - c * d) AS det FROM c{at}), "
+                f"s{at} AS MATERIALIZED (SELECT mx, my, mz, mt, (u * (d * f - e * e) - b * (v * f - e * w) + c * (v * e - d * w)) / det AS b1, "
+                f"(a * (v * f - e * w) - u * (b * f - c * e) + c * (b * w - c * v)) / det AS b2, "
+                f"(a * (d * w - v * e) - b * (b * w - v * c) + u * (b * e - c * d)) / det AS b3 FROM k{at}), "
+                f"r{at + 1} AS MATERIALIZED (SELECT o_orderkey, m0, m2, "
+                + ", ".join(
+                    f"CASE WHEN {missing} THEN mt + b1 * ({x} - mx) + b2 * ({y} - my) + b3 * ({z} - mz) ELSE {target} END AS {target}" if c == target else c for c in cols
+                )
+                + f" FROM r{at}, s{at})"
+            )
+            at += 1
+    return f"{head}, {', '.join(steps)} SELECT o_orderkey, " + ", ".join(f"round({c}, 4) AS {c}" for c in cols) + f" FROM r{at}"
+
+
+@query("impute_iterative", _chained_sql(3))
 def impute_iterative(t):
     rows = _order_features(t).withColumn("f2", F.when(F.col("o_orderkey") % 5 != 0, F.col("f2")))
     return rounded(Q.impute_iterative(rows, ["o_totalprice", "f1", "f2", "f3"], rounds=3))

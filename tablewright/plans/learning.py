@@ -223,7 +223,30 @@ def adaboost(t):
     return rounded(C.binary_metrics(pred).withColumn("rounds", F.lit(len(log))))
 
 
-@query("naive_bayes")
+_VECTORS = f"""v AS (SELECT vec_id, label, {SPLIT_SQL('vec_id')} < 80 AS train, unnest(embedding)::DOUBLE AS e, generate_subscripts(embedding, 1) AS i FROM embeddings)"""
+
+
+def _bayes_sql():
+    """Both models in closed form: normal densities per class and component, and smoothed shares."""
+    sums = ", ".join(f"sum({x}) AS t{i}" for i, x in enumerate(FEATURES))
+    share = " + ".join(f"{x} * ln((t{i} + 1) / (all_t + {len(FEATURES)}))" for i, x in enumerate(FEATURES))
+    return f"""
+    WITH {_VECTORS}, st AS (SELECT label, i, avg(e) AS m, var_pop(e) AS v FROM v WHERE train GROUP BY ALL),
+    pr AS (SELECT label, count(*) FILTER (train) AS c FROM (SELECT DISTINCT vec_id, label, train FROM v) GROUP BY 1),
+    g AS (SELECT a.vec_id, any_value(a.label) AS y, st.label AS c, ln(any_value(pr.c)) - sum((a.e - m) * (a.e - m) / (2 * st.v) + 0.5 * ln(st.v)) AS s
+      FROM v a JOIN st USING (i) JOIN pr ON pr.label = st.label WHERE NOT a.train GROUP BY a.vec_id, st.label),
+    gp AS (SELECT vec_id, any_value(y) AS y, arg_max(c, s) AS p FROM g GROUP BY 1),
+    b AS (SELECT row_number() OVER () AS id, CAST(l_extendedprice * (1 - l_discount) * (1 + l_tax) > 40000 AS INTEGER) AS y, l_quantity, l_extendedprice / 1000 AS l_price,
+      l_discount, l_tax, CAST(l_linenumber AS DOUBLE) AS l_linenumber, {SPLIT_SQL('l_orderkey')} < 80 AS train FROM lineitem),
+    ms AS (SELECT y AS c, count(*) AS n, {sums} FROM b WHERE train GROUP BY 1),
+    mt AS (SELECT *, {" + ".join(f"t{i}" for i in range(len(FEATURES)))} AS all_t FROM ms),
+    mp AS (SELECT id, any_value(y) AS y, arg_max(c, ln(n + 1) + {share}) AS p FROM b, mt WHERE NOT train GROUP BY id)
+    SELECT 'gaussian' AS kind, count(*) AS n, round(avg(CAST(y = p AS INTEGER)), 4) AS accuracy FROM gp
+    UNION ALL SELECT 'multinomial', count(*), round(avg(CAST(y = p AS INTEGER)), 4) FROM mp
+    """
+
+
+@query("naive_bayes", _bayes_sql())
 def naive_bayes(t):
     train, test = vector_split(t)
     gauss = M.naive_bayes(train, test, "gaussian").select(F.lit("gaussian").alias("kind"), "n", "accuracy")
@@ -329,9 +352,6 @@ def ols_intervals(t):
     return rounded(L.ols_intervals(rows, ["l_quantity"], "l_extendedprice").drop("l_quantity", "l_extendedprice"), 1)
 
 
-_VECTORS = f"""v AS (SELECT vec_id, label, {SPLIT_SQL('vec_id')} < 80 AS train, unnest(embedding)::DOUBLE AS e, generate_subscripts(embedding, 1) AS i FROM embeddings)"""
-
-
 @query(
     "knn_classify",
     f"""
