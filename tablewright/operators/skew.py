@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -69,12 +70,13 @@ def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "inn
 
 
 def spread_out(df: DataFrame, parts: int | None = None) -> DataFrame:
-    """Deal rows by a hash of all plain columns before a fit that reads them many times, so a
+    """Deal rows by a hash of all plain columns (of vectors, if there are no others) before a fit that reads them many times, so a
     table in one small file uses all tasks. ``parts`` fixes the number of partitions, which
     seeded forests and boosting depend on; without it the session's setting holds.
     """
-    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (VectorUDT, MapType))]
-    by = F.xxhash64(*plain)
+    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, (VectorUDT, MapType))]
+    vectors = [vector_to_array(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, VectorUDT)]
+    by = F.xxhash64(*(plain or vectors))
     return df.repartition(by) if parts is None else df.repartition(parts, by)
 
 

@@ -495,7 +495,7 @@ def _facility_sql(rounds, start):
     )
 
 
-_START = [(10.0, 20.0), (60.0, 30.0)]
+_START = [(45.0, 25.0), (60.0, 25.0)]
 
 
 @query("facility_location", _facility_sql(9, _START))
