@@ -10,8 +10,8 @@ shorter context ``h'`` when there is no arc for ``w``. The root has an arc for e
 
 The automaton grows with the corpus, so no task holds all of it. Documents are dealt into
 blocks of about ``BLOCK`` bytes. A block sends each of its distinct n-grams once, with its own
-count, to the part that owns the n-gram; the part adds up the counts and sends back
-totals that differ from the block's own. So every block gets just the states and arcs its
+count, to the part that owns the n-gram; the part adds up the counts and sends back the
+totals in the order in which the n-grams came. So every block gets just the states and arcs its
 documents can reach, and the walk over each text runs inside the block.
 """
 
@@ -50,7 +50,7 @@ class _Grams:
         padded[np.arange(len(hashes)) + 2 * W.rows_of(first) + 1] = hashes
         learned = np.repeat(train, self.tokens)
         self.bits = _bits(parts)
-        self.levels = []
+        self.levels, self.owners = [], []  # keys ascend, and so do the parts that own them
         for n in range(1, order + 1):
             if n == 1:
                 key, at = np.delete(padded, padded_first[:-1]), np.arange(len(learned))
@@ -67,6 +67,7 @@ class _Grams:
             which = np.empty(len(key), np.int64)
             which[order_by] = np.cumsum(new) - 1
             self.levels.append((key[starts], counts, which, at))
+            self.owners.append(self.part(key[starts], parts) if n == 1 else key[starts] >> _U(self.bits))
         self.rows = rows
 
     @staticmethod
@@ -94,7 +95,7 @@ def _counts(raw: bytes) -> np.ndarray:
 
 
 _SENT = "level int, part long, block long, keys binary, counts binary"
-_TOTAL = "block long, level int, part long, keys binary, totals binary"
+_TOTAL = "block long, level int, part long, totals binary"
 _FACT = "level int, part long, fact int, value double"
 
 
@@ -109,7 +110,7 @@ def _sender(order: int, parts: int):
         out = {"level": [], "part": [], "block": [], "keys": [], "counts": []}
         for level, (keys, counts, _, _) in enumerate(grams.levels, 1):
             width = 8 if level == 1 else grams.bits // 8
-            owner = grams.part(keys, parts) if level == 1 else keys >> _U(grams.bits)
+            owner = grams.owners[level - 1]
             cuts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(keys) else []
             for s, e in zip(cuts, [*cuts[1:], len(keys)]):
                 out["level"].append(level)
@@ -123,8 +124,7 @@ def _sender(order: int, parts: int):
 
 
 def _added(level: int, table: pa.Table, parts: int):
-    """Keys of all blocks one after another, their own counts, and the totals of each key
-    (per entry, and once per key)."""
+    """Entries of each block, the total of each entry's key, and the totals once per key."""
     width = 8 if level == 1 else _bits(parts) // 8
     keys = [_unpack(x, width) for x in table["keys"].to_pylist()]
     sizes = [len(x) for x in keys]
@@ -136,26 +136,19 @@ def _added(level: int, table: pa.Table, parts: int):
     sums = np.add.reduceat(own[order], np.flatnonzero(new))
     total = np.empty(len(keys), np.int64)
     total[order] = sums[np.cumsum(new) - 1]
-    return keys, sizes, own, total, sums
+    return sizes, total, sums
 
 
 def _adder(parts: int):
     def add(key, table):
         level, part = key[0].as_py(), key[1].as_py()
-        keys, sizes, own, total, _ = _added(level, table, parts)
-        width = 8 if level == 1 else _bits(parts) // 8
-        out = {"block": [], "level": [], "part": [], "keys": [], "totals": []}
+        sizes, total, _ = _added(level, table, parts)
+        out = {"block": table["block"].to_pylist(), "level": [level] * table.num_rows, "part": [part] * table.num_rows, "totals": []}
         at = 0
-        for block, n in zip(table["block"].to_pylist(), sizes):
-            changed = total[at : at + n] != own[at : at + n]
-            if changed.any():
-                out["block"].append(block)
-                out["level"].append(level)
-                out["part"].append(part)
-                out["keys"].append(_pack(keys[at : at + n][changed], width))
-                out["totals"].append(_planes(total[at : at + n][changed]))
+        for n in sizes:
+            out["totals"].append(_planes(total[at : at + n]))
             at += n
-        return pa.table(out, schema=pa.schema([("block", pa.int64()), ("level", pa.int32()), ("part", pa.int64()), ("keys", pa.binary()), ("totals", pa.binary())]))
+        return pa.table(out, schema=pa.schema([("block", pa.int64()), ("level", pa.int32()), ("part", pa.int64()), ("totals", pa.binary())]))
 
     return add
 
@@ -164,7 +157,7 @@ def _facts(parts: int):
     """Per part: n-grams, kinds, kinds seen once and twice, and sums of powers of their counts."""
 
     def sums(key, table):
-        _, _, _, _, counts = _added(key[0].as_py(), table, parts)
+        _, _, counts = _added(key[0].as_py(), table, parts)
         seen = counts[counts > 0].astype(np.float64)
         facts = [seen.sum(), len(seen), (seen == 1).sum(), (seen == 2).sum(), *((seen**g).sum() for g in POWERS)]
         n = len(facts)
@@ -237,21 +230,19 @@ def lm_scores(
     facts = facts.agg(F.array_sort(F.collect_list(F.struct("level", "fact", "value"))).alias("facts"))
     told = spark.range(blocks).select(F.col("id").alias("block"), facts.scalar().alias("facts"))
     right = totals.withColumn("facts", F.lit(None).cast(told.schema["facts"].dataType)).unionByName(told, allowMissingColumns=True)
-    bits = _bits(parts)
 
     def score(left, right):
         grams = _Grams(left["text"], np.asarray(left["train"]), order, parts)
         counts = [level[1].copy() for level in grams.levels]
         facts = [np.zeros(4 + len(POWERS)) for _ in counts]
-        for level, part, raw, totals, told in zip(*(right[c].to_pylist() for c in ("level", "part", "keys", "totals", "facts"))):
+        for level, part, totals, told in zip(*(right[c].to_pylist() for c in ("level", "part", "totals", "facts"))):
             if told is not None:
                 for fact in told:
                     facts[fact["level"] - 1][fact["fact"]] = fact["value"]
                 continue
-            keys = _unpack(raw, 8 if level == 1 else bits // 8)
-            if level > 1:
-                keys = keys | _U(part << bits)
-            counts[level - 1][np.searchsorted(grams.levels[level - 1][0], keys)] = _counts(totals)
+            first = np.searchsorted(grams.owners[level - 1], part)
+            total = _counts(totals)
+            counts[level - 1][first : first + len(total)] = total
         base, prob, known = walk(grams, counts, facts)
         out = left.select(names)
         for name, value in (
