@@ -3,15 +3,14 @@
 The listed strings (host and path, like ``net/`` or ``example.com/de/``) are kept as the 64-bit
 xxhash of each, sorted, with the full strings beside them, cut into shards of ``SHARD``
 keys. A URL asks for its host's suffixes with its path's prefixes, only of the label counts and
-lengths that the list has. A task memory-maps a shard, finds all its probes by one binary
+lengths that the list has. A task maps a shard, finds all its probes by one binary
 search over the array, and confirms every hit on the stored string, so an equal digest of
 another string does no harm.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
+import mmap
 
 import numpy as np
 import pyarrow as pa
@@ -36,23 +35,25 @@ def url_parts(url: str) -> tuple[Column, Column]:
 
 
 class DigestArray:
-    """Sorted 64-bit digests with their strings in one memory-mapped file."""
-
-    def __init__(self, digests: bytes, offsets: bytes, strings: bytes, folder: str | None = None):
-        handle, self.path = tempfile.mkstemp(suffix=".digests", dir=folder)
-        with os.fdopen(handle, "wb") as out:
-            out.write(digests)
-            out.write(offsets)
-            out.write(strings)
+    """Sorted 64-bit digests with their strings, one memory map.
+
+    The map is anonymous: the array itself lies in the shared folder as a table, and a task's
+    copy of a shard needs no local file that a lost executor would leave behind.
+    """
+
+    def __init__(self, digests: bytes, offsets: bytes, strings: bytes):
         n = len(digests) // 8
-        raw = np.memmap(self.path, np.uint8, "r") if n else np.zeros(8, np.uint8)
+        self.map = mmap.mmap(-1, len(digests) + len(offsets) + len(strings) or 1)
+        for part in (digests, offsets, strings):
+            self.map.write(part)
+        raw = np.frombuffer(self.map, np.uint8)
         self.digests = raw[: 8 * n].view(np.uint64)
-        self.offsets = raw[8 * n : 16 * n + 8].view(np.int64)
-        self.strings = raw[16 * n + 8 :]
+        self.offsets = raw[8 * n : 8 * n + len(offsets)].view(np.int64)
+        self.strings = raw[8 * n + len(offsets) :]
 
     def close(self) -> None:
         self.digests = self.offsets = self.strings = None
-        os.unlink(self.path)
+        self.map.close()
 
     @staticmethod
     def pack(digests: np.ndarray, strings: list[bytes]) -> tuple[bytes, bytes, bytes]:
