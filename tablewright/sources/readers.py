@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tablewright.operators.skew import attach
 
+_FLAGS = re.IGNORECASE | re.DOTALL | re.ASCII
+
 
 def read_csv(
     spark: SparkSession,
@@ -85,13 +89,35 @@ def html_field(html: Column, tag: str) -> Column:
     return F.nullif(F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>", 1), F.lit(""))
 
 
-def _class_pattern(tag: str, css_class: str) -> str:
-    """The inside of a ``tag`` that has the class, alone or among others, wherever the attribute
-    stands and however it is quoted; up to two levels of the same tag may lie inside."""
-    named = rf"""<{tag}\b[^>]*?\bclass\s*=\s*["']?(?:[^"'>]*\s)?{css_class}(?=[\s"'>])[^>]*>"""
-    text = rf"(?:(?!</?{tag}\b).)"
-    inner = rf"<{tag}\b(?:{text}|<{tag}\b{text}*</{tag}>)*</{tag}>"
-    return rf"(?is){named}((?:{text}|{inner})*)</{tag}>"
+def class_elements(page: str, tag: str, css_class: str) -> list[str]:
+    """The inside of every ``tag`` that has the class, alone or among others, wherever the attribute
+    stands and however it is quoted; elements inside a found one belong to it. A closing tag closes
+    the last open one, so depth and length have no limit; an element left open is none."""
+    named = re.compile(rf"""<{tag}\b[^>]*?\bclass\s*=\s*["']?(?:[^"'>]*\s)?{css_class}(?=[\s"'>])[^>]*>""", _FLAGS)
+    opened, found, at = [], [], 0
+    for m in re.finditer(rf"<(/?){tag}(?=[\s/>])", page, _FLAGS):
+        if m.start() < at:
+            continue
+        at = page.find(">", m.end()) + 1
+        if not at:
+            break
+        if not m[1]:
+            opened.append((at, bool(named.match(page, m.start(), at))))
+        elif opened:
+            start, ours = opened.pop()
+            if ours:
+                while found and found[-1][0] > start:
+                    found.pop()
+                found.append((start, m.start()))
+    return [page[a:b] for a, b in found]
+
+
+def _elements(html: Column, tag: str, css_class: str) -> Column:
+    @F.pandas_udf("array<string>")
+    def elements(pages: pd.Series) -> pd.Series:
+        return pages.map(lambda page: None if page is None else class_elements(page, tag, css_class))
+
+    return elements(html)
 
 
 def _plain(inner: Column) -> Column:
@@ -100,13 +126,13 @@ def _plain(inner: Column) -> Column:
 
 def html_class_text(html: Column, tag: str, css_class: str) -> Column:
     """Text of the first ``tag`` of a class, inner tags removed."""
-    return _plain(F.regexp_extract(html, _class_pattern(tag, css_class), 1))
+    return _plain(F.get(_elements(html, tag, css_class), F.lit(0)))
 
 
 def html_elements(df: DataFrame, html: str, tag: str, css_class: str, fields: Mapping[str, tuple[str, str]]) -> DataFrame:
     """One row per ``tag`` of a class: ``element`` (0, 1, ...), its ``text``, and per field the text of
     the first ``(tag, class)`` inside it; the repeated cards of a listing page."""
-    found = F.regexp_extract_all(html, F.lit(_class_pattern(tag, css_class)), F.lit(1))
+    found = _elements(F.col(html), tag, css_class)
     rows = df.select(*[c for c in df.columns if c != html], F.posexplode(found).alias("element", "_inner"))
     inner = [html_class_text(F.col("_inner"), t, c).alias(n) for n, (t, c) in fields.items()]
     return rows.select("*", _plain(F.col("_inner")).alias("text"), *inner).drop("_inner")

@@ -108,6 +108,19 @@ def test_html(spark):
     assert [tuple(r) for r in rows.orderBy("element").collect()] == [(1, 0, "A1", "A", "1"), (1, 1, "B", "B", None)]
 
 
+def test_html_of_any_depth_and_length(spark):
+    deep = "<div class=ad>" + "".join(f"{i}<div>" for i in range(5)) + "x" + "</div>" * 5 + "end</div>"
+    long = '<div class="ad">' + "word " * 20_000 + "</div>"
+    nested = "<div class=ad>a<div class=ad>b</div>c</div>"
+    left_open = "<div class=ad>no<div class='ad'>yes</div>"
+    df = spark.createDataFrame([(1, deep + long + nested + left_open), (2, None), (3, "<div class=ad")], "page_id int, html string")
+    want = ["01234xend", ("word " * 20_000).strip(), "abc"]
+    got = R.html_elements(df, "html", "div", "ad", {}).orderBy("element").collect()
+    assert [(r.page_id, r.element, r.text) for r in got] == [(1, i, t) for i, t in enumerate([*want, "yes"])]
+    first = df.select("page_id", R.html_class_text(F.col("html"), "div", "ad").alias("x")).collect()
+    assert {r.page_id: r.x for r in first} == {1: want[0], 2: None, 3: None}
+
+
 def test_loop_files(spark, tmp_path):
     (tmp_path / "loop_id=1").mkdir()
     (tmp_path / "loop_id=2").mkdir()
