@@ -58,7 +58,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The packed sequences: one row a piece of a document."""
-    return packing.pack(docs)
+    return packing.pack(docs, added_tokens=True)
 
 
 STAGES = [

@@ -94,7 +94,7 @@ def op4_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("op6_best_fit_packing")
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = packing.pack(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    packed = packing.pack(_read(spark, sf_dir, "documents").select("doc_id", "text"), added_tokens=True)
     return packed.drop("group_bins", "group_bound")
 
 

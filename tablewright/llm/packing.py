@@ -30,33 +30,37 @@ END = 0
 
 
 class Encoder:
-    """Byte-level BPE ids of a text, special tokens' strings taken as ordinary text.
+    """Byte-level BPE ids of a text; with ``added`` the strings of added tokens have their own
+    ids, as ``tokenizers`` gives them by default, without it they are ordinary text.
 
     The rank table of the vocabulary serves the fast encoder; texts that its pattern
-    engine refuses (very long runs of one class) go through the same vocabulary in
-    ``tokenizers``.
+    engine refuses (very long runs of one class), and those with an added token, go
+    through the same vocabulary in ``tokenizers``.
     """
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, added: bool = False):
         import base64
+        import json
 
         import public_tokenizers
         import tiktoken
 
         with open(f"{vocabulary}.tiktoken", "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        self.vocabulary = vocabulary
+        self.vocabulary, self.added = vocabulary, added
+        with open(f"{vocabulary}.json", encoding="utf-8") as file:
+            self.tokens = [t["content"] for t in json.load(file)["added_tokens"]] if added else []
         self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.slow = None
 
     def ids(self, text: str) -> np.ndarray:
-        if len(text) < 1 << 20:
+        if len(text) < 1 << 20 and not any(t in text for t in self.tokens):
             return np.array(self.fast.encode_ordinary(text), np.uint32)
         if self.slow is None:
             from tokenizers import Tokenizer
 
             self.slow = Tokenizer.from_file(f"{self.vocabulary}.json")
-            self.slow.encode_special_tokens = True
+            self.slow.encode_special_tokens = not self.added
         return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
@@ -74,7 +78,13 @@ def piece_lengths(n: int, capacity: int) -> list[int]:
 
 
 def pieces(
-    docs: DataFrame, text: str, keep: Sequence[str], vocabulary: str | None = None, capacity: int = CAPACITY, with_ids: bool = False
+    docs: DataFrame,
+    text: str,
+    keep: Sequence[str],
+    vocabulary: str | None = None,
+    capacity: int = CAPACITY,
+    with_ids: bool = False,
+    added_tokens: bool = False,
 ) -> DataFrame:
     """``keep`` with ``piece, start, length, ids_crc32`` (and ``ids``), one row a piece."""
     names = [f"_k{i}" for i in range(len(keep))]
@@ -82,7 +92,7 @@ def pieces(
 
     def run(batches):
         path = vocabulary or default_vocabulary()
-        encoder = W.kept(f"encoder {path}", lambda: Encoder(path))
+        encoder = W.kept(f"encoder {path} {added_tokens}", lambda: Encoder(path, added_tokens))
         for batch in batches:
             for part in W.slices(batch, "text", 1 << 21):
                 take, out = [], {"piece": [], "start": [], "length": [], "ids_crc32": []}
@@ -196,18 +206,21 @@ def pack(
     capacity: int = CAPACITY,
     group: int = GROUP,
     with_ids: bool = False,
+    added_tokens: bool = False,
 ) -> DataFrame:
     """Every piece of every document with its sequence: ``keep`` columns, ``piece, start, length,
     ids_crc32, sequence_id, offset``, and the bins and bound of the partition that packed it.
 
     ``vocabulary``: path of a vocabulary without its ending (``.tiktoken`` ranks and ``.json``).
+    ``added_tokens``: strings of the vocabulary's added tokens, such as ``<|endoftext|>``, have their own
+    ids; otherwise they are ordinary text.
     Null and empty texts are the end id alone. Repeated rows are packed each. Long documents
     are cut into whole sequences, with a shorter first piece. No rows: no pieces. Columns
     outside ``keep`` are ignored.
     """
     names = [f"_k{i}" for i in range(len(keep))]
     # The row number is written with the pieces, so every later read sees the same.
-    rows = pin(pieces(docs, text, keep, vocabulary, capacity, with_ids).withColumn("row", F.monotonically_increasing_id()))
+    rows = pin(pieces(docs, text, keep, vocabulary, capacity, with_ids, added_tokens).withColumn("row", F.monotonically_increasing_id()))
     full = rows.filter(F.col("length") == capacity).select(
         "*",
         (F.lit(15 << 58).cast("long") + F.col("row")).alias("sequence_id"),

@@ -65,6 +65,27 @@ def test_long_runs_and_empty_table(spark):
     assert packing.pack(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
+def test_added_tokens_have_their_own_ids(spark, tmp_path):
+    import __spark_entry__ as entry
+    import corpus_pipeline
+
+    plain = Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
+    own = ["hello <|endoftext|> world", "<|endoftext|>" * 3, "a" * (1 << 20) + "<|endoftext|>", "<|endoftext", None]
+    docs = table(spark, [(i, t, None, "s", None, None, None) for i, t in enumerate(own)])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    want = {i: [*plain.encode(t or "", add_special_tokens=False).ids, 0] for i, t in enumerate(own)}
+    assert want[0] == [31373, 220, 50256, 995, 0]
+    cut = {}
+    for i, x in want.items():
+        ends = np.cumsum([0, *packing.piece_lengths(len(x), 2048)])
+        cut[i] = [(int(a), int(b - a), zlib.crc32(np.array(x[a:b], "<u4").tobytes())) for a, b in zip(ends, ends[1:])]
+    for got in (entry.queries()["op6_best_fit_packing"](spark, str(tmp_path)), corpus_pipeline.sequences(spark, docs, "")):
+        found = {i: [] for i in want}
+        for r in got.orderBy("doc_id", "piece").collect():
+            found[r.doc_id].append((r.start, r.length, r.ids_crc32))
+        assert found == cut
+
+
 @given(st.lists(st.integers(1, 30), max_size=40))
 @settings(max_examples=150, deadline=None)
 def test_bound_and_best_fit(lengths):
