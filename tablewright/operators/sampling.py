@@ -4,9 +4,11 @@ recomputed task draws the same rows."""
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.operators.ordering import dense_index
 from tablewright.operators.skew import attach
@@ -14,6 +16,7 @@ from tablewright.session import pin_small
 
 
 POISSON_MEAN = 8.0
+PERIOD = 1048576  # of the uniforms that SQL makes too
 
 
 def hash_percent(key: Column) -> Column:
@@ -66,24 +69,45 @@ def bootstrap_sample(df: DataFrame, key: str, fraction: float, seed: int) -> Dat
     """Sample with replacement: each row is drawn a Poisson(fraction) number of times.
 
     ``copy`` numbers the draws of a row. A large mean is a sum of draws of means of
-    ``POISSON_MEAN`` at most, each from the inverse distribution at a hashed uniform.
+    ``POISSON_MEAN`` at most, each from the inverse distribution at a hashed uniform. Integer
+    keys under ``PERIOD`` have a uniform that SQL can make too, all others the hash of the whole
+    key. Rows without a key are numbered in the order of their contents and drawn each.
     """
     parts = max(1, math.ceil(fraction / POISSON_MEAN))
     steps = poisson_steps(fraction / parts)
+    integral = isinstance(df.schema[key].dataType, T.IntegralType)
 
-    def one(part: Column) -> Column:
-        mixed = (F.col(key) % 1048576 + part * 15485863 + F.lit(seed * 7919)) % 2147483648 * F.lit(2654435761) % 4294967296
-        again = ((mixed % 1048576) * F.lit(40503) + F.floor(mixed / 1048576)) % 1000003
-        u = (again + 0.5) / F.lit(1000003.0)
-        return F.size(F.filter(F.array(*[F.lit(c) for c in steps]), lambda c: c < u))
+    def hashed(part: Column, *of: Column) -> Column:
+        return (F.shiftrightunsigned(F.xxhash64(*of, part, F.lit(seed).cast("long")), 11) + 0.5) / F.lit(2.0**53)
 
-    draws = F.aggregate(F.sequence(F.lit(0), F.lit(parts - 1)), F.lit(0), lambda n, part: n + one(part.cast("long")))
-    return (
-        df.withColumn("_n", draws)
-        .filter(F.col("_n") > 0)
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
-        .drop("_n")
-    )
+    def by_key(part: Column) -> Column:
+        if not integral:
+            return hashed(part, F.col(key))
+        whole = F.col(key).cast("long")
+        mixed = (whole % PERIOD + part * 15485863 + F.lit(seed * 7919)) % 2147483648 * F.lit(2654435761) % 4294967296
+        again = ((mixed % 1048576) * F.lit(40503) + F.floor(mixed / 1048576)) % 1000003
+        return F.when(whole.between(0, PERIOD - 1), (again + 0.5) / F.lit(1000003.0)).otherwise(hashed(part, whole))
+
+    def drawn(rows: DataFrame, uniform: Callable[[Column], Column]) -> DataFrame:
+        def one(part: Column) -> Column:
+            u = uniform(part)
+            return F.size(F.filter(F.array(*[F.lit(c) for c in steps]), lambda c: c < u))
+
+        draws = F.aggregate(F.sequence(F.lit(0), F.lit(parts - 1)), F.lit(0), lambda n, part: n + one(part.cast("long")))
+        return (
+            rows.withColumn("_n", draws)
+            .filter(F.col("_n") > 0)
+            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
+            .select(*df.columns, "copy")
+        )
+
+    named = drawn(df.filter(F.col(key).isNotNull()), by_key)
+    contents = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]  # maps have no hash
+    nameless = df.filter(F.col(key).isNull()).withColumn("_h", F.xxhash64(*contents))
+    if not df.schema[key].nullable or nameless.isEmpty():
+        return named
+    numbered = dense_index(nameless, [], ["_h"], "_i")
+    return named.unionByName(drawn(numbered, lambda part: hashed(part, F.lit("no key"), F.col("_i"))))
 
 
 def poisson_steps(mean: float) -> list[float]:

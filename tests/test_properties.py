@@ -327,6 +327,22 @@ def test_bootstrap_draws(spark):
     assert a.exceptAll(b).isEmpty()
 
 
+def test_bootstrap_draws_by_the_whole_key(spark):
+    period = 1 << 20
+    rows = spark.range(4000).select("id", F.explode(F.array(*[F.lit(b) for b in (-1, 0, 1, 2, 1000)])).alias("block"))
+    rows = rows.withColumn("key", F.col("id") + F.col("block") * period)
+    n = SA.bootstrap_sample(rows, "key", 2.0, 3).groupBy("id", "block").count().toPandas()
+    wide = n.pivot(index="id", columns="block", values="count").reindex(range(4000)).fillna(0).to_numpy()
+    assert wide.mean(axis=0) == pytest.approx(np.full(5, 2.0), abs=0.15)
+    assert abs(np.corrcoef(wide.T) - np.eye(5)).max() < 0.08
+
+
+def test_bootstrap_draws_rows_without_a_key(spark):
+    rows = spark.range(4000).select(F.lit(None).cast("long").alias("key"), (F.col("id") % 2).alias("x"))
+    n = SA.bootstrap_sample(rows, "key", 2.0, 3).groupBy("copy").count().toPandas().set_index("copy")["count"]
+    assert n.sum() == pytest.approx(8000, rel=0.1) and n[1] == pytest.approx(4000 * (1 - math.exp(-2)), rel=0.05)
+
+
 def test_submission_probabilities_sum_to_one(tables):
     import __spark_entry__ as entry
 
