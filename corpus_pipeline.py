@@ -43,9 +43,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one of the least doc_id."""
-    gone = pin(setsketch.near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct())
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near duplicates: the one of the least doc_id. Every row counts by
+    itself, so of rows that repeat a doc_id or have none those of like text are one group too."""
+    rows, names = _plain(docs)
+    # The row number is written with the rows, so every later read sees the same.
+    rows = pin(rows.withColumn("row", F.monotonically_increasing_id()))
+    doc = F.col(names["doc_id"])
+    found = setsketch.near_duplicates(rows, "row", names["text"]).select(F.col("doc_id").alias("row"), "component_id")
+    named = found.join(rows.select("row", doc.isNull().alias("none"), doc.alias("doc")), "row")
+    least = named.groupBy("component_id").agg(F.min(F.struct("none", "doc", "row")).getField("row").alias("row"))
+    return _back(rows.join(pin(least.select("row")), "row", "left_semi"), names)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -46,6 +46,20 @@ def test_empty_input(spark):
         assert docs.isEmpty()
 
 
+def test_near_dedup_of_repeated_and_missing_ids(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").filter("n_chars > 200").limit(40).checkpoint()
+    once = corpus_pipeline.near_dedup(spark, docs, SF).checkpoint()
+    nameless = docs.withColumn("doc_id", F.lit(None).cast(docs.schema["doc_id"].dataType))
+    twice = corpus_pipeline.near_dedup(spark, nameless.unionByName(docs).unionByName(docs), SF).checkpoint()
+    assert sorted(r.doc_id for r in twice.collect()) == sorted(r.doc_id for r in once.collect())
+    alone = corpus_pipeline.near_dedup(spark, nameless.unionByName(nameless), SF)
+    assert alone.count() == once.count()
+    words = " ".join(f"w{i}" for i in range(50))
+    other = docs.limit(1).drop("doc_id", "text").crossJoin(spark.createDataFrame([(7, words), (7, words.upper()), (7, words.replace("w", "x"))], "doc_id long, text string"))
+    kept = corpus_pipeline.near_dedup(spark, other.select(*docs.columns), SF).collect()
+    assert sorted(r.text[0].lower() for r in kept) == ["w", "x"] and {r.doc_id for r in kept} == {7}
+
+
 def test_run(spark):
     got = corpus_pipeline.run(spark, SF)
     assert got.count() > 100 and "sequence_id" in got.columns
