@@ -127,20 +127,34 @@ def adf_p_value(tau: float) -> float:
     return normal_cdf(sum(c * tau**i for i, c in enumerate(coef)))
 
 
-def adf_auto(df: DataFrame, keys, t: str, value: str, max_lags: int) -> DataFrame:
+def adf_auto(df: DataFrame, keys, t: str, value: str, max_lags: int | None = None) -> DataFrame:
     """(keys, n, lags, adf, p_value, stationary): the test with the number of lagged differences,
-    0 to ``max_lags``, of the least AIC.
+    0 to ``max_lags``, of the least AIC; by default 12 (n / 100)^(1/4), rounded up, for the length
+    n of each series, and n / 2 - 2 at most.
 
     All orders are fitted on the same steps, so one row of moments per series serves them all.
     """
     v = F.col(value)
+    if max_lags is None:
+        size = F.count(F.lit(1))
+        most = F.least(F.ceil(12 * F.pow(size / 100, F.lit(0.25))), F.floor(size / 2) - 2)
+        bounds = pin_small(df.groupBy(*keys).agg(F.greatest(most, F.lit(0)).cast("int").alias("_most")))
+        max_lags = bounds.agg(F.max("_most")).first()[0] or 0
+        df = attach(df, bounds, keys)
+    else:
+        df = df.withColumn("_most", F.lit(max_lags))
 
     def build(w):
-        diff = {f"_x{j}": F.lag(v, j).over(w) - F.lag(v, j + 1).over(w) for j in range(1, max_lags + 1)}
+        # A series of fewer orders has zeros in the others, so they drop none of its steps.
+        diff = {
+            f"_x{j}": F.when(F.col("_most") >= j, F.lag(v, j).over(w) - F.lag(v, j + 1).over(w)).otherwise(0.0)
+            for j in range(1, max_lags + 1)
+        }
         return {"_dy": v - F.lag(v).over(w), "_x0": F.lag(v).over(w), **diff}
 
     rows = step_window(df, keys, t, build, before=max_lags + 1)
-    table = moments(rows, [f"_x{j}" for j in range(max_lags + 1)], "_dy", keys)
+    xs = [f"_x{j}" for j in range(max_lags + 1)]
+    table = moments(rows, xs, "_dy", [*keys, "_most"])
     schema = _schema(df, keys, "n long, lags int, adf double, p_value double, stationary int")
 
     def choose(batches):
@@ -148,7 +162,7 @@ def adf_auto(df: DataFrame, keys, t: str, value: str, max_lags: int) -> DataFram
             out = []
             for row in b.itertuples(index=False):
                 best = None
-                for lags in range(max_lags + 1):
+                for lags in range(row.most + 1):
                     if row.n <= lags + 3:
                         break
                     coef, se, sse, _ = sub_fit(row, max_lags + 1, lags + 1, 0)
@@ -160,7 +174,7 @@ def adf_auto(df: DataFrame, keys, t: str, value: str, max_lags: int) -> DataFram
                     out.append([*[getattr(row, c) for c in keys], int(row.n), best[1], tau, adf_p_value(tau), int(tau < ADF_CRITICAL["5%"])])
             yield pd.DataFrame(out, columns=[f.name for f in schema.fields])
 
-    return table.mapInPandas(choose, schema)
+    return table.withColumnRenamed("_most", "most").mapInPandas(choose, schema)
 
 
 def kpss_test(df: DataFrame, keys, t: str, value: str, lags: int) -> DataFrame:

@@ -232,6 +232,12 @@ def adf_auto(t):
     return rounded(TS.adf_auto(t.monthly, K, "t", "value", 1).drop("p_value"))
 
 
+@query("adf_auto_all_lags")
+def adf_auto_all_lags(t):
+    """``adf_auto`` with the usual maximum of lags for each series; its SQL is of two orders."""
+    return rounded(TS.adf_auto(t.monthly, K, "t", "value"))
+
+
 @query("forecast_fourier")
 def forecast_fourier(t):
     return rounded(TS.forecast_fourier(t.monthly, K, "t", "value", 12, 2, 6), 2)

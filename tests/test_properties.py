@@ -343,6 +343,36 @@ def test_bootstrap_draws_rows_without_a_key(spark):
     assert n.sum() == pytest.approx(8000, rel=0.1) and n[1] == pytest.approx(4000 * (1 - math.exp(-2)), rel=0.05)
 
 
+def test_adf_auto_tries_all_lags(spark):
+    rng = np.random.default_rng(5)
+    made, want = [], {}
+    for key, n, order in ((1, 400, 4), (2, 90, 3), (3, 12, 0)):
+        y = np.zeros(n)
+        for i in range(n):
+            y[i] = 0.6 * y[i - order - 1] + rng.normal() if i > order else rng.normal()
+        made += [(key, i, float(v)) for i, v in enumerate(y)]
+        most, best = max(0, min(math.ceil(12 * (n / 100) ** 0.25), n // 2 - 2)), None
+        d = np.diff(y)
+        dy = d[most:]
+        x = np.column_stack([np.ones(len(dy)), y[most:-1], *[d[most - j : len(d) - j] for j in range(1, most + 1)]])
+        for lags in range(most + 1):
+            if len(dy) <= lags + 3:
+                break
+            z = x[:, : lags + 2]
+            coef = np.linalg.lstsq(z, dy, rcond=None)[0]
+            sse = float(((dy - z @ coef) ** 2).sum())
+            aic = len(dy) * math.log(sse / len(dy)) + 2 * (lags + 2)
+            tau = coef[1] / math.sqrt(sse / (len(dy) - lags - 2) * np.linalg.inv(z.T @ z)[1, 1])
+            if best is None or aic < best[0]:
+                best = (aic, lags, tau)
+        want[key] = (len(dy), best[1], best[2])
+    assert want[1][1] >= 2 and want[2][1] >= 2
+    got = TS.adf_auto(spark.createDataFrame(made, "k int, t long, v double"), ["k"], "t", "v").collect()
+    assert {r.k: (r.n, r.lags) for r in got} == {k: w[:2] for k, w in want.items()}
+    for r in got:
+        assert r.adf == pytest.approx(want[r.k][2], rel=1e-6) and r.p_value == pytest.approx(TS.adf_p_value(r.adf))
+
+
 def test_submission_probabilities_sum_to_one(tables):
     import __spark_entry__ as entry
 
