@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tablewright.llm import bm25, chat, crf_quality, langid, lm_score, mixing, packing, repetition, setsketch, url_filter
+from tablewright.llm import bm25, chat, crf_quality, langid, lm_score, mixing, packing, periodic_runs, repetition, setsketch, url_filter
 from tablewright.llm.folds import fold, language_model, quality_model
 from tablewright.session import pin, small_table
 
@@ -202,6 +203,23 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(pieces).drop("path").withColumnRenamed("tree", "conv_id")
 
 
+def planted_period(doc_id, words: list[bytes]) -> list[bytes]:
+    """The words with a periodic end in one document of ten, by a checksum of its id (none: as they are)."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+@_query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return periodic_runs.periodic_runs(docs, key="doc_id", rewrite=planted_period)
+
+
 @_query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
