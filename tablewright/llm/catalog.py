@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tablewright.llm import bm25, chat, crf_quality, langid, lm_score, mixing, packing, periodic_runs, repetition, setsketch, url_filter
+from tablewright.llm import bm25, chat, chunk_bpe, crf_quality, langid, lm_score, mixing, packing, periodic_runs, repetition, setsketch, url_filter
 from tablewright.llm.folds import fold, language_model, quality_model
 from tablewright.session import pin, small_table
 
@@ -203,6 +203,11 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(pieces).drop("path").withColumnRenamed("tree", "conv_id")
 
 
+@_query("op11_chunk_bpe")
+def op11_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_bpe.round_trip(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def planted_period(doc_id, words: list[bytes]) -> list[bytes]:
     """The words with a periodic end in one document of ten, by a checksum of its id (none: as they are)."""
     h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
