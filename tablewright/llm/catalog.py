@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tablewright.llm import bm25, chat, chunk_bpe, crf_quality, langid, lm_score, mixing, packing, periodic_runs, repetition, setsketch, url_filter
+from tablewright.llm import bm25, chat, chunk_bpe, crf_quality, langid, lm_score, mixing, packing, periodic_runs, prefix_trie, repetition, setsketch, url_filter
 from tablewright.llm.folds import fold, language_model, quality_model
 from tablewright.session import pin, small_table
 
@@ -208,6 +208,51 @@ def op11_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_bpe.round_trip(_read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@_query(
+    "op12_prefix_trie",
+    r"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda a, k: CASE WHEN a % 2 = 1
+    THEN xor(a // 2, 3988292384) ELSE a // 2 END, i)) AS t),
+turns AS (
+  SELECT conv_id AS c, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS x,
+    len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS words,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+asked AS (
+  SELECT c, c - c % 20 AS base, xor(list_reduce(list_transform(string_split(c::VARCHAR, ''), lambda s: ascii(s)::BIGINT),
+    lambda a, b: xor(a // 256, t[xor(a % 256, b) + 1]), 4294967295), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT c FROM turns), crc),
+rebuilt AS (
+  SELECT a.c, g.pos AS place, 0 AS own, g.x, g.words FROM asked a JOIN turns g ON g.c = a.base AND g.pos <= a.h
+  UNION ALL SELECT a.c, o.pos, 1, o.x, o.words FROM asked a JOIN turns o ON o.c = a.c AND o.pos > a.h),
+prefixes AS (
+  SELECT c, row_number() OVER w AS d, string_agg(x, '') OVER w AS key, words,
+    row_number() OVER w = count(*) OVER (PARTITION BY c) AS last
+  FROM rebuilt WINDOW w AS (PARTITION BY c ORDER BY own, place ROWS UNBOUNDED PRECEDING)
+  UNION ALL SELECT c, 0, '', 0, c NOT IN (SELECT c FROM rebuilt) FROM asked),
+nodes AS (
+  SELECT d, key, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(words) AS saved,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (last), '')) AS ends_sha256
+  FROM prefixes GROUP BY d, key),
+counted AS (
+  SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM nodes n LEFT JOIN (
+    SELECT left(key, 64 * (d - 1)) AS key, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL) k USING (key)),
+sums AS (
+  SELECT left(key, 64 * up) AS key, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, d + 1)) AS up FROM counted) GROUP BY ALL)
+SELECT n.conv_id, n.d::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children,
+  n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM counted n JOIN sums USING (key) LEFT JOIN nodes p ON n.d > 0 AND p.key = left(n.key, 64 * (n.d - 1))
+""",
+)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.numbered(_read(spark, sf_dir, "conversations"))
+    c = F.col("conv")
+    heads = F.crc32(c.cast("string")) % 4
+    return prefix_trie.trie(*prefix_trie.with_shared_heads(turns, c - c % 20, heads, 3))
+
+
 def planted_period(doc_id, words: list[bytes]) -> list[bytes]:
     """The words with a periodic end in one document of ten, by a checksum of its id (none: as they are)."""
     h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
