@@ -2,6 +2,7 @@
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tablewright.operators import mlops as O
@@ -124,7 +125,7 @@ def champion_challenger(t):
         WHERE o_orderstatus IS NOT NULL AND o_totalprice IS NOT NULL AND o_orderpriority IS NOT NULL
       UNION ALL SELECT 'summary', count(DISTINCT o_custkey) FROM orders
       UNION ALL SELECT 'anomaly', count(*) FROM events WHERE value > (SELECT avg(value) + 3 * stddev_samp(value) FROM events))
-    SELECT config, stage, rows FROM s, (VALUES ('few partitions'), ('more partitions')) c(config)
+    SELECT config, stage, rows, true AS timed, CAST(1 AS DOUBLE) AS shares FROM s, (VALUES ('few partitions'), ('more partitions')) c(config)
     """,
 )
 def config_profile(t):
@@ -137,7 +138,9 @@ def config_profile(t):
         "few partitions": {"spark.sql.shuffle.partitions": "4"},
         "more partitions": {"spark.sql.shuffle.partitions": "16"},
     }
-    return O.config_profile(t.spark, stages, configs).drop("seconds", "share")
+    found = O.config_profile(t.spark, stages, configs)
+    shares = F.round(F.sum("share").over(Window.partitionBy("config")), 6)
+    return found.select("config", "stage", "rows", (F.col("seconds") > 0).alias("timed"), shares.alias("shares"))
 
 
 # -- streams ---------------------------------------------------------------
