@@ -27,14 +27,15 @@ CAPACITY = 2048
 GROUP = 100_000  # pieces in a partition
 ROUNDS = 6
 END = 0
+LONG = 1 << 17  # characters
 
 
 class Encoder:
     """Byte-level BPE ids of a text; with ``added`` the strings of added tokens have their own
     ids, as ``tokenizers`` gives them by default, without it they are ordinary text.
 
-    The rank table of the vocabulary serves the fast encoder; texts that its pattern
-    engine refuses (very long runs of one class), and those with an added token, go
+    The rank table of the vocabulary serves the fast encoder, whose pattern engine fails on runs of
+    some 600,000 blanks and more: texts from ``LONG`` characters on, and those with an added token, go
     through the same vocabulary in ``tokenizers``.
     """
 
@@ -54,7 +55,7 @@ class Encoder:
         self.slow = None
 
     def ids(self, text: str) -> np.ndarray:
-        if len(text) < 1 << 20 and not any(t in text for t in self.tokens):
+        if len(text) < LONG and not any(t in text for t in self.tokens):
             return np.array(self.fast.encode_ordinary(text), np.uint32)
         if self.slow is None:
             from tokenizers import Tokenizer

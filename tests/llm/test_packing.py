@@ -65,6 +65,14 @@ def test_long_runs_and_empty_table(spark):
     assert packing.pack(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
+def test_runs_of_white_space():
+    encoder = packing.Encoder(packing.default_vocabulary())
+    for n in (packing.LONG - 1, 700_000, 1_000_000, (1 << 20) - 1):
+        for unit in (" ", "\n", "\t", " \n\t"):
+            text = (unit * n)[:n]
+            assert encoder.ids(text).tolist() == ids(text)[:-1]
+
+
 def test_added_tokens_have_their_own_ids(spark, tmp_path):
     import __spark_entry__ as entry
     import corpus_pipeline
