@@ -33,7 +33,7 @@ UNKNOWN = "und"
 def _folded() -> np.ndarray:
     """Code point -> its lower case if a letter or mark, else 0."""
     out = np.zeros(0x110000, np.uint32)
-    for i in range(0x32000):
+    for i in range(0x110000):
         c = chr(i)
         if unicodedata.category(c)[0] in "LM":
             low = c.lower()
@@ -43,7 +43,7 @@ def _folded() -> np.ndarray:
 
 def _letters() -> np.ndarray:
     out = np.zeros(0x110000, bool)
-    out[[i for i in range(0x32000) if unicodedata.category(chr(i))[0] == "L"]] = True
+    out[[i for i in range(0x110000) if unicodedata.category(chr(i))[0] == "L"]] = True
     return out
 
 
