@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tablewright.operators.joins import null_safe_join
 from tablewright.operators.ordering import dense_index
+from tablewright.operators.skew import attach
 from tablewright.session import pin
 
 WEIGHTS = (3, 1, 2)  # by place of the source, repeating
@@ -39,6 +40,24 @@ def measured(docs: DataFrame, text: str, source: str, key: Sequence[str]) -> Dat
     )
 
 
+def told_apart(rows: DataFrame) -> DataFrame:
+    """``rows`` with draws of their own for rows that have one in common, as copies of a row do.
+
+    Only those are written and numbered 0, 1, ... within a draw, over range partitions, so a row
+    that makes up a third of the table is spread too; number and draw give the new draw. Copies are alike, so it
+    does not matter which of them has which number.
+    """
+    several = rows.groupBy("_draw").agg(F.count(F.lit(1)).alias("_several")).filter("_several > 1")
+    several = pin(several)
+    if several.isEmpty():
+        return rows
+    marked = attach(rows, several, ["_draw"], "left")
+    tied = pin(marked.filter("_several is not null").drop("_several").withColumn("_tie", F.monotonically_increasing_id()))
+    numbered = dense_index(tied, ["_draw"], ["_tie"], "_copy").drop("_tie")
+    fresh = numbered.withColumn("_draw", F.xxhash64("_draw", "_copy")).drop("_copy")
+    return marked.filter("_several is null").drop("_several").unionByName(fresh)
+
+
 def targets(sizes: DataFrame, weights: Sequence[float], share: float, ceiling: float) -> DataFrame:
     """``_source, source_size, target`` from ``_source, source_size``.
 
@@ -196,12 +215,12 @@ def mix(
 
     Size: words (runs of characters other than 0x20 and 0x09-0x0D); null text: 0; texts
     of no words are taken as their rate says. A null source is a source of its own, the last. Rows
-    that repeat get equal draws. Sources of no words have target 0. No rows: no rows. Columns
+    that repeat are drawn each by itself. Sources of no words have target 0. No rows: no rows. Columns
     named like the results are replaced, others pass through.
     """
     results = ["size", "source_size", "target", "copies", "taken"]
     plain = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in results or c in (text, source, *key)])
-    rows = measured(plain, text, source, key)
+    rows = told_apart(measured(plain, text, source, key))
     narrow = pin(rows.select("_source", "_size", "_draw"))
     state = plan(narrow, weights, share, ceiling)
     return _applied(rows, state, ceiling, plain.columns)

@@ -58,6 +58,13 @@ def test_hot_source(spark):
     check(spark, data, 0.02)
 
 
+def test_sources_of_equal_rows(spark):
+    data = [(1, "w " * 10, None, "a", None, None, None)] * 1000 + [(2, "w " * 10, None, "b", None, None, None)] * 1000
+    check(spark, data, 0)
+    data += [(i, "w " * (1 + i % 7), None, "ab"[i % 2], None, None, None) for i in range(10, 300)] + [(None, None, None, "a", None, None, None)] * 5
+    check(spark, data, 0.01)
+
+
 def test_empty_table(spark):
     assert mixing.mix(spark.createDataFrame([], SCHEMA)).collect() == []
 
