@@ -7,12 +7,13 @@ in the shared folder and reads it again, so a lost executor costs one stage at m
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm import crf_quality, langid, mixing, packing, setsketch
 from tablewright.llm.folds import ACCEPT, CONFIDENT, language_model, quality_model
-from tablewright.session import pin, scratch_path
+from tablewright.session import pin, scratch_path, scratch_scope
 
 # A trained model, hashes of sketches and token ids have no counterpart in SQL.
 ORACLE_SQL = None
@@ -28,6 +29,22 @@ def _back(found: DataFrame, names: dict[str, str]) -> DataFrame:
     return found.select(*[F.col(n).alias(c) for c, n in names.items()])
 
 
+def _located(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``_plain`` with ``row``, which names each row alike in every read.
+
+    Rows of Parquet files have a place, file and index, so nothing is written; other rows are
+    numbered and written once.
+    """
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    own = [F.col(f"`{c}`").alias(n) for c, n in names.items()]
+    try:
+        place = docs.metadataColumn("_metadata")
+        file = F.xxhash64(place.getField("file_path")).alias("file")
+        return docs.select(*own, F.struct(file, place.getField("row_index").alias("index")).alias("row")), names
+    except AnalysisException:  # not read from Parquet files
+        return pin(docs.select(*own, F.monotonically_increasing_id().alias("row"))), names
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a recognised language: with a letter, and a confidence of at least even odds."""
     rows, names = _plain(docs)
@@ -45,13 +62,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near duplicates: the one of the least doc_id. Every row counts by
     itself, so of rows that repeat a doc_id or have none those of like text are one group too."""
-    rows, names = _plain(docs)
-    # The row number is written with the rows, so every later read sees the same.
-    rows = pin(rows.withColumn("row", F.monotonically_increasing_id()))
+    rows, names = _located(docs)
     doc = F.col(names["doc_id"])
     found = setsketch.near_duplicates(rows, "row", names["text"]).select(F.col("doc_id").alias("row"), "component_id")
     named = found.join(rows.select("row", doc.isNull().alias("none"), doc.alias("doc")), "row")
-    least = named.groupBy("component_id").agg(F.min(F.struct("none", "doc", "row")).getField("row").alias("row"))
+    named = named.select(F.col("component_id").alias("group"), "none", "doc", "row")
+    least = named.groupBy("group").agg(F.min(F.struct("none", "doc", "row")).getField("row").alias("row"))
     return _back(rows.join(pin(least.select("row")), "row", "left_semi"), names)
 
 
@@ -81,6 +97,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch_scope(spark):  # what the stage has pinned goes once its result is written
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
