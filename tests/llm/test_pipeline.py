@@ -1,3 +1,5 @@
+import os
+
 import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
@@ -60,6 +62,24 @@ def test_near_dedup_of_repeated_and_missing_ids(spark):
     assert sorted(r.text[0].lower() for r in kept) == ["w", "x"] and {r.doc_id for r in kept} == {7}
 
 
-def test_run(spark):
-    got = corpus_pipeline.run(spark, SF)
-    assert got.count() > 100 and "sequence_id" in got.columns
+def test_near_dedup_of_files(spark, tmp_path):
+    """Rows named by their place in a file give what numbered rows give, repeated and nameless ones too."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(120)
+    nameless = docs.limit(30).withColumn("doc_id", F.lit(None).cast(docs.schema["doc_id"].dataType))
+    path = f"{tmp_path}/docs"
+    docs.unionByName(docs.limit(20)).unionByName(nameless).withColumn("_metadata", F.lit("own")).withColumn("row", F.lit(1)).repartition(3).write.parquet(path)
+    read = spark.read.parquet(path)
+    by_place = corpus_pipeline.near_dedup(spark, read, SF)
+    by_number = corpus_pipeline.near_dedup(spark, read.checkpoint(), SF)
+    assert by_place.columns == read.columns and "_metadata" in by_place.columns
+    assert sorted(map(str, by_place.collect())) == sorted(map(str, by_number.collect()))
+
+
+def test_run_leaves_stage_results_only(spark):
+    from tablewright.session import scratch_scope
+
+    with scratch_scope(spark) as folder:
+        got = corpus_pipeline.run(spark, SF)
+        assert got.count() > 100 and "sequence_id" in got.columns
+        left = {p.rsplit("-", 1)[0] for p in os.listdir(folder)}
+        assert left == {f"pipeline-{name}" for name, _ in corpus_pipeline.STAGES}
