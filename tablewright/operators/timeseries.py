@@ -2,8 +2,7 @@
 
 Input: long ``(keys..., t, value)`` with a dense integer step ``t``. Lags come
 from block windows, fits from moment aggregates per series; Python sees moment
-rows, the last few steps of a series, or a calendar-grain series of checked
-length.
+rows, or the last few steps of a series.
 """
 
 from __future__ import annotations
@@ -24,6 +23,7 @@ from tablewright.operators.linear import fit_groups, moments, solve_row
 from tablewright.operators.ordering import block_scan, step_window
 from tablewright.operators.series import fourier_terms, lag_diff, rolling_mean_std
 from tablewright.operators.skew import attach
+from tablewright.operators.smoothing import holt_winters as forecast_holt_winters  # noqa: F401
 from tablewright.session import pin_small
 
 # Published asymptotic critical values, constant case, at 1, 5 and 10 percent.
@@ -34,8 +34,6 @@ ADF_SMALL_P = (2.1659, 1.4412, 0.038269)
 ADF_LARGE_P = (1.7339, 0.93202, -0.12745, -0.010368)
 KPSS_CRITICAL = {"10%": 0.347, "5%": 0.463, "2.5%": 0.574, "1%": 0.739}
 
-MAX_STEPS = 200_000
-
 
 def _schema(df: DataFrame, keys: Sequence[str], extra: str) -> T.StructType:
     return T.StructType([df.schema[k] for k in keys] + T._parse_datatype_string(extra).fields)
@@ -349,68 +347,6 @@ def forecast_drift(df: DataFrame, keys, t: str, value: str, h: int) -> DataFrame
     )
 
 
-def check_length(df: DataFrame, keys, limit: int = MAX_STEPS) -> None:
-    """Refuse series too long for a sequential recursion: bring them to a calendar grain first."""
-    longest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    if longest and longest > limit:
-        raise ValueError(f"a series has {longest} steps; aggregate to at most {limit} first")
-
-
-def smoothing_forecast(y: np.ndarray, period: int, h: int, grid: Sequence[float]):
-    """Additive level/trend/season smoothing for all constants of the grid at once.
-
-    Returns (alpha, beta, gamma, sse, forecasts) of the smallest one-step error.
-    """
-    seasonal = period > 1 and len(y) >= 2 * period
-    consts = np.array([(a, b, g) for a in grid for b in grid for g in (grid if seasonal else [0.0])])
-    a, b, g = consts.T
-    m = period if seasonal else 1
-    if seasonal:
-        first, second = y[:m].mean(), y[m : 2 * m].mean()
-        level, trend = np.full(len(a), first), np.full(len(a), (second - first) / m)
-        season = np.tile((y[:m] - first)[:, None], (1, len(a)))
-        start = m
-    else:
-        level, trend = np.full(len(a), y[0]), np.full(len(a), y[1] - y[0] if len(y) > 1 else 0.0)
-        season = np.zeros((1, len(a)))
-        start = 1
-    sse = np.zeros(len(a))
-    for i in range(start, len(y)):
-        s = season[i % m].copy()
-        e = y[i] - (level + trend + s)
-        sse += e * e
-        new = a * (y[i] - s) + (1 - a) * (level + trend)
-        trend = b * (new - level) + (1 - b) * trend
-        level = new
-        if seasonal:
-            season[i % m] = g * (y[i] - level) + (1 - g) * s
-    best = int(np.argmin(sse))
-    ahead = [
-        level[best] + (j + 1) * trend[best] + season[(len(y) + j) % m, best] for j in range(h)
-    ]
-    return consts[best], float(sse[best]), ahead
-
-
-def forecast_holt_winters(
-    df: DataFrame, keys, t: str, value: str, period: int, h: int, grid: Sequence[float] = (0.1, 0.3, 0.5, 0.7, 0.9)
-) -> DataFrame:
-    """(keys, t, forecast, alpha, beta, gamma, sse): one task per calendar-grain series.
-
-    The recursion is sequential, so the length of a series is checked beforehand.
-    """
-    check_length(df, keys)
-    schema = _schema(df, keys, f"{t} long, forecast double, alpha double, beta double, gamma double, sse double")
-
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(t)
-        (a, b, g), sse, ahead = smoothing_forecast(pdf[value].to_numpy(float), period, h, grid)
-        last = int(pdf[t].iloc[-1])
-        rows = [[*key, last + j + 1, f, a, b, g, sse] for j, f in enumerate(ahead)]
-        return pd.DataFrame(rows, columns=[f.name for f in schema.fields])
-
-    return df.select(*keys, t, value).groupBy(*keys).applyInPandas(run, schema)
-
-
 def tail_steps(df: DataFrame, keys, t: str, columns: Sequence[str], n: int) -> DataFrame:
     """(keys, last, tail): the last n steps of each series as one sorted array."""
     ends = df.groupBy(*keys).agg(F.max(t).alias("last"))

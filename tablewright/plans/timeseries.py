@@ -169,9 +169,26 @@ def forecast_drift(t):
     return rounded(TS.forecast_drift(t.monthly, K, "t", "value", 6), 2)
 
 
-@query("forecast_holt_winters")
+@query(
+    "forecast_holt_winters",
+    f"""
+    WITH RECURSIVE {MONTHLY}, y AS (SELECT series_id, list(value ORDER BY t) AS y, max(t) AS last FROM monthly GROUP BY 1),
+    g(c) AS (VALUES (0.1::DOUBLE), (0.3::DOUBLE), (0.5::DOUBLE), (0.7::DOUBLE), (0.9::DOUBLE)),
+    r AS (
+      SELECT series_id, a.c AS a, b.c AS b, s.c AS g, 12 AS i, list_avg(y[1:12]) AS level, (list_avg(y[13:24]) - list_avg(y[1:12])) / 12 AS trend,
+        list_transform(y[1:12], lambda v: v - list_avg(y[1:12])) AS season, 0::DOUBLE AS sse FROM y, g a, g b, g s WHERE len(y) >= 24
+      UNION ALL SELECT series_id, a, b, g, i + 1, new, b * (new - level) + (1 - b) * trend,
+        list_append(season[2:12], g * (v - new) + (1 - g) * season[1]), sse + pow(v - level - trend - season[1], 2)
+      FROM (SELECT r.*, y[i + 1] AS v, a * (y[i + 1] - season[1]) + (1 - a) * (level + trend) AS new FROM r JOIN y USING (series_id) WHERE i < len(y))),
+    e AS (SELECT r.*, last, row_number() OVER (PARTITION BY series_id ORDER BY sse, a, b, g) AS place FROM r JOIN y USING (series_id) WHERE i = len(y)),
+    f AS (SELECT *, unnest(range(0, 6)) AS j FROM e WHERE place = 1)
+    SELECT series_id, last + j + 1 AS t, round(level + (j + 1) * trend + season[(j % 12) + 1], 2) AS forecast, a AS alpha, b AS beta, g AS gamma,
+      round(sqrt(sse), 2) AS rse FROM f
+    """,
+)
 def forecast_holt_winters(t):
-    return rounded(TS.forecast_holt_winters(t.monthly, K, "t", "value", 12, 6), 2)
+    found = TS.forecast_holt_winters(t.monthly, K, "t", "value", 12, 6)
+    return rounded(found.withColumn("rse", F.sqrt("sse")).drop("sse"), 2)
 
 
 @query(

@@ -168,12 +168,6 @@ def test_holt_winters_continues_a_pattern(spark):
     assert [r["forecast"] for r in f] == pytest.approx([10 + i + [0, 5, -5, 2][i % 4] for i in range(60, 64)], abs=1.0)
 
 
-def test_holt_winters_refuses_long_series(spark, monkeypatch):
-    monkeypatch.setattr(TS, "MAX_STEPS", 10)
-    with pytest.raises(ValueError):
-        TS.check_length(series(spark, range(11)), ["k"], 10)
-
-
 def test_monthly_line_and_season(spark):
     t = np.arange(1, 37)
     sales = 50 + 0.8 * t + 9 * np.sin(t * np.pi / 6) + np.random.default_rng(4).normal(0, 2, 36)
