@@ -4,6 +4,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from tablewright.operators import arma
 from tablewright.operators import timeseries as TS
 from tablewright.operators.linear import fit_groups
 from tablewright.operators.series import lag_features, time_split
@@ -215,6 +216,80 @@ def forecast_sarima(t):
     return rounded(TS.forecast_sarima(t.monthly, K, "t", "value", (1, 0, 1), 12, 6), 2)
 
 
+@query(
+    "forecast_seasonal_drift",
+    f"""
+    WITH {MONTHLY}, z AS (SELECT series_id, t, value, value - lag(value, 12) OVER (PARTITION BY series_id ORDER BY t) AS z FROM monthly),
+    f AS (SELECT series_id, avg(z) AS m, var_pop(z) AS v, 0.5 * count(z) * (ln(2 * pi() * var_pop(z)) + 1) AS nll, max(t) AS last FROM z GROUP BY 1)
+    SELECT series_id, t + 12 AS t, round(value + m, 2) AS forecast, round(value + m - 1.959963984540054 * sqrt(v), 2) AS low,
+      round(value + m + 1.959963984540054 * sqrt(v), 2) AS high, round(nll, 2) AS nll FROM z JOIN f USING (series_id) WHERE t + 12 > last AND t + 12 <= last + 6
+    """,
+)
+def forecast_seasonal_drift(t):
+    """The likelihood model without ARMA terms: a seasonal difference and its mean."""
+    return rounded(arma.forecast(t.monthly, K, "t", "value", (0, 0, 0), 12, 6, seasonal=(0, 1, 0)), 2)
+
+
+@query("arima_order_lattice")
+def arima_order_lattice(t):
+    """Stepwise search over plain and seasonal orders: every order tried, and the best of each series."""
+    found = arma.order_search(t.monthly, K, "t", "value", 12, d=0, sd=1, most=(2, 2, 0, 1))
+    return rounded(found, 1)
+
+
+@query("forecast_best_order")
+def forecast_best_order(t):
+    """Forecasts by the order that the search finds for each series."""
+    orders = arma.order_search(t.monthly, K, "t", "value", 12, d=0, sd=1, most=(1, 1, 0, 1))
+    return rounded(arma.forecast_best(t.monthly, K, "t", "value", orders, 12, 6), 0)
+
+
+@query("forecast_sarima_likelihood")
+def forecast_sarima_likelihood(t):
+    """Multiplicative seasonal ARMA by exact likelihood."""
+    return rounded(arma.forecast(t.monthly, K, "t", "value", (1, 0, 1), 12, 6, seasonal=(0, 1, 1)), 0)
+
+
+def shipped(t):
+    """Monthly value with the number of orders of the month as an outside regressor."""
+    months = t.orders.groupBy(
+        F.col("o_orderpriority").alias("series_id"), (F.year("o_orderdate") * 12 + F.month("o_orderdate") - 1).cast("long").alias("t")
+    ).agg(F.count(F.lit(1)).cast("double").alias("orders"))
+    return t.monthly.join(months, ["series_id", "t"], "left").fillna(0.0, ["orders"])
+
+
+@query(
+    "forecast_regressor",
+    f"""
+    WITH {MONTHLY}, c AS (SELECT o_orderpriority AS series_id, year(o_orderdate) * 12 + month(o_orderdate) - 1 AS t, count(*) AS orders FROM orders GROUP BY ALL),
+    r AS (SELECT series_id, t, value, coalesce(orders, 0) AS x, max(t) OVER (PARTITION BY series_id) AS last FROM monthly LEFT JOIN c USING (series_id, t)),
+    f AS (SELECT series_id, regr_slope(value, x) AS b, regr_intercept(value, x) AS a, regr_count(value, x) AS n,
+      regr_syy(value, x) - pow(regr_sxy(value, x), 2) / regr_sxx(value, x) AS sse FROM r WHERE t <= last - 6 GROUP BY 1)
+    SELECT series_id, t, round(a + b * x, 2) AS forecast, round(a + b * x - 1.959963984540054 * sqrt(sse / n), 2) AS low,
+      round(a + b * x + 1.959963984540054 * sqrt(sse / n), 2) AS high, round(0.5 * n * (ln(2 * pi() * sse / n) + 1), 2) AS nll
+    FROM r JOIN f USING (series_id) WHERE t > last - 6
+    """,
+)
+def forecast_regressor(t):
+    """The same model with a regressor known for the last six months, and no ARMA terms."""
+    rows = shipped(t)
+    ends = rows.groupBy(*K).agg(F.max("t").alias("last"))
+    known = rows.join(ends, K)
+    past, future = known.filter(F.col("t") <= F.col("last") - 6), known.filter(F.col("t") > F.col("last") - 6)
+    found = arma.forecast(past, K, "t", "value", (0, 0, 0), 1, 6, xs=["orders"], future=future)
+    return rounded(found, 2)
+
+
+@query("forecast_arma_errors")
+def forecast_arma_errors(t):
+    """Regression on the month's orders with ARMA errors."""
+    rows = shipped(t)
+    ends = rows.groupBy(*K).agg(F.max("t").alias("last"))
+    known = rows.join(ends, K)
+    past, future = known.filter(F.col("t") <= F.col("last") - 6), known.filter(F.col("t") > F.col("last") - 6)
+    return rounded(arma.forecast(past, K, "t", "value", (1, 0, 1), 1, 6, xs=["orders"], future=future), 0)
+
+
 @query(
     "forecast_sarima_seasonal",
     f"""
