@@ -13,9 +13,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.operators.joins import null_safe_join
-from tablewright.session import pin
+from tablewright.session import pin, pin_small
 
 BLOCK = 65_536
+SMALL = 10_000  # rows of a key that one task may sort
+WAYS = 1024
 
 
 def _place(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -89,14 +91,104 @@ def running_totals(
 
 
 def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float]
+    df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], limit: int = SMALL
 ) -> DataFrame:
     """Exact linearly interpolated quantiles per key, ``{output: probability}``.
 
-    ``percentile`` keeps every distinct value of a group in one task. Here equal
-    values are counted before the shuffle, the counts are accumulated over range
-    partitions, and one aggregate picks the two neighbours of each position.
+    ``percentile`` keeps every distinct value of a group in one task, so it serves keys of up to ``limit``
+    rows. In longer ones the values at the two ranks of each quantile are found by brackets
+    (``_ranked``), in passes that aggregate before the shuffle. Null values do not count, null keys
+    are a key; NaN is greater than all else, and long keys with infinite values go through sorted counts.
+    """
+    from tablewright.operators.skew import attach
+
+    v = F.col(value).cast("double")
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, v.alias("_v"))
+    odd = F.isnan("_v") | (F.abs("_v") == float("inf"))
+    sizes = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.max(odd).alias("_odd")
+    )
+    long = pin_small(sizes.filter(F.col("_n") > limit))
+    short = rows if long.isEmpty() else attach(rows, long.select(*keys, "_n"), keys, "left").filter("_n is null")
+    found = short.groupBy(*keys).agg(F.percentile("_v", [float(p) for p in probs.values()]).alias("_q"))
+    found = found.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(probs)])
+    if long.isEmpty():
+        return found
+    if not keys:  # the one key is long
+        found = found.limit(0)
+    plain = long.filter(~F.col("_odd"))
+    if not plain.isEmpty():
+        found = found.unionByName(_bracketed(rows, plain, keys, probs, limit))
+    if not long.filter("_odd").isEmpty():
+        whole = attach(rows, long.filter("_odd").select(*keys), keys)
+        found = found.unionByName(_sorted_quantiles(whole, keys, "_v", probs))
+    return found
+
+
+def _bracketed(rows: DataFrame, long: DataFrame, keys: Sequence[str], probs: Mapping[str, float], limit: int) -> DataFrame:
+    """The quantiles of the keys in ``long`` (``_n, _lo, _hi``), all values finite."""
+    at = {n: F.lit(float(p)) * (F.col("_n") - 1) for n, p in probs.items()}
+    ranks = F.array_distinct(F.array(*[f(p).cast("long") for p in at.values() for f in (F.floor, F.ceil)]))
+    start = long.select(*keys, F.explode(ranks).alias("_rank"), "_lo", "_hi", F.lit(0).cast("long").alias("_below"), F.col("_n").alias("_inside"))
+    values = _ranked(rows, pin_small(start), keys, limit)
+    table = values.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_value"))).alias("_map"))
+    joined = null_safe_join(long, table, keys)
+    out = []
+    for n, p in at.items():
+        low, high = (F.element_at("_map", f(p).cast("long")) for f in (F.floor, F.ceil))
+        out.append((low + (high - low) * (p - F.floor(p))).alias(n))
+    return joined.select(*keys, *out)
+
+
+def _ranked(rows: DataFrame, state: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
+    """``keys, _rank, _value``: the value at each rank, from 0.
+
+    ``state`` holds for each key and rank a bracket of values, how many lie below and how many inside.
+    A pass counts the rows of each bracket in ``WAYS`` parts of equal width, whose order is that of
+    the values, and goes on with the part that holds the rank and with the least and greatest value in it; it
+    ends with one value, or with few enough rows to be sorted as an array.
     """
+    from tablewright.operators.skew import attach
+
+    names = [*keys, "_rank"]
+    done = None
+    while True:
+        wide = (F.col("_inside") > limit) & (F.col("_lo") < F.col("_hi"))
+        ready = state.filter(~wide)
+        done = ready if done is None else done.unionByName(ready)
+        state = state.filter(wide)
+        if state.isEmpty():
+            break
+        met = attach(rows, state, keys).filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+        # Halves first, so that no difference of finite values overflows.
+        width = F.col("_hi") / 2 - F.col("_lo") / 2
+        share = F.try_divide(F.col("_v") / 2 - F.col("_lo") / 2, width)
+        top = F.lit(WAYS - 1).cast("long")
+        # The greatest value parts from the least even where halves of the smallest numbers are equal.
+        part = F.when(F.col("_v") == F.col("_hi"), top).when(width > 0, F.least(F.floor(share * WAYS), top)).otherwise(F.lit(0).cast("long"))
+        counts = met.groupBy(*names, "_below", part.alias("_part")).agg(
+            F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_least"), F.max("_v").alias("_most")
+        )
+        run = F.sum("_c").over(Window.partitionBy(*names).orderBy("_part"))  # WAYS rows at most
+        counts = counts.withColumn("_upto", F.col("_below") + run)
+        inside = (F.col("_upto") - F.col("_c") <= F.col("_rank")) & (F.col("_rank") < F.col("_upto"))
+        state = pin_small(
+            counts.filter(inside).select(
+                *names, F.col("_least").alias("_lo"), F.col("_most").alias("_hi"), (F.col("_upto") - F.col("_c")).alias("_below"), F.col("_c").alias("_inside")
+            )
+        )
+    single = done.filter("_lo = _hi").select(*names, F.col("_lo").alias("_value"))
+    several = pin_small(done.filter("_lo < _hi"))
+    met = attach(rows, several, keys).filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+    lists = met.groupBy(*names, "_below").agg(F.array_sort(F.collect_list("_v")).alias("_all"))
+    value = F.get("_all", (F.col("_rank") - F.col("_below")).cast("int"))
+    return single.unionByName(lists.select(*names, value.alias("_value")))
+
+
+def _sorted_quantiles(
+    df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float]
+) -> DataFrame:
+    """The same from counts of equal values, accumulated over range partitions."""
     counts = (
         df.filter(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).cast("double").alias("_v"))
@@ -113,9 +205,9 @@ def exact_quantiles(
     return run.groupBy(*keys).agg(*picks).select(
         *keys,
         *[
-            (
-                F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_frac_{n}")
-            ).alias(n)
+            F.when(F.col(f"_lo_{n}") == F.col(f"_hi_{n}"), F.col(f"_lo_{n}"))
+            .otherwise(F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_frac_{n}"))
+            .alias(n)
             for n in probs
         ],
     )

@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from tablewright.operators.aggs import is_missing, long_values, stack_columns
 from tablewright.operators.ordering import exact_quantiles
+from tablewright.operators.skew import attach
 from tablewright.session import pin, small_table
 
 
@@ -147,7 +148,7 @@ def impute_median(train: DataFrame, rows: DataFrame, cols: Sequence[str]) -> Dat
 def impute_group_stat(
     df: DataFrame, col: str, keys: Sequence[str], stat: str = "median", out: str | None = None
 ) -> DataFrame:
-    """Group statistic first, the statistic of the whole table where a group has none."""
+    """Group statistic first, the statistic of the whole table where a group has none. Null keys are a group."""
     out = out or col
     known = df.filter(F.col(col).isNotNull())
     if stat == "mean":
@@ -156,7 +157,7 @@ def impute_group_stat(
     else:
         groups = exact_quantiles(known, keys, col, {"_g": 0.5})
         overall = F.lit(medians(df, [col]).get(col))
-    joined = df.join(groups, list(keys), "left")
+    joined = attach(df, groups, list(keys), "left")
     return joined.withColumn(out, F.coalesce(F.col(col).cast("double"), "_g", overall)).drop("_g")
 
 

@@ -163,7 +163,7 @@ def impute_median(t):
     WITH {DIRTY_ORDERS}, g AS (SELECT o_custkey, o_orderstatus, median(o_totalprice) AS med FROM dirty_orders
       WHERE o_totalprice IS NOT NULL GROUP BY ALL), a AS (SELECT median(o_totalprice) AS med_all FROM dirty_orders)
     SELECT d.o_orderkey, round(coalesce(d.o_totalprice, g.med, a.med_all), 4) AS o_totalprice
-    FROM dirty_orders d LEFT JOIN g ON d.o_custkey = g.o_custkey AND d.o_orderstatus = g.o_orderstatus, a
+    FROM dirty_orders d LEFT JOIN g ON d.o_custkey = g.o_custkey AND d.o_orderstatus IS NOT DISTINCT FROM g.o_orderstatus, a
     """,
 )
 def impute_group_stat(t):

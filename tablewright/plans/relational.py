@@ -430,8 +430,9 @@ def share_by_class(t):
 @query(
     "pivot_mean",
     """
-    SELECT * FROM (PIVOT (SELECT CAST(month(o_orderdate) AS INTEGER) AS month, 'y' || year(o_orderdate) AS year, o_totalprice FROM orders)
-      ON year USING round(avg(o_totalprice), 4) GROUP BY month)
+    SELECT m.month, y.year, round(avg(o_totalprice), 4) AS price
+    FROM (SELECT DISTINCT CAST(month(o_orderdate) AS INTEGER) AS month FROM orders) m CROSS JOIN (SELECT DISTINCT 'y' || year(o_orderdate) AS year FROM orders) y
+      LEFT JOIN orders ON month(o_orderdate) = m.month AND 'y' || year(o_orderdate) = y.year GROUP BY ALL
     """,
 )
 def pivot_mean(t):
@@ -441,7 +442,8 @@ def pivot_mean(t):
         "o_totalprice",
     )
     years = sorted(r[0] for r in base.select("year").distinct().collect())  # as many as the result has columns
-    return rounded(A.pivot_mean(base, "month", "year", "o_totalprice", years))
+    wide = A.pivot_mean(base, "month", "year", "o_totalprice", years)
+    return rounded(wide.unpivot("month", years, "year", "price"))  # its columns depend on the data, so they are compared as rows
 
 
 @query(

@@ -10,9 +10,11 @@ from tablewright.operators import drift as D
 from tablewright.operators import features as X
 from tablewright.operators import loops as L
 from tablewright.operators import mlops as O
+from tablewright.operators import quality as Q
 from tablewright.operators import sampling as S
 from tablewright.operators import timeseries as TS
 from tablewright.operators import trees as M
+from tablewright.operators.ordering import exact_quantiles
 from tablewright.sources import readers as R
 
 
@@ -188,3 +190,43 @@ def test_scope_leaves_nothing_behind(spark):
         local = path.removeprefix("file:")
         assert os.path.isdir(local)
     assert not os.path.exists(local)
+
+
+def test_pivot_is_wide(spark):
+    df = spark.createDataFrame([(1, "a", 2.0), (1, "a", 4.0), (1, "b", 5.0), (2, "b", 7.0)], "m int, y string, v double")
+    got = A.pivot_mean(df, "m", "y", "v", ["a", "b"]).orderBy("m").collect()
+    assert [tuple(r) for r in got] == [(1, 3.0, 5.0), (2, None, 7.0)]
+
+
+def test_group_statistic_of_null_keys_and_a_hot_key(spark):
+    rows = [(None, 1.0), (None, 3.0), (None, None), ("a", 10.0), ("a", None), ("none", None)] + [("hot", float(i)) for i in range(99)] + [("hot", None)]
+    got = Q.impute_group_stat(spark.createDataFrame(rows, "k string, v double"), "v", ["k"], out="f").filter("v is null").collect()
+    known = sorted([1.0, 3.0, 10.0] + [float(i) for i in range(99)])
+    overall = (known[50] + known[51]) / 2 if len(known) % 2 == 0 else known[len(known) // 2]
+    assert {r.k: r.f for r in got} == {None: 2.0, "a": 10.0, "hot": 49.0, "none": overall}
+
+
+@pytest.mark.parametrize("limit", [5, 40, 10_000])
+def test_quantiles_by_brackets(spark, limit):
+    rng = np.random.default_rng(limit)
+    data = {
+        "even": rng.uniform(-5, 5, 300), "skew": np.exp(rng.normal(0, 6, 301)), "ties": rng.integers(0, 4, 200).astype(float), "one": np.full(150, 2.5),
+        None: np.r_[np.full(99, -1e308), np.full(101, 1e308)], "tiny": rng.integers(0, 9, 120) * 5e-324, "few": np.array([3.0]),
+        "wild": np.r_[rng.normal(size=60), np.inf, -np.inf],
+    }
+    rows = [(k, float(v)) for k, y in data.items() for v in y] + [("even", None), ("empty", None)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(4)
+    probs = {"lo": 0.0, "q": 0.25, "m": 0.5, "r": 0.9, "hi": 1.0}
+    got = {r.k: r for r in exact_quantiles(df, ["k"], "v", probs, limit).collect()}
+    assert set(got) == set(data)
+    for k, y in data.items():
+        s = np.sort(y)
+        for n, p in probs.items():
+            pos = p * (len(s) - 1)
+            a, b = s[int(np.floor(pos))], s[int(np.ceil(pos))]
+            want = a if a == b else a + (b - a) * (pos - np.floor(pos)) if np.isfinite(b - a) else None
+            if want is not None:
+                assert got[k][n] == pytest.approx(want, rel=1e-12), (k, n)
+    whole = exact_quantiles(df.filter("k = 'even'"), [], "v", {"m": 0.5}, limit).collect()
+    assert [r.m for r in whole] == [pytest.approx(np.median(data["even"]))]
+    assert exact_quantiles(df.limit(0), ["k"], "v", probs, limit).collect() == []
