@@ -71,6 +71,26 @@ def kpss_test(t):
     return rounded(TS.kpss_test(t.monthly, K, "t", "value", 4))
 
 
+@query(
+    "kpss_auto",
+    f"""
+    WITH {MONTHLY}, d AS (SELECT series_id, t, value - avg(value) OVER (PARTITION BY series_id) AS d, count(*) OVER (PARTITION BY series_id) AS n FROM monthly),
+    g AS (SELECT a.series_id, a.n, a.t - b.t AS j, sum(a.d * b.d) AS g FROM d a JOIN d b ON a.series_id = b.series_id AND b.t <= a.t GROUP BY ALL),
+    s AS (SELECT series_id, n, sum(CASE WHEN j = 0 THEN g / n ELSE 2 * g / n END) AS s0, sum(2 * j * g / n) AS s1 FROM g WHERE j <= floor(pow(n, 2 / 9.0)) GROUP BY ALL),
+    a AS (SELECT series_id, n, CAST(least(floor(1.1447 * pow(pow(s1 / s0, 2), 1 / 3.0) * pow(n, 1 / 3.0)), n - 1) AS INTEGER) AS lags FROM s),
+    v AS (SELECT series_id, a.n, lags, sum(CASE WHEN j = 0 THEN g ELSE 2 * (1 - j / (lags + 1.0)) * g END) / any_value(a.n) AS lr FROM g JOIN a USING (series_id) WHERE j <= lags GROUP BY ALL),
+    c AS (SELECT series_id, sum(d) OVER (PARTITION BY series_id ORDER BY t) AS s FROM d),
+    e AS (SELECT series_id, sum(s * s) AS eta FROM c GROUP BY 1),
+    k AS (SELECT series_id, n, lags, eta / (n::DOUBLE * n) / lr AS kpss FROM v JOIN e USING (series_id))
+    SELECT series_id, n, lags, round(kpss, 4) AS kpss, round(CASE WHEN kpss < 0.347 THEN 0.1 WHEN kpss < 0.463 THEN 0.1 - (kpss - 0.347) * 0.05 / 0.116
+      WHEN kpss < 0.574 THEN 0.05 - (kpss - 0.463) * 0.025 / 0.111 WHEN kpss < 0.739 THEN 0.025 - (kpss - 0.574) * 0.015 / 0.165 ELSE 0.01 END, 4) AS p_value,
+      CAST(kpss < 0.463 AS INTEGER) AS stationary FROM k
+    """,
+)
+def kpss_auto(t):
+    return rounded(TS.kpss_auto(t.monthly, K, "t", "value"))
+
+
 @query(
     "stationarity_report",
     f"""

@@ -230,3 +230,22 @@ def test_quantiles_by_brackets(spark, limit):
     whole = exact_quantiles(df.filter("k = 'even'"), [], "v", {"m": 0.5}, limit).collect()
     assert [r.m for r in whole] == [pytest.approx(np.median(data["even"]))]
     assert exact_quantiles(df.limit(0), ["k"], "v", probs, limit).collect() == []
+
+
+def test_kpss_lags_from_the_data(spark):
+    rng = np.random.default_rng(2)
+    data = {"noise": rng.normal(size=400), None: rng.normal(size=150).cumsum(), "flat": np.full(30, 2.0), "one": np.array([1.0])}
+    df = spark.createDataFrame([(k, i, float(v)) for k, y in data.items() for i, v in enumerate(y)], "k string, t long, v double")
+    got = {r.k: r for r in TS.kpss_auto(df, ["k"], "t", "v").collect()}
+    assert set(got) == set(data) and got["flat"].kpss is None and got["one"].kpss is None
+    for k in ("noise", None):
+        d = data[k] - data[k].mean()
+        n = len(d)
+        g = lambda j: float(d[j:] @ d[: n - j])
+        m = int(n ** (2 / 9))
+        s0, s1 = g(0) / n + sum(2 * g(j) / n for j in range(1, m + 1)), sum(2 * j * g(j) / n for j in range(1, m + 1))
+        lags = min(int(1.1447 * ((s1 / s0) ** 2) ** (1 / 3) * n ** (1 / 3)), n - 1)
+        longrun = (g(0) + sum(2 * (1 - j / (lags + 1)) * g(j) for j in range(1, lags + 1))) / n
+        want = (d.cumsum() ** 2).sum() / n**2 / longrun
+        assert got[k].lags == lags and got[k].kpss == pytest.approx(want, rel=1e-9)
+    assert got["noise"].p_value == 0.1 and got["noise"].stationary == 1 and got[None].stationary == 0
