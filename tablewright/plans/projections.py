@@ -15,6 +15,11 @@ def select_columns(t):
     return P.select_columns(t.orders, ["o_orderkey", "o_totalprice", "o_orderpriority"])
 
 
+@query("column_slice", "SELECT c_name, c_nationkey, c_acctbal FROM customer")
+def column_slice(t):
+    return P.column_slice(t.customer, "c_name", "c_acctbal")
+
+
 @query(
     "drop_columns",
     "SELECT c_custkey, c_nationkey, c_acctbal, c_mktsegment FROM customer",
