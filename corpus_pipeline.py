@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tablewright.llm import crf_quality, langid, mixing, packing, setsketch
 from tablewright.llm.folds import ACCEPT, CONFIDENT, language_model, quality_model
+from tablewright.llm.sieve import Sieve
 from tablewright.session import pin, scratch_path, scratch_scope
 
 # A trained model, hashes of sketches and token ids have no counterpart in SQL.
@@ -68,7 +69,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     named = found.join(rows.select("row", doc.isNull().alias("none"), doc.alias("doc")), "row")
     named = named.select(F.col("component_id").alias("group"), "none", "doc", "row")
     least = named.groupBy("group").agg(F.min(F.struct("none", "doc", "row")).getField("row").alias("row"))
-    return _back(rows.join(pin(least.select("row")), "row", "left_semi"), names)
+    dropped = pin(named.select("row").join(least, "row", "left_anti"))
+    # Only rows that may be among the dropped ones are sent to a join with their texts.
+    doubted, clear = Sieve(dropped, "row").split(rows, "row")
+    return _back(clear.unionByName(doubted.join(dropped, "row", "left_anti")), names)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from tablewright.llm import words as W
 from tablewright.llm.graph import components
+from tablewright.llm.sieve import Sieve
 from tablewright.session import pin
 
 M = 128  # registers
@@ -207,10 +208,12 @@ def _digests(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 def _texts(pairs: DataFrame, nodes: DataFrame, source: DataFrame, size: int) -> DataFrame:
     """``node, text`` of the nodes that pairs name: the text of a node's least document.
 
-    A doc_id may stand in several rows; only texts with the node's own digest stay.
+    A doc_id may stand in several rows; only texts with the node's own digest stay. Texts that
+    no pair names are sifted out ahead of the shuffle.
     """
     named = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = nodes.join(named, "node").select("node", "doc_id")
+    wanted = pin(nodes.join(named, "node").select("node", "doc_id"))
+    source, _ = Sieve(wanted, "doc_id").split(source, "doc_id")
 
     def run(batches):
         for batch in batches:
