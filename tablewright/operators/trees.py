@@ -23,6 +23,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.operators import level_trees
 from tablewright.operators.classify import binary_metrics, multiclass_accuracy, with_auc
 from tablewright.operators.evaluate import regression_metrics
 from tablewright.operators.sampling import class_weights
@@ -88,8 +89,11 @@ def bagging_trees(train, test, trees=50, depth=5, seed=7) -> DataFrame:
 
 
 def extra_trees(train, test, trees=30, depth=6, seed=7) -> DataFrame:
-    """Forest with few split points per feature, the nearest reading of random thresholds."""
-    return random_forest(train, test, trees, depth, "sqrt", bins=6, seed=seed)
+    """Trees cut at random thresholds, grown level by level (``level_trees.grow``)."""
+    with held(train) as data:
+        model = level_trees.grow(data, trees, depth, seed=seed)
+    pred = model.transform(test).withColumn("score", F.get("probability", F.lit(1)))
+    return with_auc(pred.select("label", "prediction", "score"), "score")
 
 
 def gradient_boosting(train, test, rounds=10, depth=3, seed=7) -> DataFrame:
