@@ -5,8 +5,8 @@ before and after. A two-state chain (bad, good) labels the lines; forward-backwa
 each line's probability of good, and a document's score is their mean weighted by length.
 
 Labels exist per document only, so in training every line carries its document's label.
-The fit uses a bounded sample of labelled documents (``SAMPLE`` rows, the least by a hash of
-the id); scoring reads every whole text.
+The fit uses a bounded sample of labelled documents (``SAMPLE``, the least by a hash of the
+id, of ``LONGEST`` lines at most and ``LINES`` together); scoring reads every whole text.
 """
 
 from __future__ import annotations
@@ -15,13 +15,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.llm import words as W
 from tablewright.llm.frames import add_columns
+from tablewright.session import pin
 
 SAMPLE = 5_000  # labelled documents in the fit
+LONGEST = 4_000  # lines of a document in the fit
+LINES = 1 << 19  # lines in the fit, some 90 MB of measures
 ROUNDS = 120
 PENALTY = 1e-3
 
@@ -190,11 +193,15 @@ def train(
     text: str = "text",
     quality: str = "quality",
     sample: int = SAMPLE,
+    longest: int = LONGEST,
+    lines: int = LINES,
 ) -> Model:
-    """Fit on at most ``sample`` labelled documents: those of the least id hashes.
+    """Fit on at most ``sample`` labelled documents: those of the least id hashes, as many in
+    that order as have ``lines`` lines together. A document of over ``longest`` lines is left out.
 
     ``usable`` (over ``doc_id``) marks ids that may be learned from. A doc_id with several
-    labels counts as the least of them; null ids and labels other than 0 and 1 are not used.
+    labels counts as the least of them; one with several rows stands for the row of the least
+    text hash, however many there are; null ids and labels other than 0 and 1 are not used.
     """
     known = (
         labels.select(F.col(doc_id).alias("doc_id"), F.col(quality).cast("int").alias("quality"))
@@ -209,12 +216,23 @@ def train(
         for batch in batches:
             for part in W.slices(batch, "text", 1 << 22):
                 x, _, first = line_features(part.column("text"))
-                raw = [x[first[i] : first[i + 1]].tobytes() for i in range(len(first) - 1)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.string()), part.column("quality"), pa.array(raw, pa.binary())], names=["doc_id", "quality", "x"])
+                count = np.diff(first)
+                raw = [x[first[i] : first[i + 1]].tobytes() if count[i] <= longest else None for i in range(len(count))]
+                columns = [part.column("doc_id").cast(pa.string()), part.column("quality"), pa.array(count), pa.array(raw, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "quality", "lines", "x"]).filter(pa.array(count <= longest))
 
     # At most ``sample`` narrow rows: a bounded broadcast.
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).join(F.broadcast(known), "doc_id")
-    got = rows.select("doc_id", "text", "quality").mapInArrow(run, "doc_id string, quality int, x binary").toArrow()
+    rows = (
+        docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
+        .join(F.broadcast(known), "doc_id")
+        .groupBy("doc_id")
+        .agg(F.min("quality").alias("quality"), F.min(F.struct(F.xxhash64("text"), "text")).getField("text").alias("text"))
+    )
+    # Read twice: to add up the lines, and to fetch those of the documents that fit.
+    measured = pin(rows.mapInArrow(run, "doc_id string, quality int, lines long, x binary"))
+    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id")  # at most ``sample`` narrow rows
+    fitting = measured.select("doc_id", F.sum("lines").over(order).alias("upto")).filter(F.col("upto") <= lines)
+    got = measured.join(F.broadcast(fitting.select("doc_id")), "doc_id", "left_semi").select("doc_id", "quality", "x").toArrow()
     got = got.sort_by([("doc_id", "ascending"), ("x", "ascending")])
     width = line_features(pa.array([""]))[0].shape[1]
     parts = [np.frombuffer(b, np.float32).reshape(-1, width) for b in got["x"].to_pylist()]
