@@ -4,7 +4,7 @@ Features are TF-IDF weights of character n-grams (one to three code points, lowe
 everything but letters as one separator), hashed into ``BUCKETS``. Document frequencies
 come from all training rows. Weights are learned by follow-the-regularised-leader with an
 elastic-net penalty, which leaves most of them at zero, on a bounded sample (about
-``PER_LANGUAGE`` rows of each language); a held-aside fifth of it sets the temperature.
+``PER_LANGUAGE`` different texts of each language); a held-aside fifth of it sets the temperature.
 Prediction reads every whole text.
 """
 
@@ -163,14 +163,20 @@ def _temperature(logits: np.ndarray, label: np.ndarray) -> float:
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
     """Fit on all rows given that have a language: frequencies from all of them, weights from a
-    sample of about ``per_language`` rows of each language, drawn by a hash of the text.
+    sample of about ``per_language`` texts of each language, drawn by a hash of the text.
 
-    Null languages and null texts teach nothing. No usable rows: a model that says ``und``.
+    Rows that repeat a text of their language are one draw, so a text that stands in a third of
+    the rows is taken once or not at all, and the others of its language fill the sample. A text
+    goes to the driver as at most ``BUCKETS`` counts. Null languages and null texts teach
+    nothing. No usable rows: a model that says ``und``.
     """
     rows = docs.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")).filter(
         F.col("text").isNotNull() & F.col("lang").isNotNull()
     )
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a class
+    sizes, texts = {}, {}
+    counts = (F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64("text"), 0.02).alias("texts"))
+    for r in rows.groupBy("lang").agg(*counts).collect():  # one row a class
+        sizes[r["lang"]], texts[r["lang"]] = r["n"], max(1, r["texts"])
     languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0)
@@ -197,7 +203,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", per_language:
     frequency[np.asarray(counted["bucket"])] = np.asarray(counted["n"])
     idf = np.log((1 + sum(sizes.values())) / (1 + frequency)) + 1
 
-    share = F.create_map(*[F.lit(x) for name in languages for x in (name, min(1.0, per_language / sizes[name]))])
+    share = F.create_map(*[F.lit(x) for name in languages for x in (name, min(1.0, per_language / texts[name]))])
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
 
     def sparse(batches):
@@ -217,7 +223,8 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", per_language:
     sample = (
         rows.withColumn("draw", draw)
         .filter(F.col("draw") < F.element_at(share, F.col("lang")))
-        .select("text", "lang", F.xxhash64("text", "lang").alias("draw"))
+        .groupBy("lang", F.xxhash64("text", "lang").alias("draw"))
+        .agg(F.min("text").alias("text"))
         .mapInArrow(sparse, "lang string, draw long, bucket binary, n binary")
         .toArrow()
         .sort_by([("draw", "ascending"), ("lang", "ascending")])
