@@ -1,10 +1,11 @@
 """Exact k nearest neighbours between two tables, without pairing all rows.
 
 Reference rows are put into cells around a few pivot rows and each cell is cut,
-in order of distance to its pivot, into chunks of bounded size. A query first meets
-the chunks around its own place, which gives it a true k-th distance; the triangle
-inequality gives a lower bound per chunk, and then it meets only the other chunks that
-can hold a nearer row. In many dimensions bounds say little and most chunks remain.
+in order of distance to its pivot, into chunks of at most ``CHUNK_ROWS`` rows (or twice
+the rows asked for, if that is more), whatever the size of the table; the chunks' bounds are a
+table. A query first meets the chunk at its own place, which gives it a true k-th distance; the
+triangle inequality gives a lower bound per cell and chunk, and then it meets only the other
+chunks that can hold a nearer row. In many dimensions bounds say little and most chunks remain.
 Within a chunk numpy computes the distances and hands on k rows per query.
 Copies of one vector are reduced to the k smallest ids beforehand, which is
 exact because ties go to the smallest id.
@@ -24,7 +25,6 @@ from tablewright.operators.ordering import dense_index
 from tablewright.session import pin, pin_small, small_table
 
 MAX_PIVOTS = 256
-MAX_CHUNKS = 20_000
 CHUNK_ROWS = 4_096
 QUERY_BATCH = 4_096
 DECIMALS = 12  # distances equal to this many decimals are ties, whatever the order of summation
@@ -102,8 +102,6 @@ def knn(
     pivots = np.array(
         [r["_rvec"] for r in refs.orderBy(F.xxhash64("_rid"), "_rid").limit(m).collect()], dtype=float
     )
-    chunk_rows = max(CHUNK_ROWS, math.ceil(n / (MAX_CHUNKS - m)))
-
     @F.pandas_udf("cell int, reach double")
     def place(v: pd.Series) -> pd.DataFrame:
         if len(v) == 0:
@@ -113,51 +111,50 @@ def knn(
         return pd.DataFrame({"cell": cell.astype("int32"), "reach": d[np.arange(len(d)), cell]})
 
     placed = refs.withColumn("_p", place("_rvec")).select("_rid", "_rvec", "_p.cell", "_p.reach")
-    # Pinned: the chunk bounds and the rows are read by separate jobs.
-    placed = pin(
-        dense_index(placed, ["cell"], ["reach", "_rid"], "_i").withColumn(
-            "chunk", F.col("cell").cast("long") * (1 << 32) + F.floor(F.col("_i") / chunk_rows)
-        )
-    )
-    stats = (
-        placed.groupBy("cell", "chunk")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("reach").alias("lo"), F.max("reach").alias("hi"))
-        .orderBy("chunk")
-        .toPandas()  # at most MAX_CHUNKS rows
+    # Pinned: the bounds and the rows are read by separate jobs.
+    placed = pin(dense_index(placed, ["cell"], ["reach", "_rid"], "_i"))
+    cells = pin_small(
+        placed.groupBy("cell").agg(F.count(F.lit(1)).alias("_n"), F.min("reach").alias("lo"), F.max("reach").alias("hi"))
     )
-    cell, chunk = stats["cell"].to_numpy(), stats["chunk"].to_numpy()
-    size, lo, hi = stats["n"].to_numpy(), stats["lo"].to_numpy(), stats["hi"].to_numpy()
+    stats = cells.toPandas().sort_values("cell")  # at most MAX_PIVOTS rows
+    cell, size, lo, hi = (stats[c].to_numpy() for c in ("cell", "_n", "lo", "hi"))
+    # Cells are cut evenly: a chunk has half of CHUNK_ROWS at least, or is a whole cell.
+    cut = f"CAST(cell AS BIGINT) * {1 << 32} + (_i * CAST(ceil(_n / {max(CHUNK_ROWS, 2 * need)}) AS BIGINT)) div _n"
+    placed = placed.join(F.broadcast(cells.select("cell", "_n")), "cell").withColumn("chunk", F.expr(cut))
+    chunks = pin(placed.groupBy("cell", "chunk").agg(F.min("reach").alias("_lo"), F.max("reach").alias("_hi")))
 
     def bounds(v: pd.Series):
-        """Per query and chunk the least possible distance, in steps of bounded size."""
+        """Per query and cell the least possible distance and that to the pivot, in steps of bounded size."""
         step = max(1, 2_000_000 // max(len(cell), 1))
         for s in range(0, len(v), step):
             d = distances(_stack(v.iloc[s : s + step]), pivots, metric)[:, cell]
             yield slice(s, s + step), np.maximum(np.maximum(d - hi, lo - d), 0.0), d
 
-    def nearest(lower: np.ndarray, d: np.ndarray):
-        """The nearest chunks that have ``need`` rows between them: a mask."""
-        order = np.lexsort((d, lower), axis=1)
-        before = np.cumsum(size[order], axis=1) - size[order]
-        mask = np.zeros(lower.shape, bool)
-        np.put_along_axis(mask, order, before < need, axis=1)
-        return mask
+    def listed(mask: np.ndarray, d: np.ndarray) -> list:
+        return [[{"cell": int(c), "d": float(x)} for c, x in zip(cell[m], row[m])] for m, row in zip(mask, d)]
 
-    @F.pandas_udf("array<long>")
+    @F.pandas_udf("array<struct<cell int, d double>>")
     def around(v: pd.Series) -> pd.Series:
+        """The nearest cells that have ``need`` rows between them."""
         out = []
         for _, lower, d in bounds(v):
-            out.extend(chunk[m] for m in nearest(lower, d))
+            order = np.lexsort((d, lower), axis=1)
+            before = np.cumsum(size[order], axis=1) - size[order]
+            mask = np.zeros(lower.shape, bool)
+            np.put_along_axis(mask, order, before < need, axis=1)
+            out.extend(listed(mask, d))
         return pd.Series(out, index=v.index, dtype=object)
 
-    @F.pandas_udf("array<long>")
-    def others(v: pd.Series, kth: pd.Series) -> pd.Series:
+    @F.pandas_udf("array<struct<cell int, d double>>")
+    def within(v: pd.Series, kth: pd.Series) -> pd.Series:
+        """The cells that can hold a row as near as the k-th."""
         out, limit = [], kth.fillna(np.inf).to_numpy()
         for at, lower, d in bounds(v):
-            hit = (lower <= (limit[at] * (1 + 1e-9) + 1e-12)[:, None]) & ~nearest(lower, d)
-            out.extend(chunk[h] for h in hit)
+            out.extend(listed(lower <= (limit[at] * (1 + 1e-9) + 1e-12)[:, None], d))
         return pd.Series(out, index=v.index, dtype=object)
 
+    gap = F.greatest(F.col("d") - F.col("_hi"), F.col("_lo") - F.col("d"), F.lit(0.0))
+
     schema = T.StructType(
         [
             T.StructField("_qid", T.LongType()),
@@ -190,11 +187,27 @@ def knn(
             .applyInPandas(measure, schema)
         )
 
-    first = pin(meet(queries.withColumn("chunk", F.explode(around("_qvec")))))
+    # Of each of the nearest cells, the chunk at the query's distance from the pivot.
+    start = pin(
+        queries.select("_qid", "_qvec", F.inline(around("_qvec")))
+        .join(chunks, "cell")
+        .groupBy("_qid", "cell")
+        .agg(F.first("_qvec").alias("_qvec"), F.min_by("chunk", F.struct(gap, "chunk")).alias("chunk"))
+    )
+    first = pin(meet(start))
     # The true distance of the k-th row met so far; fewer rows than needed: no limit yet.
     order = Window.partitionBy("_qid").orderBy("dist", "_rid")
     kth = first.withColumn("_pos", F.row_number().over(order)).filter(F.col("_pos") == need).select("_qid", F.col("dist").alias("_kth"))
-    asked = queries.join(kth, "_qid", "left").withColumn("chunk", F.explode(others("_qvec", "_kth"))).drop("_kth")
+    met = start.groupBy("_qid").agg(F.collect_set("chunk").alias("_met"))  # at most ``need`` chunks
+    asked = (
+        queries.join(kth, "_qid", "left")
+        .join(met, "_qid")
+        .select("_qid", "_qvec", "_kth", "_met", F.inline(within("_qvec", "_kth")))
+        .join(chunks, "cell")
+        .filter(F.col("_kth").isNull() | (gap <= F.col("_kth") * (1 + 1e-9) + 1e-12))
+        .filter(~F.array_contains("_met", F.col("chunk")))
+        .select("_qid", "_qvec", "chunk")
+    )
     found = first.unionByName(meet(pin(asked)))
     if exclude_self:
         found = found.filter(F.col("_qid") != F.col("_rid"))
