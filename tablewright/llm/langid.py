@@ -27,6 +27,7 @@ PER_LANGUAGE = 1_200
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.05, 0.01
 SCALE = 20.0  # of a relative frequency
+SLICE = 1 << 18  # bytes of text at a time: temporaries take some fifty times as much
 UNKNOWN = "und"
 
 
@@ -185,7 +186,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", per_language:
         seen = np.zeros(BUCKETS, np.int64)
         flags = np.zeros((32, BUCKETS), bool)
         for batch in batches:
-            for part in W.slices(batch, "text", 1 << 21):
+            for part in W.slices(batch, "text", SLICE):
                 points, first = code_points(part.column("text"))
                 grams = list(gram_buckets(points, first))
                 for low in range(0, len(first) - 1, 32):
@@ -208,7 +209,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", per_language:
 
     def sparse(batches):
         for batch in batches:
-            for part in W.slices(batch, "text", 1 << 21):
+            for part in W.slices(batch, "text", SLICE):
                 found = list(term_counts(part.column("text")))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -252,4 +253,4 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         names, score = model.predict(column)
         return [pa.array(names, pa.string()), pa.array(score)]
 
-    return add_columns(docs, text, [("lang_pred", "string"), ("score", "double")], compute, 1 << 21)
+    return add_columns(docs, text, [("lang_pred", "string"), ("score", "double")], compute, SLICE)

@@ -82,3 +82,22 @@ def test_forward_backward_against_enumeration():
             pairs += both / z
             total += np.log(z)
     assert np.allclose(p, want) and np.allclose(moves, pairs) and np.isclose(logs.sum(), total)
+
+
+def test_language_works_in_little_memory():
+    """A task's temporaries are those of a slice, far below a batch's text times fifty."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from tablewright.llm import langid, words
+
+    batch = pa.RecordBatch.from_pydict({"text": ["plain words and more of them " * 100] * 1500})  # 4 MB
+    words.kept("folded", langid._folded)
+    tracemalloc.start()
+    for part in words.slices(batch, "text", langid.SLICE):
+        points, first = langid.code_points(part.column("text"))
+        list(langid.gram_buckets(points, first))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 40 << 20
