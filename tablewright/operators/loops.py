@@ -23,6 +23,9 @@ STICTION_BASE, STICTION_SQUARE, STICTION_SCALE, STICTION_QUIET, STICTION_CAP = 6
 SQUARE_KURTOSIS = 2.5
 SEGMENT = 256
 LAG_BLOCK = 16_384  # steps of a block in the cross-correlation
+FEW_BLOCKS = 4  # a loop with more blocks than this is correlated by its spectrum,
+SPARSE = 8  # unless it has fewer than one in so many steps
+CELL = 1 << 17  # numbers in a band of the spectrum's matrix
 
 
 def error_column() -> Column:
@@ -64,19 +67,39 @@ def loop_oscillation(df: DataFrame) -> DataFrame:
     return out.withColumn("oscillating", (F.col("oscillation_strength") > OSCILLATION_LIMIT).cast("int"))
 
 
-def cross_products(df: DataFrame, t: str, x: str, y: str, block: int = LAG_BLOCK) -> DataFrame:
+def cross_products(df: DataFrame, t: str, x: str, y: str, block: int = LAG_BLOCK, cell: int = CELL) -> DataFrame:
     """(loop_id, lag, c): the sum of x(t) * y(t - lag) at every lag at which the loop has steps.
 
-    A loop is cut into blocks of steps; every block of x meets every block of y in a cell of
-    its own, and the sums of a lag are added up over the cells. No task sees more than two blocks.
+    A loop of a few blocks of steps is cut into them; every block of x meets every block of y.
+    That grows with the square of the blocks, so longer loops go through a Fourier transform
+    whose rows and columns are dealt to tasks, unless most of their steps are missing.
     """
-    cut = df.select("loop_id", F.col(t).alias("t"), F.floor(F.col(t) / block).cast("long").alias("b"), F.col(x).alias("x"), F.col(y).alias("y"))
-    ends = pin_small(cut.groupBy("loop_id").agg(F.min("b").alias("_lo"), F.max("b").alias("_hi")))
-    other = F.explode(F.sequence("_lo", "_hi"))
+    xs, ys = F.nanvl(F.col(x).cast("double"), F.lit(None)), F.nanvl(F.col(y).cast("double"), F.lit(None))
+    cut = df.select("loop_id", F.col(t).cast("long").alias("t"), F.floor(F.col(t) / block).cast("long").alias("b"), xs.alias("x"), ys.alias("y"))
+    at = {"x": F.when(F.col("x").isNotNull(), F.col("t")), "y": F.when(F.col("y").isNotNull(), F.col("t"))}
+    ends = cut.groupBy("loop_id").agg(
+        F.min("b").alias("_lo"), F.max("b").alias("_hi"), F.count(F.lit(1)).alias("_n"),
+        *[f(c).alias(f"_{n}{name}") for n, c in at.items() for f, name in ((F.min, "lo"), (F.max, "hi"))],
+    )
+    ends = ends.withColumn("_base", F.least("_xlo", "_ylo")).withColumn("_len", F.greatest("_xhi", "_yhi") - F.col("_base") + 1)
+    met = F.col("_xlo").isNotNull() & F.col("_ylo").isNotNull()
+    long = met & (F.col("_hi") - F.col("_lo") >= FEW_BLOCKS) & (F.col("_len") <= SPARSE * F.col("_n"))
+    ends = pin_small(ends.withColumn("_long", F.coalesce(long, F.lit(False))))
+    kinds = {r["_long"] for r in ends.select("_long").distinct().collect()}
     rows = attach(cut, ends, KEY)
+    if True not in kinds:
+        return _by_blocks(rows)
+    found = _by_spectrum(rows.filter("_long"), ends, cell)
+    return found.unionByName(_by_blocks(rows.filter("not _long"))) if False in kinds else found
+
+
+def _by_blocks(rows: DataFrame) -> DataFrame:
+    """Every block of x meets every block of y in a cell of its own, and the sums of a lag are added
+    up over the cells. No task sees more than two blocks."""
+    other = F.explode(F.sequence("_lo", "_hi"))
     left = rows.select("loop_id", F.col("b").alias("i"), other.alias("j"), F.lit(0).alias("side"), "t", F.col("x").alias("v"))
     right = rows.select("loop_id", other.alias("i"), F.col("b").alias("j"), F.lit(1).alias("side"), "t", F.col("y").alias("v"))
-    kind = df.schema["loop_id"].dataType.simpleString()
+    kind = rows.schema["loop_id"].dataType.simpleString()
 
     def correlate(key, cell):
         sides, first = [], []
@@ -98,6 +121,73 @@ def cross_products(df: DataFrame, t: str, x: str, y: str, block: int = LAG_BLOCK
     return cells.groupBy("loop_id", "lag").agg(F.sum("c").alias("c"))
 
 
+def _by_spectrum(rows: DataFrame, ends: DataFrame, cell: int) -> DataFrame:
+    """The same as a circular correlation of 2**p steps, enough that nothing wraps around.
+
+    Step n is entry (n div n2, n mod n2) of a matrix of n1 by n2: transforms down its columns, a twist,
+    transforms along its rows give the spectra; their product comes back the same way. A task
+    has a band of columns or rows, about ``cell`` entries, and bands trade tiles, so the rows
+    shuffled are in proportion to the steps, whatever a loop's length.
+    """
+    kind = rows.schema["loop_id"].dataType.simpleString()
+
+    def shape(p: int) -> tuple[int, int, int, int]:
+        """Rows and columns, columns in a band and rows in a band."""
+        n1, n2 = 1 << (p + 1) // 2, 1 << p // 2
+        return n1, n2, max(1, min(n2, cell // n1)), max(1, min(n1, cell // n2))
+
+    def twist(rows: np.ndarray, columns: np.ndarray, p: int) -> np.ndarray:
+        return np.exp(2j * np.pi / (1 << p) * (rows[:, None] * columns[None, :] % (1 << p)))
+
+    def down(key, steps):
+        loop, band, p = key
+        n1, n2, wide, high = shape(p)
+        z = np.zeros((2, n1, wide))
+        at = steps.n.to_numpy(np.int64)
+        for side, name in enumerate("xy"):
+            v = steps[name].to_numpy(float)
+            own = ~np.isnan(v)
+            z[side, at[own] // n2, at[own] % n2 - band * wide] = v[own]
+        z = np.fft.fft(z, axis=1) * twist(np.arange(n1), band * wide + np.arange(wide), p).conj()
+        tiles = [z[:, r : r + high].tobytes() for r in range(0, n1, high)]
+        return pd.DataFrame({"loop_id": loop, "p": p, "col": band, "row": np.arange(len(tiles)), "tile": tiles})
+
+    def along(key, tiles):
+        loop, band, p = key
+        n1, n2, wide, high = shape(p)
+        z = np.zeros((2, high, n2), complex)
+        for col, tile in zip(tiles["col"], tiles["tile"]):
+            z[:, :, col * wide : (col + 1) * wide] = np.frombuffer(tile, complex).reshape(2, high, wide)
+        z = np.fft.fft(z, axis=2)
+        c = np.fft.ifft(z[0] * z[1].conj(), axis=1) * twist(band * high + np.arange(high), np.arange(n2), p)
+        tiles = [c[:, s : s + wide].tobytes() for s in range(0, n2, wide)]
+        return pd.DataFrame({"loop_id": loop, "p": p, "col": np.arange(len(tiles)), "row": band, "tile": tiles})
+
+    def up(key, tiles):
+        loop, band, p = key
+        n1, n2, wide, high = shape(p)
+        c = np.zeros((n1, wide), complex)
+        for row, tile in zip(tiles["row"], tiles["tile"]):
+            c[row * high : (row + 1) * high] = np.frombuffer(tile, complex).reshape(high, wide)
+        lag = np.arange(n1)[:, None] * n2 + band * wide + np.arange(wide)[None, :]
+        lag = np.where(lag < 1 << (p - 1), lag, lag - (1 << p)).ravel()
+        return pd.DataFrame({"loop_id": loop, "lag": lag, "c": np.fft.ifft(c, axis=0).real.ravel()})
+
+    # 2**p is at least twice the steps, so lags fit on both sides of zero.
+    p = F.greatest(F.length(F.bin(F.col("_len") * 2 - 1)), F.lit(2))
+    steps = rows.filter("t is not null and (x is not null or y is not null)").select(
+        "loop_id", p.alias("p"), (F.col("t") - F.col("_base")).alias("n"), "x", "y"
+    )
+    columns = F.expr("shiftleft(1L, CAST(p div 2 AS INT))")
+    wide = F.expr(f"greatest(1, least(shiftleft(1L, CAST(p div 2 AS INT)), {cell} div shiftleft(1L, CAST((p + 1) div 2 AS INT))))")
+    steps = steps.withColumn("col", F.floor(F.pmod("n", columns) / wide).cast("long"))
+    tile = f"loop_id {kind}, p int, col long, row long, tile binary"
+    tiles = steps.groupBy("loop_id", "col", "p").applyInPandas(down, tile)
+    tiles = tiles.groupBy("loop_id", "row", "p").applyInPandas(along, tile)
+    sums = tiles.groupBy("loop_id", "col", "p").applyInPandas(up, f"loop_id {kind}, lag long, c double")
+    return attach(sums, ends.filter("_long").select("loop_id", "_xlo", "_xhi", "_ylo", "_yhi"), KEY).filter("lag between _xlo - _yhi and _xhi - _ylo").select("loop_id", "lag", "c")
+
+
 def loop_pv_op_lag(df: DataFrame) -> DataFrame:
     """Distance from zero of the lag at which standardised pv and op agree most.
 

@@ -249,3 +249,40 @@ def test_kpss_lags_from_the_data(spark):
         want = (d.cumsum() ** 2).sum() / n**2 / longrun
         assert got[k].lags == lags and got[k].kpss == pytest.approx(want, rel=1e-9)
     assert got["noise"].p_value == 0.1 and got["noise"].stationary == 1 and got[None].stationary == 0
+
+
+@pytest.mark.parametrize("cell", [1, 16, 1 << 17])
+def test_long_loops_are_correlated_by_spectrum(spark, cell):
+    """Also with missing values and a start far from zero, in one band or many."""
+    rng = np.random.default_rng(4)
+    sizes = {None: 75, 1: 64, 2: 9}
+    data, want = [], {}
+    for k, n in sizes.items():
+        x, y = rng.normal(size=n), rng.normal(size=n)
+        gone = {3, 4, n - 1}
+        data += [(k, 1000 + i, None if i in gone else float(a), float("nan") if i == 1 else float(b)) for i, (a, b) in enumerate(zip(x, y))]
+        x[list(gone)], y[1] = 0, 0
+        want[k] = dict(zip(range(-n + 1, n), np.correlate(x, y, "full")))
+    df = spark.createDataFrame(data, "loop_id int, t long, x double, y double")
+    got = L.cross_products(df, "t", "x", "y", 7, cell).collect()
+    for k, n in sizes.items():
+        own = {r.lag: r.c for r in got if r.loop_id == k}
+        assert sorted(own) == list(range(-n + 1, n - 1))
+        assert [own[i] for i in sorted(own)] == pytest.approx([want[k][i] for i in sorted(own)], abs=1e-9)
+
+
+def test_rows_of_long_loops_are_not_copied_per_block(spark):
+    rows = spark.range(4000).selectExpr("1 loop_id", "id t", "sin(id) x", "cos(id) y")
+    plan = L.cross_products(rows, "t", "x", "y", 50)._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" not in plan
+
+
+def test_partitions_of_a_fit_grow_with_the_table(spark, monkeypatch):
+    from tablewright.operators import skew
+
+    monkeypatch.setattr(skew, "PART_ROWS", 100)
+    rows = spark.range(2000).selectExpr("id", "id * 2.0 x")
+    spread = skew.spread_out(rows)
+    assert spread.rdd.getNumPartitions() == 20
+    assert sorted(r.id for r in spread.collect()) == list(range(2000))
+    assert skew.spread_out(rows, 3).rdd.getNumPartitions() == 3
