@@ -16,6 +16,7 @@ from tablewright.operators.joins import null_safe_join, small_enough
 from tablewright.session import pin_small
 
 CHUNK = 10_000
+PART_ROWS = 500_000  # rows that one task of a fit holds at most
 
 
 def deal_hot_keys(
@@ -72,8 +73,12 @@ def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "inn
 def spread_out(df: DataFrame, parts: int | None = None) -> DataFrame:
     """Deal rows by a hash of all plain columns (of vectors, if there are no others) before a fit that reads them many times, so a
     table in one small file uses all tasks. ``parts`` fixes the number of partitions, which
-    seeded forests and boosting depend on; without it the session's setting holds.
+    seeded forests and boosting depend on; without it the session's setting holds, or as many as
+    keep a partition at ``PART_ROWS`` rows if that is more, so that a task's share does not grow with the table.
     """
+    if parts is None:
+        needed = -(-df.count() // PART_ROWS)
+        parts = needed if needed > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
     plain = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, (VectorUDT, MapType))]
     vectors = [vector_to_array(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, VectorUDT)]
     by = F.xxhash64(*(plain or vectors))
