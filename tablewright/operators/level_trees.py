@@ -42,10 +42,13 @@ class Forest:
 
     def route(self, x: np.ndarray, tree: int, levels: int | None = None) -> np.ndarray:
         node = np.zeros(len(x), np.int64)
-        rows = np.arange(len(x))
+        if not x.size:
+            return node
+        feature, threshold = self.feature[tree], self.threshold[tree]
+        flat, rows = x.ravel(), np.arange(len(x)) * x.shape[1]
         for _ in range(self.depth if levels is None else levels):
-            f = self.feature[tree][node]
-            right = ~(x[rows, np.maximum(f, 0)] <= self.threshold[tree][node])
+            f = feature[node]
+            right = ~(flat[rows + np.maximum(f, 0)] <= threshold[node])
             node = np.where(f >= 0, 2 * node + 1 + right, node)
         return node
 
@@ -134,6 +137,7 @@ def _level(rows: DataFrame, forest: Forest, level: int, nodes: list[_Open], trie
     for i, o in enumerate(nodes):
         by_tree.setdefault(o.tree, []).append(i)
     size = len(nodes) * tries * 2
+    small = np.min_scalar_type(size)
     drawn = np.array([[o.features[k] if k < len(o.features) else -1 for o in nodes] for k in range(tries)])
     cuts = np.array([[o.thresholds[k] if k < len(o.features) else 0.0 for o in nodes] for k in range(tries)])
 
@@ -142,25 +146,30 @@ def _level(rows: DataFrame, forest: Forest, level: int, nodes: list[_Open], trie
         lo, hi = np.full((size, width), np.inf), np.full((size, width), -np.inf)
         for batch in batches:
             x, y = matrix(batch.column("x"), width), batch.column("y").to_numpy()
+            columns = np.ascontiguousarray(x.T)
             for tree, own in by_tree.items():
                 at = forest.route(x, tree, level)
                 place = np.full(forest.feature.shape[1], -1)
                 place[[nodes[i].node for i in own]] = own
                 place = place[at]
                 inside = np.flatnonzero(place >= 0)
+                place = place[inside]
                 for k in range(tries):
-                    f, cut = drawn[k][place[inside]], cuts[k][place[inside]]
-                    took, f, cut = inside[f >= 0], f[f >= 0], cut[f >= 0]
+                    f, cut = drawn[k][place], cuts[k][place]
+                    right = ~(columns[np.maximum(f, 0), inside] <= cut)
+                    group = ((place * tries + k) * 2 + right).astype(small)
+                    took = np.argsort(group, kind="stable")  # of small numbers, which takes linear time
+                    if (f < 0).any():
+                        took = took[f[took] >= 0]
                     if not len(took):
                         continue
-                    right = ~(x[took, f] <= cut)
-                    group = (place[took] * tries + k) * 2 + right
-                    order = np.argsort(group, kind="stable")
-                    group, took = group[order], took[order]
+                    group = group[took].astype(np.int64)
                     start = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-                    here = group[start]
-                    lo[here] = np.fmin(lo[here], np.fmin.reduceat(x[took], start, axis=0))
-                    hi[here] = np.fmax(hi[here], np.fmax.reduceat(x[took], start, axis=0))
+                    here, took = group[start], inside[took]
+                    for j in range(width):
+                        column = columns[j][took]
+                        lo[here, j] = np.fmin(lo[here, j], np.fmin.reduceat(column, start))
+                        hi[here, j] = np.fmax(hi[here, j], np.fmax.reduceat(column, start))
                     n += np.bincount(group * kinds + y[took], minlength=size * kinds).reshape(size, kinds)
         met = np.flatnonzero(n.any(axis=1))
         wide = lambda a, fill: np.pad(a[met], ((0, 0), (0, span - a.shape[1])), constant_values=fill).ravel()

@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,3 +108,25 @@ def test_odd_rows(spark):
     assert none.transform(frame(spark, x, y)).filter("prediction IS NOT NULL").count() == 0
     same = T.grow(frame(spark, [[1.0]] * 6, [0, 1, 0, 1, 0, 1]), trees=2, depth=3)
     assert (same.feature == -1).all() and same.share[:, 0].tolist() == [[0.5, 0.5]] * 2
+
+
+def test_sides_are_sorted_as_small_numbers(monkeypatch):
+    """Rows are put in order by whole numbers of two bytes, which takes linear time; ranges skip NaN."""
+    x = np.array([[1.0, 5.0], [2.0, np.nan], [3.0, 7.0], [4.0, 8.0]])
+    kinds, plain = [], np.argsort
+    monkeypatch.setattr(T.np, "argsort", lambda a, **how: (kinds.append(a.dtype.itemsize), plain(a, **how))[1])
+    found = []
+
+    class Rows:
+        def mapInArrow(self, count, schema):
+            batch = pa.RecordBatch.from_arrays([pa.array(list(x)), pa.array([0, 1, 1, 1])], names=["x", "y"])
+            found.extend(count(iter([batch])))
+            raise StopIteration
+
+    forest = T.Forest([0.0, 1.0], 2, np.full((1, 3), -1), np.zeros((1, 3)), np.zeros((1, 3, 2)))
+    with pytest.raises(StopIteration):
+        T._level(Rows(), forest, 0, [T._Open(0, 0, [0, 1], [2.0, 7.0])], 2)
+    assert kinds and max(kinds) <= 2
+    rows = list(zip(*[found[0].column(i).to_pylist() for i in range(4)]))
+    assert rows[0:2] == [(0, 1, 1.0, 2.0), (1, 1, 5.0, 5.0)]  # first candidate's left side: one of each class
+    assert rows[4:6] == [(4, 1, 1.0, 3.0), (5, 1, 5.0, 7.0)]  # second candidate: NaN goes right
