@@ -148,11 +148,12 @@ def impute_median(train: DataFrame, rows: DataFrame, cols: Sequence[str]) -> Dat
 def impute_group_stat(
     df: DataFrame, col: str, keys: Sequence[str], stat: str = "median", out: str | None = None
 ) -> DataFrame:
-    """Group statistic first, the statistic of the whole table where a group has none. Null keys are a group."""
+    """Group statistic first, the statistic of the whole table where a group has none. Null keys are a group
+    with a median; for means they are none, as for a data frame's groups, and take the whole table's."""
     out = out or col
     known = df.filter(F.col(col).isNotNull())
     if stat == "mean":
-        groups = known.groupBy(*keys).agg(F.avg(col).alias("_g"))
+        groups = known.dropna(subset=list(keys)).groupBy(*keys).agg(F.avg(col).alias("_g"))
         overall = known.agg(F.avg(col)).scalar()
     else:
         groups = exact_quantiles(known, keys, col, {"_g": 0.5})
