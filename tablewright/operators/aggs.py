@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.operators.ordering import exact_quantiles
-from tablewright.operators.skew import CHUNK, in_pages
+from tablewright.operators.skew import CHUNK, bounded_parts, in_pages
+
+DEALS = 16  # parts of a key whose products are cut to k each before its one window
+ITEMS_PER_ORDER = 4  # orders are dealt to so many times the partitions their rows need, as their items are exploded
 
 
 def stack_columns(stats: DataFrame, labels: Sequence[Sequence], fields: Sequence[Sequence[str]],
@@ -49,15 +52,15 @@ def group_mean(df: DataFrame, keys, value: str, out: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.avg(value).alias(out))
 
 
+def _bought_items(df: DataFrame, key: str, items: str, schema: str, product: str, qty: str) -> DataFrame:
+    """(key, product, qty): an item of a JSON array column in a row."""
+    item = F.explode(F.from_json(items, schema))
+    return df.select(key, item.alias("_i")).select(key, F.col(f"_i.{product}").alias(product), F.col(f"_i.{qty}").alias(qty))
+
+
 def nested_quantity(df: DataFrame, key: str, items: str, schema: str, product: str, qty: str) -> DataFrame:
     """Quantity per (key, product) out of a JSON array column."""
-    item = F.explode(F.from_json(items, schema))
-    return (
-        df.select(key, item.alias("_i"))
-        .select(key, F.col(f"_i.{product}").alias(product), F.col(f"_i.{qty}").alias(qty))
-        .groupBy(key, product)
-        .agg(F.sum(qty).alias("quantity"))
-    )
+    return _bought_items(df, key, items, schema, product, qty).groupBy(key, product).agg(F.sum(qty).alias("quantity"))
 
 
 def collect_items(
@@ -101,15 +104,28 @@ def customer_summary(orders: DataFrame, items: DataFrame, schema: str, k: int =
     """Orders, spending and top-k products per customer.
 
     ``orders`` has o_orderkey, o_custkey, o_totalprice; ``items`` has l_orderkey
-    and a JSON array of items.
+    and a JSON array of items. More orders than the session's partitions should hold are dealt
+    to as many as hold them, so a task's share does not grow with the table.
     """
-    totals = orders.groupBy("o_custkey").agg(
+    parts = bounded_parts(orders, ITEMS_PER_ORDER)
+    totals = (orders.select("o_custkey", "o_totalprice").repartition(parts, "o_custkey") if parts else orders).groupBy("o_custkey").agg(
         F.count(F.lit(1)).alias("total_orders"), F.sum("o_totalprice").alias("total_spent")
     )
-    bought = orders.select("o_orderkey", "o_custkey").join(
-        items, F.col("o_orderkey") == F.col("l_orderkey")
-    )
-    quantities = nested_quantity(bought, "o_custkey", "items", schema, "l_partkey", "l_quantity")
+    placed = orders.select("o_orderkey", "o_custkey")
+    if parts:
+        placed = placed.repartition(-(-parts // ITEMS_PER_ORDER), "o_orderkey")
+    bought = placed.join(items, F.col("o_orderkey") == F.col("l_orderkey"))
+    if not parts:
+        quantities = nested_quantity(bought, "o_custkey", "items", schema, "l_partkey", "l_quantity")
+    else:
+        dealt = _bought_items(bought, "o_custkey", "items", schema, "l_partkey", "l_quantity").withColumn(
+            "_deal", F.pmod(F.xxhash64("l_partkey"), F.lit(DEALS))
+        )
+        sums = dealt.repartition(parts, "o_custkey", "_deal").groupBy("o_custkey", "_deal", "l_partkey").agg(F.sum("l_quantity").alias("quantity"))
+        # The best of a customer are among the best of each deal.
+        w = Window.partitionBy("o_custkey", "_deal").orderBy(F.desc("quantity"), "l_partkey")
+        best = sums.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k)
+        quantities = best.select("o_custkey", "l_partkey", "quantity").repartition(parts, "o_custkey")
     return totals.join(top_products(quantities, "o_custkey", "l_partkey", k), "o_custkey", "left")
 
 

@@ -37,25 +37,34 @@ def deal_hot_keys(
     return null_safe_join(df, side, keys, "left").withColumn(out, part).drop("_parts")
 
 
+def bounded_parts(df: DataFrame, times: int = 1) -> int | None:
+    """How many partitions keep a task at ``PART_ROWS`` rows, each of them made into ``times`` rows; None if the session's number does."""
+    needed = -(-df.count() * times // PART_ROWS)
+    return needed if needed > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
+
+
 def in_pages(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int = CHUNK, out: str = "page"
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int = CHUNK, out: str = "page", parts: int | None = None
 ) -> DataFrame:
     """Number pages 0, 1, ... of ``size`` rows within each key, in the given (unique) order.
 
     A key of up to ``size`` rows is page 0 as it stands; the rows of larger ones are
-    numbered over range partitions, so a key of any length is cut the same way.
+    numbered over range partitions, so a key of any length is cut the same way. With ``parts``
+    keys are counted in that many partitions, and the rows come dealt to as many, a page in one.
     """
     from tablewright.operators.ordering import dense_index
 
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > size)
+    counted = df.select(*keys).repartition(parts, *keys) if parts else df
+    counts = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > size)
     hot = pin_small(counts.select(*keys, F.lit(True).alias("_long")))
     if hot.isEmpty():
-        return df.withColumn(out, F.lit(0).cast("long"))
+        return (df.repartition(parts, *keys) if parts else df).withColumn(out, F.lit(0).cast("long"))
     side = F.broadcast(hot) if small_enough(hot) else hot
     marked = null_safe_join(df, side, keys, "left")
     short = marked.filter(F.col("_long").isNull()).drop("_long").withColumn(out, F.lit(0).cast("long"))
     numbered = dense_index(marked.filter("_long").drop("_long"), keys, order, "_index")
-    return short.unionByName(numbered.withColumn(out, F.floor(F.col("_index") / size).cast("long")).drop("_index"))
+    paged = short.unionByName(numbered.withColumn(out, F.floor(F.col("_index") / size).cast("long")).drop("_index"))
+    return paged.repartition(parts, *keys, out) if parts else paged
 
 
 def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -77,8 +86,7 @@ def spread_out(df: DataFrame, parts: int | None = None) -> DataFrame:
     keep a partition at ``PART_ROWS`` rows if that is more, so that a task's share does not grow with the table.
     """
     if parts is None:
-        needed = -(-df.count() // PART_ROWS)
-        parts = needed if needed > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
+        parts = bounded_parts(df)
     plain = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, (VectorUDT, MapType))]
     vectors = [vector_to_array(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, VectorUDT)]
     by = F.xxhash64(*(plain or vectors))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tablewright.operators.ordering import dense_index, step_window
 from tablewright.operators.sampling import hash_percent as split_bucket  # noqa: F401
 from tablewright.operators.series import fill_steps
-from tablewright.operators.skew import attach, in_pages
+from tablewright.operators.skew import attach, bounded_parts, in_pages
 
 ITEM_SCHEMA = "array<struct<l_partkey:bigint,l_quantity:double,l_extendedprice:double>>"
 
@@ -56,7 +56,7 @@ class Tables:
         """
         fields = ["l_partkey", "l_quantity", "l_extendedprice"]
         lines = self.lineitem.select("l_orderkey", "l_linenumber", *fields)
-        dealt = in_pages(lines, ["l_orderkey"], [*fields, "l_linenumber"])
+        dealt = in_pages(lines, ["l_orderkey"], [*fields, "l_linenumber"], parts=bounded_parts(lines))
         return dealt.groupBy("l_orderkey", "page").agg(
             F.to_json(F.array_sort(F.collect_list(F.struct(*fields)))).alias("items")
         )

@@ -1,5 +1,7 @@
 """A key with a third of all rows and more: ordered helpers must equal plain windows."""
 
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -129,3 +131,32 @@ def test_null_keys_keep_their_rows(skewed):
     assert weighted.count() == 6000 and weighted.filter("weight IS NULL").count() == 0
     assert weighted.agg(F.sum("weight")).first()[0] == pytest.approx(6000)
     assert centred(skewed, ["k"], "v").count() == 6000
+
+
+def test_summary_sizes_its_own_shuffles(spark, monkeypatch):
+    """With few partitions in the session, tasks of a customer summary stay at ``PART_ROWS`` rows, and its rows the same."""
+    from tablewright.operators import aggs, skew
+
+    class Few:
+        lineitem = spark.range(6000).select(
+            F.when(F.col("id") % 97 != 0, F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 800)).alias("l_orderkey"),
+            F.col("id").alias("l_linenumber"), (F.col("id") % 53).alias("l_partkey"),
+            (F.col("id") % 11).cast("double").alias("l_quantity"), F.lit(1.0).alias("l_extendedprice"),
+        )
+
+    from tablewright.plans.bindings import ITEM_SCHEMA, Tables
+
+    orders = spark.range(900).select(
+        F.col("id").alias("o_orderkey"), F.when(F.col("id") % 5 != 0, F.col("id") % 40).alias("o_custkey"), F.lit(2.0).alias("o_totalprice")
+    )
+    summary = lambda: aggs.customer_summary(orders, Tables.order_items.fget(Few), ITEM_SCHEMA)
+    plain = summary().collect()
+    for chunk in (10_000, 500):  # the second makes order 1 a hot key
+        monkeypatch.setattr(skew, "PART_ROWS", 100)
+        monkeypatch.setattr(skew.in_pages, "__defaults__", (chunk, "page", None))
+        dealt = summary()
+        assert sorted(map(str, dealt.collect())) == sorted(map(str, plain))
+        if chunk == 10_000:
+            plan = dealt._jdf.queryExecution().executedPlan().toString()
+            sizes = {int(n) for n in re.findall(r"hashpartitioning\(.*?, (\d+)\)", plan)}
+            assert sizes and min(sizes) > 8
