@@ -6,6 +6,8 @@ the rows asked for, if that is more), whatever the size of the table; the chunks
 table. A query first meets the chunk at its own place, which gives it a true k-th distance; the
 triangle inequality gives a lower bound per cell and chunk, and then it meets only the other
 chunks that can hold a nearer row. In many dimensions bounds say little and most chunks remain.
+In up to ``BOX_DIMENSIONS`` dimensions cells are boxes of a k-d tree drawn from a sample, about
+``BOX_ROWS`` rows each, so that a query meets a few boxes however many rows there are.
 Within a chunk numpy computes the distances and hands on k rows per query.
 Copies of one vector are reduced to the k smallest ids beforehand, which is
 exact because ties go to the smallest id.
@@ -27,6 +29,10 @@ from tablewright.session import pin, pin_small, small_table
 MAX_PIVOTS = 256
 CHUNK_ROWS = 4_096
 QUERY_BATCH = 4_096
+BOX_DIMENSIONS = 8
+BOX_ROWS = 1_024  # reference rows in a box, about
+MAX_DEPTH = 16  # of the tree; with more than 2 ** 16 times BOX_ROWS rows boxes hold more
+SAMPLED = 4  # rows a box that the cuts are drawn from
 DECIMALS = 12  # distances equal to this many decimals are ties, whatever the order of summation
 
 
@@ -67,6 +73,191 @@ def _top(x, y, ids, k, metric):
     return r[keep], c[keep], dist[keep]
 
 
+class Boxes:
+    """A complete k-d tree: node i has the children 2 i + 1 and 2 i + 2, the last level are the boxes."""
+
+    def __init__(self, sample: np.ndarray, depth: int, metric: str):
+        self.depth, self.metric = depth, metric
+        self.inner = 2**depth - 1  # nodes that are cut; box b is node inner + b
+        self.dim, self.cut = np.zeros(self.inner, np.int64), np.full(self.inner, np.inf)
+        rows = {0: sample}
+        for i in range(self.inner):
+            x = rows.pop(i)
+            if len(x):
+                j = int((x.max(axis=0) - x.min(axis=0)).argmax())
+                at = np.sort(x[:, j])
+                # Rows on the cut go left; if the greatest value is that common, the next lesser one is cut at.
+                cut = min(at[(len(x) - 1) // 2], at[max(np.searchsorted(at, at[-1]) - 1, 0)])
+                self.dim[i], self.cut[i] = j, cut
+            right = x[:, self.dim[i]] > self.cut[i]
+            rows[2 * i + 1], rows[2 * i + 2] = x[~right], x[right]
+
+    def place(self, x: np.ndarray) -> np.ndarray:
+        """The box of each row."""
+        at = np.zeros(len(x), np.int64)
+        for _ in range(self.depth):
+            at = 2 * at + 1 + (x[np.arange(len(x)), self.dim[at]] > self.cut[at])
+        return at - self.inner
+
+    def bound(self, box: np.ndarray, size: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> None:
+        """Set rows and bounds of all nodes from those of the boxes that have rows."""
+        self.size = np.zeros(2 * self.inner + 1, np.int64)
+        self.lo, self.hi = np.full((len(self.size), lo.shape[1]), np.inf), np.full((len(self.size), lo.shape[1]), -np.inf)
+        at = self.inner + box
+        self.size[at], self.lo[at], self.hi[at] = size, lo, hi
+        for d in reversed(range(self.depth)):
+            up = np.arange(2**d - 1, 2 ** (d + 1) - 1)
+            a, b = 2 * up + 1, 2 * up + 2
+            self.size[up] = self.size[a] + self.size[b]
+            self.lo[up], self.hi[up] = np.minimum(self.lo[a], self.lo[b]), np.maximum(self.hi[a], self.hi[b])
+
+    def home(self, x: np.ndarray, need: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of each row the least node around it that has ``need`` rows, and that node's height."""
+        at, height = np.zeros(len(x), np.int64), np.full(len(x), self.depth)
+        for d in range(self.depth):
+            child = 2 * at + 1 + (x[np.arange(len(x)), self.dim[np.minimum(at, self.inner - 1)]] > self.cut[np.minimum(at, self.inner - 1)])
+            down = (height == self.depth - d) & (self.size[np.minimum(child, len(self.size) - 1)] >= need)
+            at, height = np.where(down, child, at), np.where(down, height - 1, height)
+        return at, height
+
+    def near(self, x: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, box) of all boxes that can hold a row within ``limit``."""
+        row, node = np.arange(len(x)), np.zeros(len(x), np.int64)
+        for _ in range(self.depth):
+            row, node = np.repeat(row, 2), np.column_stack([2 * node + 1, 2 * node + 2]).ravel()
+            gap = np.maximum(np.maximum(self.lo[node] - x[row], x[row] - self.hi[node]), 0.0)
+            least = gap.sum(axis=1) if self.metric == "manhattan" else np.sqrt((gap * gap).sum(axis=1))
+            keep = (self.size[node] > 0) & (least <= limit[row])
+            row, node = row[keep], node[keep]
+        return row, node - self.inner
+
+    def below(self, node: np.ndarray, height: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, box) of the boxes with rows under each row's node."""
+        first = (node + 1) * 2**height - 1 - self.inner
+        row = np.repeat(np.arange(len(node)), 2**height)
+        box = first[row] + np.arange(len(row)) - np.repeat(np.cumsum(2**height) - 2**height, 2**height)
+        keep = self.size[self.inner + box] > 0
+        return row[keep], box[keep]
+
+
+def _lists(rows: int, row: np.ndarray, values: np.ndarray) -> list:
+    """The values of each row as arrays."""
+    order = np.argsort(row, kind="stable")
+    return np.split(values[order], np.searchsorted(row[order], np.arange(1, rows)))
+
+
+def _boxed(refs: DataFrame, n: int, dims: int, need: int, metric: str):
+    """Reference rows with their ``chunk``, and functions from vectors (and distances of the k-th row met)
+    to the chunks that a query meets first, and then.
+
+    The tree and the boxes' bounds travel inside the functions; a box has some 16 bytes a dimension.
+    """
+    depth = min(MAX_DEPTH, max(0, math.ceil(math.log2(n / BOX_ROWS))))
+    drawn = refs.orderBy(F.xxhash64("_rid"), "_rid").limit(SAMPLED << depth).select("_rvec") if depth else refs.limit(0).select("_rvec")
+    sample = drawn.toPandas()["_rvec"]
+    tree = Boxes(_stack(sample) if len(sample) else np.zeros((0, dims)), depth, metric)
+
+    @F.pandas_udf("long")
+    def place(v: pd.Series) -> pd.Series:
+        return pd.Series(tree.place(_stack(v)) if len(v) else [], dtype="int64")
+
+    placed = pin(refs.withColumn("box", place("_rvec")))
+    ends = [f(F.get("_rvec", F.lit(j))).alias(f"{w}{j}") for w, f in (("lo", F.min), ("hi", F.max)) for j in range(dims)]
+    stats = placed.groupBy("box").agg(F.count(F.lit(1)).alias("_n"), *ends).toPandas()  # one row a box
+    size = stats["_n"].to_numpy()
+    lo, hi = (stats[[f"{w}{j}" for j in range(dims)]].to_numpy(float) for w in ("lo", "hi"))
+    tree.bound(stats["box"].to_numpy(), size, lo, hi)
+    # A box the sample did not see well is dealt to chunks by a hash of the ids.
+    pieces = -(-tree.size[tree.inner :] // max(4 * BOX_ROWS, 2 * need))
+    many = np.flatnonzero(pieces > 1)
+    deal = F.lit(1)
+    if len(many):
+        cuts = refs.sparkSession.createDataFrame(pd.DataFrame({"box": many, "_pieces": pieces[many]}))
+        placed = placed.join(F.broadcast(cuts), "box", "left")
+        deal = F.coalesce("_pieces", F.lit(1))
+    placed = placed.select("_rid", "_rvec", (F.col("box") * (1 << 32) + F.pmod(F.xxhash64("_rid", "_rvec"), deal)).alias("chunk"))
+
+    def chunks(rows: int, row: np.ndarray, box: np.ndarray) -> list:
+        times = pieces[box]
+        first = np.cumsum(times) - times
+        at = np.repeat(np.arange(len(box)), times)
+        return _lists(rows, row[at], (box[at] << 32) + np.arange(len(at)) - first[at])
+
+    @F.pandas_udf("array<long>")
+    def first(v: pd.Series) -> pd.Series:
+        if len(v) == 0:
+            return pd.Series([], dtype=object)
+        return pd.Series(chunks(len(v), *tree.below(*tree.home(_stack(v), need))), index=v.index, dtype=object)
+
+    @F.pandas_udf("array<long>")
+    def then(v: pd.Series, kth: pd.Series) -> pd.Series:
+        out, limit = [], kth.fillna(np.inf).to_numpy(float) * (1 + 1e-9) + 1e-12
+        step = max(64, min(4_096, 8_000_000 >> depth)) if len(v) else 1
+        for s in range(0, len(v), step):
+            x = _stack(v.iloc[s : s + step])
+            row, box = tree.near(x, limit[s : s + step])
+            node, height = tree.home(x, need)
+            new = (box + tree.inner + 1) >> height[row] != node[row] + 1  # not under the node met first
+            out.extend(chunks(len(x), row[new], box[new]))
+        return pd.Series(out, index=v.index, dtype=object)
+
+    return placed, first, then
+
+
+def _in_boxes(queries: DataFrame, refs: DataFrame, dims: int, need: int, metric: str) -> DataFrame:
+    """(_qid, _rid, dist): ``need`` nearest rows or more of every query, in boxes. Vectors with a missing number are near nothing."""
+    whole = lambda c: F.col(c).isNotNull() & ~F.exists(c, lambda v: v.isNull() | F.isnan(v))
+    refs, queries = refs.filter(whole("_rvec")), queries.filter(whole("_qvec"))
+    n = refs.count()
+    if n == 0:
+        return small_table(queries.sparkSession, [], "_qid long, _rid long, dist double")
+    placed, first_chunks, more_chunks = _boxed(refs, n, dims, need, metric)
+    queries = pin(queries)
+    first = pin(_meet(pin(queries.select("_qid", "_qvec", F.explode(first_chunks("_qvec")).alias("chunk"))), placed, need, metric))
+    asked = queries.join(_kth(first, need), "_qid", "left").select("_qid", "_qvec", F.explode(more_chunks("_qvec", "_kth")).alias("chunk"))
+    return first.unionByName(_meet(pin(asked), placed, need, metric))
+
+
+def _meet(asked: DataFrame, placed: DataFrame, need: int, metric: str) -> DataFrame:
+    """(_qid, _rid, dist): of every query (``asked``: _qid, _qvec, chunk) the nearest rows of each chunk it asks."""
+    schema = T.StructType(
+        [
+            T.StructField("_qid", T.LongType()),
+            T.StructField("_rid", T.LongType()),
+            T.StructField("dist", T.DoubleType()),
+        ]
+    )
+
+    def measure(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+        if len(q) == 0 or len(r) == 0:
+            return pd.DataFrame({"_qid": [], "_rid": [], "dist": []})
+        y, ids = _stack(r["_rvec"]), r["_rid"].to_numpy()
+        qids, parts = q["_qid"].to_numpy(), []
+        step = max(1, 250_000 // len(y))  # distances that stay in the processor's cache
+        for s in range(0, len(q), step):
+            x = _stack(q["_qvec"].iloc[s : s + step])
+            i, j, dist = _top(x, y, ids, need, metric)
+            parts.append(pd.DataFrame({"_qid": qids[s : s + step][i], "_rid": ids[j], "dist": dist}))
+        return pd.concat(parts, ignore_index=True)
+
+    # A chunk that many queries need is dealt to several tasks, each with a part of the queries.
+    load = pin_small(asked.groupBy("chunk").agg(F.ceil(F.count(F.lit(1)) / QUERY_BATCH).cast("int").alias("_parts")))
+    dealt = asked.join(load, "chunk").withColumn("salt", F.pmod(F.xxhash64("_qid"), F.col("_parts")).cast("int"))
+    held = placed.join(load, "chunk").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    return (
+        dealt.select("_qid", "_qvec", "chunk", "salt")
+        .groupBy("chunk", "salt")
+        .cogroup(held.select("_rid", "_rvec", "chunk", "salt").groupBy("chunk", "salt"))
+        .applyInPandas(measure, schema)
+    )
+
+
+def _kth(found: DataFrame, need: int) -> DataFrame:
+    """(_qid, _kth): true distance of the k-th row met so far; of fewer rows than needed, none."""
+    order = Window.partitionBy("_qid").orderBy("dist", "_rid")
+    return found.withColumn("_pos", F.row_number().over(order)).filter(F.col("_pos") == need).select("_qid", F.col("dist").alias("_kth"))
+
+
 def knn(
     queries: DataFrame,
     refs: DataFrame,
@@ -92,10 +283,15 @@ def knn(
         refs.withColumn("_copy", F.row_number().over(copies)).filter(F.col("_copy") <= need).drop("_copy")
     )
     refs = pin(refs)
-    n = refs.count()
-    empty = "_qid long, _rid long, dist double"
+    shape = refs.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("_rvec")).alias("dims")).first()
+    n = shape["n"]
     if n == 0:
-        found = small_table(queries.sparkSession, [], empty)
+        found = small_table(queries.sparkSession, [], "_qid long, _rid long, dist double")
+        return _ranked(found, qid, rid, k)
+    if 0 < shape["dims"] <= BOX_DIMENSIONS:
+        found = _in_boxes(queries, refs, shape["dims"], need, metric)
+        if exclude_self:
+            found = found.filter(F.col("_qid") != F.col("_rid"))
         return _ranked(found, qid, rid, k)
 
     m = max(1, min(MAX_PIVOTS, math.ceil(math.sqrt(n) / 4)))
@@ -155,38 +351,6 @@ def knn(
 
     gap = F.greatest(F.col("d") - F.col("_hi"), F.col("_lo") - F.col("d"), F.lit(0.0))
 
-    schema = T.StructType(
-        [
-            T.StructField("_qid", T.LongType()),
-            T.StructField("_rid", T.LongType()),
-            T.StructField("dist", T.DoubleType()),
-        ]
-    )
-
-    def measure(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        if len(q) == 0 or len(r) == 0:
-            return pd.DataFrame({"_qid": [], "_rid": [], "dist": []})
-        y, ids = _stack(r["_rvec"]), r["_rid"].to_numpy()
-        qids, parts = q["_qid"].to_numpy(), []
-        step = max(1, 8_000_000 // len(y))
-        for s in range(0, len(q), step):
-            x = _stack(q["_qvec"].iloc[s : s + step])
-            i, j, dist = _top(x, y, ids, need, metric)
-            parts.append(pd.DataFrame({"_qid": qids[s : s + step][i], "_rid": ids[j], "dist": dist}))
-        return pd.concat(parts, ignore_index=True)
-
-    def meet(asked: DataFrame) -> DataFrame:
-        # A chunk that many queries need is dealt to several tasks, each with a part of the queries.
-        load = pin_small(asked.groupBy("chunk").agg(F.ceil(F.count(F.lit(1)) / QUERY_BATCH).cast("int").alias("_parts")))
-        dealt = asked.join(load, "chunk").withColumn("salt", F.pmod(F.xxhash64("_qid"), F.col("_parts")).cast("int"))
-        held = placed.join(load, "chunk").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
-        return (
-            dealt.select("_qid", "_qvec", "chunk", "salt")
-            .groupBy("chunk", "salt")
-            .cogroup(held.select("_rid", "_rvec", "chunk", "salt").groupBy("chunk", "salt"))
-            .applyInPandas(measure, schema)
-        )
-
     # Of each of the nearest cells, the chunk at the query's distance from the pivot.
     start = pin(
         queries.select("_qid", "_qvec", F.inline(around("_qvec")))
@@ -194,10 +358,8 @@ def knn(
         .groupBy("_qid", "cell")
         .agg(F.first("_qvec").alias("_qvec"), F.min_by("chunk", F.struct(gap, "chunk")).alias("chunk"))
     )
-    first = pin(meet(start))
-    # The true distance of the k-th row met so far; fewer rows than needed: no limit yet.
-    order = Window.partitionBy("_qid").orderBy("dist", "_rid")
-    kth = first.withColumn("_pos", F.row_number().over(order)).filter(F.col("_pos") == need).select("_qid", F.col("dist").alias("_kth"))
+    first = pin(_meet(start, placed, need, metric))
+    kth = _kth(first, need)
     met = start.groupBy("_qid").agg(F.collect_set("chunk").alias("_met"))  # at most ``need`` chunks
     asked = (
         queries.join(kth, "_qid", "left")
@@ -208,7 +370,7 @@ def knn(
         .filter(~F.array_contains("_met", F.col("chunk")))
         .select("_qid", "_qvec", "chunk")
     )
-    found = first.unionByName(meet(pin(asked)))
+    found = first.unionByName(_meet(pin(asked), placed, need, metric))
     if exclude_self:
         found = found.filter(F.col("_qid") != F.col("_rid"))
     return _ranked(found, qid, rid, k)

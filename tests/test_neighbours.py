@@ -114,3 +114,36 @@ def test_few_chunks_are_met_in_three_dimensions(spark, monkeypatch):
     near = N.knn(frame(spark, q, "q"), frame(spark, r, "r"), "q", "r", "v", 5)
     assert got(near) == brute(q, r, 5)
     assert sum(met) < 0.4 * 50 * 62
+
+
+def test_boxes_stay_exact_and_small(spark, monkeypatch):
+    """In few dimensions a query meets a few boxes, whatever the table; copies, gaps and missing numbers included."""
+    monkeypatch.setattr(N, "BOX_ROWS", 20)
+    monkeypatch.setattr(N, "QUERY_BATCH", 50)
+    rng = np.random.default_rng(5)
+    x = np.vstack([rng.normal(size=(1500, 3)), np.repeat(rng.normal(size=(1, 3)), 300, axis=0), rng.normal(9, 0.001, size=(700, 3))])
+    ids = rng.permutation(len(x))
+    rows = [(int(i), [float(f) for f in v]) for i, v in zip(ids, x)]
+    refs = spark.createDataFrame(rows + [(9_001, [1.0, None, 2.0]), (9_002, [float("nan")] * 3)], "rid long, vec array<double>")
+    queries = spark.createDataFrame(rows[::40] + [(7_000, [50.0, -3.0, 0.5]), (7_001, [None, 0.0, 0.0])], "qid long, vec array<double>")
+    asked, plain = [], N._meet
+    monkeypatch.setattr(N, "_meet", lambda a, *more: (asked.append(a.count()), plain(a, *more))[1])
+    for metric in ("euclidean", "manhattan"):
+        got = N.knn(queries, refs, "qid", "rid", "vec", 7, metric, exclude_self=True).toPandas()
+        assert 7_001 not in set(got.qid)
+        for i, v in rows[::40] + [(7_000, [50.0, -3.0, 0.5])]:
+            gap = np.abs(x - np.array(v))
+            d = gap.sum(axis=1) if metric == "manhattan" else np.sqrt((gap * gap).sum(axis=1))
+            best = [j for _, j in sorted((round(a, 12), int(j)) for a, j in zip(d, ids) if j != i)[:7]]
+            assert got[got.qid == i].sort_values("pos").rid.tolist() == best
+    assert max(asked) < 64 * 20  # 125 boxes would make 64 * 125
+    few = N.knn(queries, refs.filter("rid < 5"), "qid", "rid", "vec", 7).groupBy("qid").count().agg({"count": "min"}).first()[0]
+    assert few == 5
+
+
+def test_boxes_are_cut_where_one_value_is_common():
+    """A column that mostly holds its greatest value is cut once, and the other columns after it."""
+    rng = np.random.default_rng(6)
+    x = np.column_stack([np.where(rng.random(4_000) < 0.1, 0.0, 900.0), rng.random(4_000)])
+    tree = N.Boxes(x, 6, "euclidean")
+    assert np.bincount(tree.place(x), minlength=64).max() < 200
