@@ -43,15 +43,21 @@ def binary_metrics(
     return s.withColumn("f1", F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"), both), F.lit(0.0)))
 
 
-def with_auc(pred: DataFrame, score: str, label: str = "label") -> DataFrame:
+def with_auc(pred: DataFrame, score: str, label: str = "label", count: str | None = None) -> DataFrame:
     """Both from one pass over the predictions, which is reduced to counts per distinct score."""
-    counts = pin(pred.groupBy(label, "prediction", score).agg(F.count(F.lit(1)).alias("rows")))
+    times = F.sum(count) if count else F.count(F.lit(1))
+    counts = pin(pred.groupBy(label, "prediction", score).agg(times.alias("rows")))
     area = auc_roc(counts, score, F.col(label) == 1, count="rows").select("auc").scalar()
     return binary_metrics(counts, label, count="rows").withColumn("auc", area)
 
 
-def multiclass_accuracy(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+def multiclass_accuracy(
+    pred: DataFrame, label: str = "label", prediction: str = "prediction", count: str | None = None
+) -> DataFrame:
     same = (F.col(label).cast("double") == F.col(prediction).cast("double")).cast("double")
+    if count:
+        n = F.coalesce(F.sum(count), F.lit(0))
+        return pred.agg(n.alias("n"), F.try_divide(F.sum(same * F.col(count)), F.sum(count)).alias("accuracy"))
     return pred.agg(F.count(F.lit(1)).alias("n"), F.avg(same).alias("accuracy"))
 
 

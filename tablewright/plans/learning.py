@@ -199,11 +199,12 @@ def extra_trees(t):
 
 @query("gradient_boosting")
 def gradient_boosting(t):
-    binary = M.gradient_boosting(*line_split(t), rounds=8).select(F.lit("binary").alias("task"), "n", "accuracy")
     rows = line_table(t)
+    train, test, count = M.tree_split(rows, FEATURES)
+    binary = M.gradient_boosting(train, test, rounds=8, count=count).select(F.lit("binary").alias("task"), "n", "accuracy")
     lab = F.when(F.col("l_quantity") < 15, 0.0).when(F.col("l_price") < 40, 1.0).otherwise(2.0)
-    three = M.assembled(rows.withColumn("label", lab), FEATURES, "label", "part")
-    multi = M.gradient_boosting_multi(three.filter("part = 'train'"), three.filter("part = 'test'"), rounds=3)
+    train, test, count = M.tree_split(rows.withColumn("label", lab), FEATURES)
+    multi = M.gradient_boosting_multi(train, test, rounds=3, count=count)
     return rounded(binary.unionByName(multi.select(F.lit("one vs rest").alias("task"), "n", "accuracy")))
 
 
