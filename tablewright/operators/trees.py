@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -20,7 +22,7 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.operators import cells, level_trees
@@ -188,11 +190,42 @@ def grid_search_cv(train: DataFrame, folds: int = 3, seed: int = 7) -> DataFrame
     )
     with held(train) as data:
         cv = search.fit(data)
-    best = max(cv.avgMetrics)
-    rows = [
-        (p[est.maxDepth], p[est.maxBins], float(m), int(m == best)) for p, m in zip(grid, cv.avgMetrics)
-    ]
-    return small_table(train.sparkSession, rows, "depth int, bins int, auc double, best int")
+    points = [(p[est.maxDepth], p[est.maxBins]) for p in grid]
+    return _search_table(train.sparkSession, points, cv.avgMetrics)
+
+
+def grid_search_cells(train: DataFrame, xs: Sequence[str], folds: int = 3, seed: int = 7) -> DataFrame:
+    """``grid_search_cv`` of a long table with plain feature columns: each fold's rows become counted cells once for
+    every number of bins, by thresholds from the rows outside the fold, and all fits and scores read these."""
+    # A fold is an equal range of random numbers, as in CrossValidator.
+    rows = train.withColumn("_fold", F.floor(F.rand(seed) * folds))
+    evaluator = BinaryClassificationEvaluator(weightCol=cells.COUNT)
+
+    def fold_scores(run: tuple[int, int]) -> list[float]:
+        k, bins = run
+        drawn = cells.sampled(rows.filter(F.col("_fold") != k), xs, bins, seed)
+        cuts = [cells.cut_points(v, bins) for v in drawn.T]
+        mine = (F.col("_fold") == k).alias("mine")
+        counted = pin(cells.counted_cells(rows.select("label", *xs, mine), xs, cuts, ["label", "mine"]))
+        outside = counted.filter(~F.col("mine"))
+        est = DecisionTreeClassifier(seed=seed, weightCol=cells.COUNT, maxBins=cells.all_seen(outside, bins))
+        with held(outside) as data:
+            models = [est.setMaxDepth(depth).fit(data) for depth in depths]
+        return [evaluator.evaluate(m.transform(counted.filter("mine"))) for m in models]
+
+    depths, sizes = [2, 5], [8, 32]
+    runs = [(k, bins) for bins in sizes for k in range(folds)]
+    with ThreadPool(2) as pool:
+        scores = dict(zip(runs, pool.map(inheritable_thread_target(train.sparkSession)(fold_scores), runs)))
+    points = [(depth, bins) for depth in depths for bins in sizes]
+    means = [sum(scores[k, bins][depths.index(depth)] for k in range(folds)) / folds for depth, bins in points]
+    return _search_table(train.sparkSession, points, means)
+
+
+def _search_table(spark: SparkSession, points: Sequence[tuple[int, int]], metrics: Sequence[float]) -> DataFrame:
+    best = max(metrics)
+    rows = [(depth, bins, float(m), int(m == best)) for (depth, bins), m in zip(points, metrics)]
+    return small_table(spark, rows, "depth int, bins int, auc double, best int")
 
 
 def cross_val_scores(df: DataFrame, estimator, folds: int, fold: str = "fold") -> DataFrame:

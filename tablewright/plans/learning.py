@@ -4,6 +4,7 @@ from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from tablewright.operators import cells
 from tablewright.operators import classify as C
 from tablewright.operators import cluster as K
 from tablewright.operators import evaluate as E
@@ -429,7 +430,9 @@ def ensemble_inverse_loss(t):
 
 @query("grid_search_cv")
 def grid_search_cv(t):
-    return rounded(M.grid_search_cv(line_split(t)[0]))
+    rows = line_table(t).filter("part = 'train'")
+    long = rows.count() > cells.MANY
+    return rounded(M.grid_search_cells(rows, FEATURES) if long else M.grid_search_cv(line_split(t)[0]))
 
 
 @query("cross_val_scores")

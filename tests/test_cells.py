@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tablewright.operators import cells
 from tablewright.operators import trees as M
+from tablewright.plans.bindings import Tables
 
 
 def lines(spark, n=6000):
@@ -57,3 +58,23 @@ def test_boosting_reads_long_tables_as_cells(spark, monkeypatch):
     got = M.gradient_boosting(train, test, rounds=4, count=count).first()
     assert got.n == plain.n and tuple(got) == pytest.approx(tuple(plain), abs=1e-9)
     assert tuple(M.gradient_boosting_multi(train, test, rounds=2, count=count).first()) == pytest.approx(tuple(several), abs=1e-9)
+
+
+def test_grid_search_equals_cross_validation_on_the_same_folds(spark):
+    from pyspark.ml.feature import VectorAssembler
+
+    train = lines(spark, 4000)
+    # Rows in the given order, so that both draw the same folds.
+    plain = M.grid_search_cv(VectorAssembler(inputCols=XS, outputCol="features").transform(train)).collect()
+    got = M.grid_search_cells(train, XS).collect()
+    assert [(r.depth, r.bins, r.best) for r in got] == [(r.depth, r.bins, r.best) for r in plain]
+    assert [r.auc for r in got] == pytest.approx([r.auc for r in plain], abs=1e-9)
+
+
+def test_grid_search_query_reads_long_tables_as_cells(spark, sf_dir, monkeypatch):
+    from tablewright.plans import learning
+
+    monkeypatch.setattr(cells, "MANY", 1000)
+    monkeypatch.setattr(learning.M, "grid_search_cv", None)  # fits the rows
+    got = learning.grid_search_cv(Tables(spark, sf_dir)).collect()
+    assert [(r.depth, r.bins) for r in got] == [(2, 8), (2, 32), (5, 8), (5, 32)] and all(0.5 < r.auc <= 1 for r in got)
